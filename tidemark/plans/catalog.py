@@ -36,3 +36,125 @@ query("mart_customer_sales_kpi")(lambda s, d: marts.mart_customer_sales_kpi(m.fc
 query("mart_product_category_sales_kpi")(lambda s, d: marts.mart_product_category_sales_kpi(m.fct(s, d)))
 query("dim_product_categories")(lambda s, d: marts.dim_product_categories(m.fct(s, d)))
 query("mart_load_audit")(lambda s, d: marts.mart_load_audit(m.raw(s, d), m.fct(s, d)))
+
+
+# --- summaries ----------------------------------------------------------------------
+from datetime import date, datetime  # noqa: E402
+
+from tidemark.operators import quality as q  # noqa: E402
+from tidemark.operators import serving as sv  # noqa: E402
+from tidemark.operators import summaries as sm  # noqa: E402
+from tidemark.operators import usage as us  # noqa: E402
+from tidemark.sources import adapters as ad  # noqa: E402
+
+LATE_AS_OF = date(2025, 6, 30)
+BACKFILL_WINDOW = (date(2024, 5, 1), date(2024, 5, 3))
+DASH_FILTER = {"start": date(2024, 1, 1), "end": date(2024, 12, 31), "months": ["Jan", "Feb", "Mar", "Oct"]}
+FRESHNESS_AS_OF = datetime(2030, 10, 30, 6, 30, 0)
+
+
+def _daily(s, d):
+    return marts.mart_sales_daily_kpi(m.fct(s, d), m.dim(s))
+
+
+def _audit(s, d):
+    return marts.mart_load_audit(m.raw(s, d), m.fct(s, d))
+
+
+def _customer(s, d):
+    return marts.mart_customer_sales_kpi(m.fct(s, d))
+
+
+def _category(s, d):
+    return marts.mart_product_category_sales_kpi(m.fct(s, d))
+
+
+query("agg_files_raw")(lambda s, d: marts.agg_files_raw(m.raw(s, d)))
+query("agg_files_fact")(lambda s, d: marts.agg_files_fact(m.fct(s, d)))
+query("raw_load_summary")(lambda s, d: sm.raw_load_summary(m.raw(s, d)))
+query("audit_summary")(lambda s, d: sm.audit_summary(_audit(s, d)))
+query("layer_row_counts")(lambda s, d: sm.layer_row_counts(
+    {"staging": m.stg(s, d), "intermediate": m.enriched(s, d), "fact": m.fct(s, d)}))
+query("late_raw_summary")(lambda s, d: sm.late_raw_summary(m.raw(s, d)))
+query("late_fact_summary")(lambda s, d: sm.late_fact_summary(m.fct(s, d)))
+query("backfill_raw_summary")(lambda s, d: sm.backfill_raw_summary(m.raw(s, d)))
+query("backfill_fact_summary")(lambda s, d: sm.backfill_fact_summary(m.fct(s, d)))
+query("file_name_filter")(lambda s, d: sm.file_name_filter(m.raw(s, d), sm.LATE_PATTERN))
+
+# --- sort / limit / top-k and dashboard serving ------------------------------------------
+query("read_mart")(lambda s, d: sv.read_mart(_daily(s, d), "order_date"))
+query("top_customers")(lambda s, d: sv.top_customers(_customer(s, d), 100))
+query("category_ranking")(lambda s, d: sv.category_ranking(_category(s, d)))
+query("daily_latest_20")(lambda s, d: sv.daily_latest(_daily(s, d), 20))
+query("customers_top_20")(lambda s, d: sv.top_customers(_customer(s, d), 20))
+query("audit_latest")(lambda s, d: sv.audit_latest(_audit(s, d)))
+query("dim_date_head")(lambda s, d: sv.dim_date_head(m.dim(s), 10))
+query("dim_date_count")(lambda s, d: sv.dim_date_count(m.dim(s)))
+query("late_kpi_dates_touched")(lambda s, d: sv.late_kpi_dates_touched(_daily(s, d), LATE_AS_OF, 20))
+query("backfill_kpi_dates")(lambda s, d: sv.backfill_kpi_dates(_daily(s, d), *BACKFILL_WINDOW))
+query("date_range_filter")(lambda s, d: sv.date_range_filter(_daily(s, d), *BACKFILL_WINDOW))
+query("month_in_filter")(lambda s, d: sv.month_in_filter(_daily(s, d), DASH_FILTER["months"]))
+query("available_months")(lambda s, d: sv.available_months(_daily(s, d)))
+query("dash_date_bounds")(lambda s, d: sv.dash_date_bounds(_daily(s, d)))
+query("dash_headline")(lambda s, d: sv.dash_headline(_daily(s, d), **DASH_FILTER))
+query("dash_daily_net")(lambda s, d: sv.dash_daily_net(_daily(s, d), **DASH_FILTER))
+query("dash_status_breakdown")(lambda s, d: sv.dash_status_breakdown(_daily(s, d), **DASH_FILTER))
+query("dash_daily_table")(lambda s, d: sv.dash_daily_table(_daily(s, d), **DASH_FILTER))
+query("dash_top_customers")(lambda s, d: sv.dash_top_customers(_customer(s, d), 20, 100))
+query("dash_category_summary")(lambda s, d: sv.dash_category_summary(_category(s, d)))
+query("dash_audit_summary")(lambda s, d: sv.dash_audit_summary(_audit(s, d)))
+
+# --- usage analytics -------------------------------------------------------------------------
+_WH = m.USAGE_WAREHOUSES
+_AS = m.USAGE_AS_OF
+query("scan_usage_history")(lambda s, d: us.window_filter(ad.warehouse_metering_history(s, d), _AS, 30, _WH))
+query("usage_by_day")(lambda s, d: us.usage_by_day(ad.warehouse_metering_history(s, d), _AS, _WH))
+query("usage_summary_30d")(lambda s, d: us.usage_summary(ad.warehouse_metering_history(s, d), _AS, _WH))
+query("usage_by_hour")(lambda s, d: us.usage_by_hour(ad.warehouse_metering_history(s, d), _AS, _WH))
+query("top_queries_by_time")(lambda s, d: us.top_queries_by_time(ad.query_history(s, d), _AS, _WH))
+query("top_queries_by_bytes")(lambda s, d: us.top_queries_by_bytes(ad.query_history(s, d), _AS, _WH))
+query("usage_by_query_tag")(lambda s, d: us.usage_by_query_tag(ad.query_history(s, d), _AS, _WH))
+query("usage_tagged_text_match")(lambda s, d: us.usage_tagged_text_match(ad.query_history(s, d), _AS, _WH))
+query("usage_by_user")(lambda s, d: us.usage_by_user(ad.query_history(s, d), _AS, _WH))
+query("usage_by_service_daily")(lambda s, d: us.usage_by_service_daily(ad.metering_daily_history(s, d), _AS))
+query("usage_risk_level")(lambda s, d: us.usage_risk_level(ad.warehouse_metering_history(s, d), _AS, _WH))
+
+# --- data-quality checks -----------------------------------------------------------------------
+
+
+def _check_tables(s, d):
+    fct = m.fct(s, d)
+    raw = m.raw(s, d)
+    return {
+        "sales_raw": raw,
+        "fct_sales": fct,
+        "mart_sales_daily_kpi": marts.mart_sales_daily_kpi(fct, m.dim(s)),
+        "mart_customer_sales_kpi": marts.mart_customer_sales_kpi(fct),
+        "mart_product_category_sales_kpi": marts.mart_product_category_sales_kpi(fct),
+        "mart_load_audit": marts.mart_load_audit(raw, fct),
+    }
+
+
+def _report(kinds):
+    def run(s, d):
+        checks = [c for c in q.ALL_CHECKS if kinds is None or c.kind in kinds]
+        return q.quality_report(_check_tables(s, d), checks)
+
+    return run
+
+
+query("check_not_null")(lambda s, d: q.check_not_null(m.raw(s, d), "order_id"))
+query("check_unique")(lambda s, d: q.check_unique(m.raw(s, d), "order_id"))
+query("check_unique_event_key")(lambda s, d: q.check_unique(m.stg(s, d), "sales_event_key"))
+query("check_accepted_values")(lambda s, d: q.check_accepted_values(m.raw(s, d), "order_status", q.ACCEPTED_STATUSES))
+query("check_amounts_reconcile")(lambda s, d: q.check_amounts_reconcile(m.fct(s, d)))
+query("check_load_audit_matched")(lambda s, d: q.check_load_audit_matched(_audit(s, d)))
+query("check_source_freshness")(lambda s, d: q.check_source_freshness(m.raw(s, d), FRESHNESS_AS_OF))
+query("hours_since_latest_load")(lambda s, d: q.hours_since_latest_load(m.raw(s, d), FRESHNESS_AS_OF))
+query("scan_row_count")(_report({"row_count"}))
+query("scan_missing_count")(_report({"missing_count"}))
+query("scan_duplicate_count")(_report({"duplicate_count"}))
+query("scan_min_threshold")(_report({"min"}))
+query("scan_failed_rows")(_report({"failed_rows"}))
+query("quality_report")(_report(None))
+query("validate_batch")(lambda s, d: q.batch_violations(m.raw(s, d)))
