@@ -158,3 +158,32 @@ query("scan_min_threshold")(_report({"min"}))
 query("scan_failed_rows")(_report({"failed_rows"}))
 query("quality_report")(_report(None))
 query("validate_batch")(lambda s, d: q.batch_violations(m.raw(s, d)))
+
+# --- incremental fact, upsert, late data and restatement ------------------------------
+from tidemark.operators import fact as fa  # noqa: E402
+from tidemark.operators import incremental as inc  # noqa: E402
+from tidemark.session import scratch_dir  # noqa: E402
+from tidemark.sinks.fact_store import FactStore  # noqa: E402
+
+
+def _store_build(s, d, reruns: int = 1):
+    store = FactStore(s, scratch_dir(s, "fct_store"), buckets=16)
+    store.overwrite(m.fct_initial(s, d))
+    for _ in range(reruns):
+        store.upsert(m.fct_delta(s, d, store.read()))
+    return store.read()
+
+
+query("incremental_filter")(lambda s, d: m.fct_delta(s, d, m.fct_initial(s, d)))
+query("scalar_subquery_highwater")(lambda s, d: inc.high_water_mark_frame(m.fct_initial(s, d)))
+query("upsert_fact")(lambda s, d: fa.merge_keyed(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))))
+query("merge_join")(lambda s, d: inc.matched_updates(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))))
+query("fct_sales_incremental")(lambda s, d: _store_build(s, d, 1))
+query("rerun_idempotence")(lambda s, d: _store_build(s, d, 2))
+query("late_arrivals")(lambda s, d: inc.late_arrivals(m.fct(s, d), 7))
+query("restate_kpi_dates")(lambda s, d: inc.restate_kpi_dates(
+    marts.mart_sales_daily_kpi(m.fct_initial(s, d), m.dim(s)),
+    m.fct(s, d),
+    m.fct_delta(s, d, m.fct_initial(s, d)),
+    m.dim(s),
+))

@@ -37,3 +37,21 @@ def fct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim(spark: SparkSession) -> DataFrame:
     return dim_date(spark, as_of=DIM_AS_OF)
+
+
+# --- incremental split used by the upsert / restatement queries ------------------------
+INCREMENTAL_CUTOFF = datetime(2027, 1, 1, 0, 0, 0)
+
+
+def fct_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as an earlier run left it: rows loaded before the cutoff."""
+    from pyspark.sql import functions as F
+
+    return fct(spark, sf_dir).filter(F.col("load_ts") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp"))
+
+
+def fct_delta(spark: SparkSession, sf_dir: str, target: DataFrame) -> DataFrame:
+    """Rows picked up by the next incremental run against ``target``."""
+    from tidemark.operators.fact import fct_projection, incremental_filter
+
+    return fct_projection(incremental_filter(enriched(spark, sf_dir), target))

@@ -1,0 +1,176 @@
+"""Versioned keyed fact table on plain Parquet (no table format needed).
+
+Layout under ``root`` (a shared filesystem / object-store path)::
+
+    v=<n>/file_bucket=<b>/part-*.parquet      data segments written by commit n
+    _manifest/v=<n>/part-*.parquet            live segments after commit n:
+                                              rows (file_bucket, segment_version)
+
+``file_bucket = pmod(xxhash64(source_file_name), buckets)``. The event key
+embeds the file name, so all versions of a key live in one bucket and a
+delta made of new files touches only the buckets of those files.
+
+Commit n+1 (``upsert``):
+
+1. bucket the (key-unique) delta; list its touched buckets (at most
+   ``buckets`` values - the only collect, bounded by configuration);
+2. semi-join the delta keys against the *key column only* of the touched
+   buckets' live segments to find buckets holding re-delivered keys;
+3. buckets without re-delivered keys: the delta rows are appended as a new
+   segment - nothing already stored is rewritten;
+4. buckets with re-delivered keys: stored rows minus matched keys, union
+   the delta rows, written as a replacement segment;
+5. the manifest for n+1 is written last. Readers only follow manifests, so
+   a job that dies before step 5 leaves an invisible orphan directory and
+   the previous version intact. No path that is being read is ever
+   overwritten.
+
+Single-writer: concurrent upserts into one root are not coordinated.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from tidemark.operators.fact import FACT_KEY, merge_keyed, sync_columns
+
+BUCKET_COL = "file_bucket"
+
+
+def file_bucket(col: str, buckets: int):
+    return F.pmod(F.xxhash64(F.coalesce(F.col(col), F.lit(""))), F.lit(buckets)).cast("int")
+
+
+class FactStore:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        key: str = FACT_KEY,
+        bucket_by: str = "source_file_name",
+        buckets: int = 64,
+    ):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.key = key
+        self.bucket_by = bucket_by
+        self.buckets = buckets
+
+    # -- metadata --------------------------------------------------------------------
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/_manifest/v={version}"
+
+    def _segment_path(self, version: int, bucket: int) -> str:
+        return f"{self.root}/v={version}/{BUCKET_COL}={bucket}"
+
+    def current_version(self) -> int:
+        try:
+            m = self.spark.read.parquet(f"{self.root}/_manifest")
+        except AnalysisException:
+            return 0
+        v = m.agg(F.max("v")).first()[0]
+        return int(v) if v is not None else 0
+
+    def manifest(self, version: int | None = None) -> DataFrame | None:
+        version = self.current_version() if version is None else version
+        if version == 0:
+            return None
+        return self.spark.read.parquet(self._manifest_path(version))
+
+    def _segments(self, version: int, buckets: Sequence[int] | None = None) -> list[tuple[int, int]]:
+        m = self.manifest(version)
+        if m is None:
+            return []
+        if buckets is not None:
+            m = m.filter(F.col(BUCKET_COL).isin(list(buckets)))
+        # one row per live segment: bounded by buckets x segments-per-bucket
+        return [(r[BUCKET_COL], r["segment_version"]) for r in m.collect()]
+
+    def _read_segments(self, segs: Sequence[tuple[int, int]]) -> DataFrame | None:
+        if not segs:
+            return None
+        paths = [self._segment_path(v, b) for b, v in segs]
+        return self.spark.read.parquet(*paths)
+
+    # -- reads ---------------------------------------------------------------------------
+    def read(self, version: int | None = None) -> DataFrame | None:
+        version = self.current_version() if version is None else version
+        return self._read_segments(self._segments(version))
+
+    # -- writes --------------------------------------------------------------------------
+    def _write_segment(self, df: DataFrame, version: int) -> None:
+        # rows arrive key-hashed from the preceding shuffle, so a hot bucket
+        # is written by many tasks in parallel
+        df.write.mode("append").partitionBy(BUCKET_COL).parquet(f"{self.root}/v={version}")
+
+    def _write_manifest(self, rows: list[tuple[int, int]], version: int) -> None:
+        schema = f"{BUCKET_COL} int, segment_version int"
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").parquet(
+            self._manifest_path(version)
+        )
+
+    def overwrite(self, df: DataFrame) -> int:
+        """Full build: every bucket gets a fresh segment."""
+        new_v = self.current_version() + 1
+        bucketed = df.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
+        self._write_segment(bucketed, new_v)
+        written = self.spark.read.parquet(f"{self.root}/v={new_v}").select(BUCKET_COL).distinct()
+        self._write_manifest([(r[0], new_v) for r in written.collect()], new_v)
+        return new_v
+
+    def upsert(self, delta: DataFrame) -> int:
+        """Keyed merge of ``delta`` (unique per key; incoming rows win)."""
+        cur = self.current_version()
+        if cur == 0:
+            return self.overwrite(delta)
+        new_v = cur + 1
+        delta = delta.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
+        delta = delta.persist()
+        try:
+            touched = [r[0] for r in delta.select(BUCKET_COL).distinct().collect()]
+            live = self._segments(cur)
+            live_touched = [(b, v) for b, v in live if b in set(touched)]
+            stored = self._read_segments(live_touched)
+            rewrite: set[int] = set()
+            if stored is not None:
+                if set(stored.columns) != set(delta.drop(BUCKET_COL).columns):
+                    # schema change (sync_all_columns): rewrite everything once
+                    return self._rewrite_all(delta.drop(BUCKET_COL))
+                key_cols = list(dict.fromkeys([self.key, self.bucket_by]))
+                stored_keys = stored.select(*key_cols).withColumn(
+                    BUCKET_COL, file_bucket(self.bucket_by, self.buckets)
+                )
+                hits = stored_keys.join(delta.select(self.key), self.key, "left_semi")
+                rewrite = {r[0] for r in hits.select(BUCKET_COL).distinct().collect()}
+            appends = delta.filter(~F.col(BUCKET_COL).isin(list(rewrite))) if rewrite else delta
+            self._write_segment(appends, new_v)
+            if rewrite:
+                old = self._read_segments([(b, v) for b, v in live_touched if b in rewrite])
+                upd = delta.filter(F.col(BUCKET_COL).isin(list(rewrite)))
+                old = sync_columns(old, upd.drop(BUCKET_COL))
+                merged = merge_keyed(old, upd.drop(BUCKET_COL), self.key)
+                merged = merged.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
+                self._write_segment(merged, new_v)
+            # manifest: untouched live segments, appended segments, replacements
+            new_segments = [(b, v) for b, v in live if b not in rewrite]
+            new_segments += [(b, new_v) for b in touched]
+            self._write_manifest(sorted(set(new_segments)), new_v)
+            return new_v
+        finally:
+            delta.unpersist()
+
+    def _rewrite_all(self, delta: DataFrame) -> int:
+        merged = merge_keyed(sync_columns(self.read(), delta), delta, self.key)
+        return self.overwrite(merged)
+
+    def compact(self) -> int:
+        """Rewrite every bucket into one segment (run periodically)."""
+        cur_df = self.read()
+        if cur_df is None:
+            return 0
+        # materialise into a new version first; the old files stay readable
+        return self.overwrite(cur_df)
