@@ -1,0 +1,143 @@
+"""Synthetic sales batch producers as distributed jobs.
+
+Rows come from ``spark.range`` and every random attribute is a hash of
+(row id, seed, attribute salt), so a batch is reproducible regardless of
+partitioning and a recomputed partition yields the same rows. A backfill
+over many days is one job, not a loop.
+"""
+
+from __future__ import annotations
+
+import uuid
+from datetime import date, datetime, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.columns import MONEY
+
+# Fixed vocabularies and ranges the batches must use (values as in the
+# reference generator, natural order):
+PRODUCT_CATEGORIES = ["Electronics", "Clothing", "Home", "Sports", "Beauty", "Books", "Toys"]
+PAYMENT_METHODS = ["Credit Card", "Debit Card", "GCash", "Maya", "Bank Transfer", "Cash"]
+ORDER_STATUSES = [("Completed", 0.75), ("Pending", 0.12), ("Cancelled", 0.08), ("Refunded", 0.05)]
+SALES_CHANNELS = ["Online", "Store", "Mobile App", "Marketplace"]
+ORDER_TS_START, ORDER_TS_END = datetime(2024, 1, 1), datetime(2026, 6, 1)
+QUANTITY_RANGE = (1, 10)          # upper bound exclusive
+UNIT_PRICE_RANGE = (50.0, 5000.0)
+DISCOUNT_RANGE = (0.0, 500.0)
+CUSTOMER_RANGE = (1000, 9999)     # upper bound exclusive
+PRODUCT_RANGE = (100, 999)        # upper bound exclusive
+LATE_ORDER_ID_START = 900_000_001
+
+_UNIT = 1 << 30
+
+
+def _u(seed: int, salt: int, idcol: str = "id") -> Column:
+    """Uniform [0, 1) from a hash of (id, seed, salt)."""
+    return F.pmod(F.xxhash64(F.col(idcol), F.lit(seed), F.lit(salt)), F.lit(_UNIT)).cast("double") / _UNIT
+
+
+def _randint(lo: int, hi: int, seed: int, salt: int) -> Column:
+    return (F.lit(lo) + F.floor(_u(seed, salt) * (hi - lo))).cast("bigint")
+
+
+def _uniform_money(lo: float, hi: float, seed: int, salt: int) -> Column:
+    return F.round((F.lit(lo) + _u(seed, salt) * (hi - lo)).cast("decimal(20,6)"), 2).cast(MONEY)
+
+
+def _choice(values: list[str], seed: int, salt: int) -> Column:
+    idx = F.floor(_u(seed, salt) * len(values)).cast("int") + 1
+    return F.element_at(F.array(*[F.lit(v) for v in values]), idx)
+
+
+def _weighted(values: list[tuple[str, float]], seed: int, salt: int) -> Column:
+    u = _u(seed, salt)
+    out = None
+    acc = 0.0
+    for name, p in values[:-1]:
+        acc += p
+        out = (F.when(u < acc, F.lit(name)) if out is None else out.when(u < acc, F.lit(name)))
+    return out.otherwise(F.lit(values[-1][0]))
+
+
+def _sales_columns(seed: int, ts: Column, with_channel: bool) -> list[Column]:
+    quantity = _randint(*QUANTITY_RANGE, seed, 4)
+    unit_price = _uniform_money(*UNIT_PRICE_RANGE, seed, 5)
+    discount = _uniform_money(*DISCOUNT_RANGE, seed, 6)
+    gross = (quantity * unit_price).cast(MONEY)
+    cols = [
+        _randint(*CUSTOMER_RANGE, seed, 1).alias("customer_id"),
+        _randint(*PRODUCT_RANGE, seed, 2).alias("product_id"),
+        _choice(PRODUCT_CATEGORIES, seed, 3).alias("product_category"),
+    ]
+    if with_channel:
+        cols.append(_choice(SALES_CHANNELS, seed, 7).alias("sales_channel"))
+    cols += [
+        ts.alias("order_timestamp"),
+        quantity.alias("quantity"),
+        unit_price.alias("unit_price"),
+        gross.alias("gross_amount"),
+        discount.alias("discount_amount"),
+        F.greatest(gross - discount, F.lit(0)).cast(MONEY).alias("net_amount"),
+        _choice(PAYMENT_METHODS, seed, 8).alias("payment_method"),
+        _weighted(ORDER_STATUSES, seed, 9).alias("order_status"),
+    ]
+    return cols
+
+
+def _ts_between(start: datetime, end: datetime, seed: int, salt: int = 10) -> Column:
+    """Second-grain timestamp uniform in [start, end)."""
+    span = int((end - start).total_seconds())
+    offset = F.floor(_u(seed, salt) * span).cast("bigint")
+    return (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=offset)).alias("order_timestamp")
+
+
+def _generated_at(as_of: datetime | None) -> Column:
+    return F.lit((as_of or datetime.utcnow()).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00"))
+
+
+def produce_daily_batch(spark: SparkSession, n: int = 100_000, seed: int = 42,
+                        as_of: datetime | None = None, batch_id: str | None = None) -> DataFrame:
+    batch_id = batch_id or str(uuid.uuid4())
+    ts = _ts_between(ORDER_TS_START, ORDER_TS_END, seed)
+    return spark.range(1, n + 1).select(
+        F.col("id").alias("order_id"), *_sales_columns(seed, ts, True),
+        F.lit(batch_id).alias("batch_id"), _generated_at(as_of).alias("generated_at_utc"),
+    )
+
+
+def produce_late_batch(spark: SparkSession, n: int = 5000, min_late_days: int = 7, max_late_days: int = 30,
+                       seed: int = 42, as_of: datetime | None = None, batch_id: str | None = None) -> DataFrame:
+    """Orders dated ``max_late_days``..``min_late_days`` before ``as_of``."""
+    now = as_of or datetime.utcnow()
+    batch_id = batch_id or f"late_{uuid.uuid4()}"
+    ts = _ts_between(now - timedelta(days=max_late_days), now - timedelta(days=min_late_days), seed)
+    return spark.range(LATE_ORDER_ID_START, LATE_ORDER_ID_START + n).select(
+        F.col("id").alias("order_id"), *_sales_columns(seed, ts, False),
+        F.lit(batch_id).alias("batch_id"), _generated_at(now).alias("generated_at_utc"),
+    )
+
+
+def produce_backfill(spark: SparkSession, start: date, end: date, n_per_day: int = 5000, seed: int = 42,
+                     as_of: datetime | None = None, run_id: str | None = None) -> DataFrame:
+    """``n_per_day`` orders inside each day of [start, end] (inclusive;
+    the day's last second excluded). Order ids ``YYYYMMDD * 1e6 + i``."""
+    if end < start:
+        raise ValueError("end_date must be greater than or equal to start_date")
+    run_id = run_id or str(uuid.uuid4())
+    n_days = (end - start).days + 1
+    base = spark.range(n_days * n_per_day).select(
+        F.col("id"),
+        F.date_add(F.lit(start), (F.col("id") / n_per_day).cast("int")).alias("business_date"),
+        (F.col("id") % n_per_day + 1).alias("seq"),
+    )
+    day_key = F.date_format("business_date", "yyyyMMdd")
+    offset = F.floor(_u(seed, 10) * (86400 - 1)).cast("bigint")
+    ts = F.col("business_date").cast("timestamp_ntz") + F.make_dt_interval(secs=offset)
+    return base.select(
+        (day_key.cast("bigint") * 1_000_000 + F.col("seq")).alias("order_id"),
+        *_sales_columns(seed, ts, False),
+        F.concat(F.lit("backfill_"), day_key, F.lit(f"_{run_id}")).alias("batch_id"),
+        _generated_at(as_of).alias("generated_at_utc"),
+    )

@@ -187,3 +187,176 @@ query("restate_kpi_dates")(lambda s, d: inc.restate_kpi_dates(
     m.fct_delta(s, d, m.fct_initial(s, d)),
     m.dim(s),
 ))
+
+# --- file sources / sinks, integrity, streaming (own tests; rows-only in the driver) ----
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from tidemark.operators import contract as ct  # noqa: E402
+from tidemark.operators import integrity as ig  # noqa: E402
+from tidemark.plans import pipeline as pl  # noqa: E402
+from tidemark.sinks import landing as ld  # noqa: E402
+from tidemark.sources import files as fs  # noqa: E402
+from tidemark.streaming import ingest as st  # noqa: E402
+
+
+def landed_schema(df) -> T.StructType:
+    present = set(df.columns)
+    return T.StructType([f for f in fs.RAW_CSV_SCHEMA.fields if f.name in present])
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def _land(s, d, kind: str = "daily"):
+    """Land the fixture's raw rows as CSV in a shared scratch folder, once
+    per session and table set (landing is deterministic). Fixture files are
+    monthly (``sales_YYYY_MM.csv`` by load month), so they land at month
+    grain, one folder per source file."""
+    raw = m.raw(s, d)
+    key = (s.sparkContext.applicationId, d, kind)
+    if key not in _LANDED:
+        root = scratch_dir(s, f"landing_{kind}")
+        if kind == "backfill":
+            ld.land_backfill(sm.file_name_filter(raw, sm.BACKFILL_PATTERN), root)
+        elif kind == "late":
+            ld.land_late(sm.file_name_filter(raw, sm.LATE_PATTERN), root, grain="month")
+        else:
+            ld.land_daily(raw, root, grain="month")
+        _LANDED[key] = root
+    return _LANDED[key], landed_schema(raw)
+
+
+def _listing(kind):
+    def run(s, d):
+        root, _ = _land(s, d, kind)
+        return ig.list_landing_files(s, root)
+
+    return run
+
+
+def _scan_csv(s, d):
+    root, schema = _land(s, d)
+    return fs.scan_csv_batch(s, root, schema)
+
+
+def _with_lineage(s, d):
+    root, schema = _land(s, d)
+    return fs.read_raw_with_lineage(s, root, schema)
+
+
+def _stream_ingest(s, d, runs: int = 2):
+    root, schema = _land(s, d)
+    raw_path, ckpt = scratch_dir(s, "raw_table"), scratch_dir(s, "ckpt_ingest")
+    for _ in range(runs):  # the second run finds no new files and adds nothing
+        st.stream_ingest(s, root, raw_path, ckpt, schema).awaitTermination()
+    return s.read.parquet(raw_path)
+
+
+def _stream_dedup(s, d):
+    raw_path = scratch_dir(s, "raw_for_dedup")
+    m.raw(s, d).write.parquet(raw_path)
+    raw_stream = s.readStream.schema(s.read.parquet(raw_path).schema).parquet(raw_path)
+    out, ckpt = scratch_dir(s, "dedup_out"), scratch_dir(s, "ckpt_dedup")
+    (st.stream_dedup(st.staged_stream(raw_stream)).writeStream.format("parquet")
+     .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination())
+    return s.read.parquet(out)
+
+
+def _stream_upsert(s, d):
+    root, schema = _land(s, d)
+    store = FactStore(s, scratch_dir(s, "stream_fct"), buckets=16)
+    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=100))
+    st.stream_upsert_fact(staged, store, scratch_dir(s, "ckpt_upsert")).awaitTermination()
+    return store.read()
+
+
+def _stream_kpi(s, d):
+    root, schema = _land(s, d)
+    store = FactStore(s, scratch_dir(s, "stream_fct_kpi"), buckets=16)
+    kpi = st.VersionedTable(s, scratch_dir(s, "stream_kpi"))
+    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=100))
+    st.stream_daily_kpi(staged, store, kpi, m.dim(s), scratch_dir(s, "ckpt_kpi")).awaitTermination()
+    return kpi.read()
+
+
+def _stream_quality(s, d):
+    root, schema = _land(s, d)
+    metrics = scratch_dir(s, "quality_metrics")
+    st.stream_quality_metrics(st.read_landing_stream(s, root, schema, max_files_per_trigger=100),
+                              metrics, scratch_dir(s, "ckpt_quality")).awaitTermination()
+    return s.read.parquet(metrics)
+
+
+def _manifests(s, d):
+    root, _ = _land(s, d)
+    mroot = scratch_dir(s, "manifests")
+    ld.write_checksum_manifest(s, root, mroot)
+    return root, mroot
+
+
+def _verify(s, d):
+    root, mroot = _manifests(s, d)
+    return ig.verify_checksums(ig.file_fingerprints(s, root), fs.scan_checksum_manifests(s, mroot))
+
+
+def _verify_rows(s, d):
+    root, mroot = _manifests(s, d)
+    schema = landed_schema(m.raw(s, d))
+    return ig.verify_row_counts(fs.scan_checksum_manifests(s, mroot), fs.read_raw_with_lineage(s, root, schema))
+
+
+def _header_drift(s, d):
+    root, _ = _land(s, d)
+    return ig.file_header_drift(s, root, ct.load_contract(), ld.RAW_CSV_COLUMNS)
+
+
+def _run_elt(s, d):
+    out = pl.run_elt(s, m.raw(s, d), scratch_dir(s, "elt"), as_of=m.DIM_AS_OF,
+                     tie_breakers=list(ad.FIXTURE_TIE_BREAKERS), fact_buckets=16)
+    return s.read.parquet(out["mart_sales_daily_kpi"])
+
+
+def _run_layer(s, d):
+    out = pl.run_layer(s, m.raw(s, d), scratch_dir(s, "elt_staging"), "staging",
+                       tie_breakers=list(ad.FIXTURE_TIE_BREAKERS))
+    return s.read.parquet(out["stg_sales"])
+
+
+def _sync_columns(s, d):
+    # the stored fact lacks the optional channel column; the new schema adds it
+    target = m.fct(s, d)
+    like = target.withColumn("sales_channel", F.lit(None).cast("string")).drop("generated_at_utc")
+    return fa.sync_columns(target, like)
+
+
+def _add_optional(s, d):
+    return st.stg_sales(m.raw(s, d), include_optional=True)
+
+
+query("land_daily")(_listing("daily"))
+query("land_late")(_listing("late"))
+query("land_backfill")(_listing("backfill"))
+query("list_landing_files")(_listing("daily"))
+query("scan_csv_batch")(_scan_csv)
+query("attach_lineage")(_with_lineage)
+query("ingest_files_incremental")(_stream_ingest)
+query("stream_ingest")(_stream_ingest)
+query("stream_dedup")(_stream_dedup)
+query("stream_upsert_fact")(_stream_upsert)
+query("stream_daily_kpi")(_stream_kpi)
+query("stream_quality_metrics")(_stream_quality)
+query("write_checksum_manifest")(lambda s, d: ld.checksum_manifest(s, _land(s, d)[0]))
+query("scan_checksum_manifests")(lambda s, d: fs.scan_checksum_manifests(s, _manifests(s, d)[1]))
+query("file_ingestion_audit")(lambda s, d: fs.scan_checksum_manifests(s, _manifests(s, d)[1]))
+query("file_fingerprints")(lambda s, d: ig.file_fingerprints(s, _land(s, d)[0]))
+query("file_row_counts")(lambda s, d: ig.file_row_counts(s, _land(s, d)[0]))
+query("verify_checksums")(_verify)
+query("verify_row_counts")(_verify_rows)
+query("file_header_drift")(_header_drift)
+query("run_elt")(_run_elt)
+query("run_layer")(_run_layer)
+query("sync_all_columns")(_sync_columns)
+query("promote_optional")(_add_optional)
+query("add_optional_column")(_add_optional)
+query("exclude_manifests")(lambda s, d: fs.exclude_manifests(m.raw(s, d)))

@@ -34,7 +34,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from tidemark.session import path_exists
 
 from tidemark.operators.fact import FACT_KEY, merge_keyed, sync_columns
 
@@ -68,10 +68,9 @@ class FactStore:
         return f"{self.root}/v={version}/{BUCKET_COL}={bucket}"
 
     def current_version(self) -> int:
-        try:
-            m = self.spark.read.parquet(f"{self.root}/_manifest")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.root}/_manifest"):
             return 0
+        m = self.spark.read.parquet(f"{self.root}/_manifest")
         v = m.agg(F.max("v")).first()[0]
         return int(v) if v is not None else 0
 
