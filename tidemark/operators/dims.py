@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quarter_end, week_start, year_end
@@ -27,7 +27,7 @@ def row_generator(spark: SparkSession, n: int, start: str = DIM_START) -> DataFr
 
 def dim_date(
     spark: SparkSession,
-    as_of: date | datetime | None = None,
+    as_of: date | datetime | Column | None = None,
     start: str = DIM_START,
     n_days: int = DIM_DAYS,
     stamp: bool = False,
@@ -38,7 +38,12 @@ def dim_date(
     weekend test is ``in (0, 6)``. Size is bounded by ``n_days``, which is
     what makes broadcasting it to fact-side joins safe.
     """
-    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    if as_of is None:
+        today = F.current_date()
+    elif isinstance(as_of, Column):
+        today = as_of.cast("date")
+    else:
+        today = F.lit(as_of).cast("date")
     d = F.col("date_day")
     dow = (F.dayofweek(d) - 1).cast("int")
     cols = [

@@ -79,3 +79,36 @@ def backfill_raw_summary(raw: DataFrame) -> DataFrame:
 
 def backfill_fact_summary(fct: DataFrame) -> DataFrame:
     return fact_file_kind_summary(fct, BACKFILL_PATTERN)
+
+
+def files_not_loaded(expected: DataFrame, loaded: DataFrame, expected_col: str = "source_file_name",
+                     loaded_col: str = "source_file_name") -> DataFrame:
+    """Expected files with no loaded row. Both sides are reduced to the
+    file's base name and anti-joined on equality (no substring theta join)."""
+    from tidemark.functions.columns import basename
+
+    e = expected.select(basename(F.col(expected_col)).alias("file_name")).distinct()
+    lo = loaded.select(basename(F.col(loaded_col)).alias("file_name")).distinct()
+    return e.join(lo, "file_name", "left_anti")
+
+
+def all_files_loaded(expected: DataFrame, loaded: DataFrame, expected_col: str = "source_file_name",
+                     loaded_col: str = "source_file_name") -> DataFrame:
+    """Set equality of expected and loaded file names, as counts + flag."""
+    from tidemark.functions.columns import basename
+
+    e = expected.select(basename(F.col(expected_col)).alias("file_name")).distinct()
+    lo = loaded.select(basename(F.col(loaded_col)).alias("file_name")).distinct()
+    both = e.withColumn("in_expected", F.lit(True)).join(
+        lo.withColumn("in_loaded", F.lit(True)), "file_name", "full_outer"
+    )
+    exp, got = F.col("in_expected").isNotNull(), F.col("in_loaded").isNotNull()
+    counts = both.agg(
+        F.count_if(exp).alias("expected_files"),
+        F.count_if(got).alias("loaded_files"),
+        F.count_if(exp & ~got).alias("missing_files"),
+        F.count_if(got & ~exp).alias("unexpected_files"),
+    )
+    return counts.withColumn(
+        "all_loaded", (F.col("missing_files") == 0) & (F.col("unexpected_files") == 0)
+    )

@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from tidemark.operators import dims as dims_mod
 from tidemark.operators import marts
 from tidemark.plans import models as m
 
@@ -30,7 +33,8 @@ def query(name: str):
 query("stg_sales")(lambda s, d: m.stg(s, d))
 query("int_sales_enriched")(lambda s, d: m.enriched(s, d))
 query("fct_sales")(lambda s, d: m.fct(s, d))
-query("dim_date")(lambda s, d: m.dim(s))
+# the dimension's clock is the latest load seen in the data (the pipeline's "today")
+query("dim_date")(lambda s, d: dims_mod.dim_date(s, as_of=_latest_load(s, d)))
 query("mart_sales_daily_kpi")(lambda s, d: marts.mart_sales_daily_kpi(m.fct(s, d), m.dim(s)))
 query("mart_customer_sales_kpi")(lambda s, d: marts.mart_customer_sales_kpi(m.fct(s, d)))
 query("mart_product_category_sales_kpi")(lambda s, d: marts.mart_product_category_sales_kpi(m.fct(s, d)))
@@ -88,8 +92,8 @@ query("category_ranking")(lambda s, d: sv.category_ranking(_category(s, d)))
 query("daily_latest_20")(lambda s, d: sv.daily_latest(_daily(s, d), 20))
 query("customers_top_20")(lambda s, d: sv.top_customers(_customer(s, d), 20))
 query("audit_latest")(lambda s, d: sv.audit_latest(_audit(s, d)))
-query("dim_date_head")(lambda s, d: sv.dim_date_head(m.dim(s), 10))
-query("dim_date_count")(lambda s, d: sv.dim_date_count(m.dim(s)))
+query("dim_date_head")(lambda s, d: sv.dim_date_head(QUERIES["dim_date"](s, d), 10))
+query("dim_date_count")(lambda s, d: sv.dim_date_count(QUERIES["dim_date"](s, d)))
 query("late_kpi_dates_touched")(lambda s, d: sv.late_kpi_dates_touched(_daily(s, d), LATE_AS_OF, 20))
 query("backfill_kpi_dates")(lambda s, d: sv.backfill_kpi_dates(_daily(s, d), *BACKFILL_WINDOW))
 query("date_range_filter")(lambda s, d: sv.date_range_filter(_daily(s, d), *BACKFILL_WINDOW))
@@ -360,3 +364,46 @@ query("sync_all_columns")(_sync_columns)
 query("promote_optional")(_add_optional)
 query("add_optional_column")(_add_optional)
 query("exclude_manifests")(lambda s, d: fs.exclude_manifests(m.raw(s, d)))
+
+# --- schema contract, completeness, helpers -----------------------------------------
+
+
+def _expected(s):
+    return ct.inline_values(s, ct.load_contract())
+
+
+def _actual(s, d):
+    return ct.scan_table_columns(s, m.raw(s, d))
+
+
+def _latest_load(s, d):
+    return m.raw(s, d).select(F.max("load_ts")).scalar()
+
+
+query("scan_table_columns")(lambda s, d: _actual(s, d).select("ordinal_position", "column_name", "contract_type"))
+query("infer_contract_schema")(lambda s, d: _actual(s, d).select("column_name", "contract_type"))
+query("schema_validation_report")(lambda s, d: ct.schema_validation_report(_expected(s), _actual(s, d)))
+query("join_expected_actual_schema")(lambda s, d: ct.schema_validation_report(_expected(s), _actual(s, d))
+                                     .select("column_name", "expected_type", "actual_type"))
+query("additive_column_report")(lambda s, d: ct.additive_column_report(_expected(s), _actual(s, d)))
+query("anti_additive_columns")(lambda s, d: ct.additive_column_report(_expected(s), _actual(s, d))
+                               .select("column_name"))
+query("missing_required")(lambda s, d: _expected(s).filter("is_required").select("column_name")
+                          .join(_actual(s, d).select("column_name"), "column_name", "left_anti"))
+query("additive_columns")(lambda s, d: _actual(s, d).select("column_name")
+                          .join(_expected(s).select("column_name"), "column_name", "left_anti"))
+query("validate_contract")(lambda s, d: s.createDataFrame(
+    [{k: v for k, v in ct.contract_findings(m.raw(s, d), ct.load_contract()).items() if k != "actual_schema"}],
+    "dataset string, contract_version string, missing_required_columns array<string>, additive_columns array<string>, "
+    "type_mismatches array<struct<column_name:string,expected_type:string,actual_type:string>>, "
+    "schema_validation_status string"))
+query("normalize_columns")(lambda s, d: ct.normalize_columns(
+    m.raw(s, d).toDF(*[f" {c.upper()} " for c in m.raw(s, d).columns])))
+query("files_not_loaded")(lambda s, d: sm.files_not_loaded(m.raw(s, d), m.fct(s, d)))
+query("all_files_loaded")(lambda s, d: sm.all_files_loaded(m.raw(s, d), m.fct(s, d)))
+query("require_columns")(lambda s, d: sv.require_columns(_daily(s, d)))
+query("rename_compat")(lambda s, d: sv.rename_compat(marts.dim_product_categories(m.fct(s, d))))
+query("project_present")(lambda s, d: sv.project_present(_daily(s, d), list(sv.DAILY_TABLE_COLUMNS) + ["not_a_column"]))
+query("materialize_full")(lambda s, d: s.read.parquet(
+    ld.materialize_full(m.stg(s, d), scratch_dir(s, "layers"), "staging", "stg_sales")))
+query("row_generator")(lambda s, d: dims_mod.dim_date(s, as_of=_latest_load(s, d)).select("date_day"))
