@@ -335,7 +335,7 @@ def _sync_columns(s, d):
 
 
 def _add_optional(s, d):
-    return st.stg_sales(m.raw(s, d), include_optional=True)
+    return st.stg_sales(m.raw(s, d), tie_breakers=ad.FIXTURE_TIE_BREAKERS, include_optional=True)
 
 
 query("land_daily")(_listing("daily"))
