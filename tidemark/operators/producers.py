@@ -9,7 +9,7 @@ over many days is one job, not a loop.
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,7 +94,7 @@ def _ts_between(start: datetime, end: datetime, seed: int, salt: int = 10) -> Co
 
 
 def _generated_at(as_of: datetime | None) -> Column:
-    return F.lit((as_of or datetime.utcnow()).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00"))
+    return F.lit((as_of or datetime.now(timezone.utc).replace(tzinfo=None)).strftime("%Y-%m-%dT%H:%M:%S.%f+00:00"))
 
 
 def produce_daily_batch(spark: SparkSession, n: int = 100_000, seed: int = 42,
@@ -110,7 +110,7 @@ def produce_daily_batch(spark: SparkSession, n: int = 100_000, seed: int = 42,
 def produce_late_batch(spark: SparkSession, n: int = 5000, min_late_days: int = 7, max_late_days: int = 30,
                        seed: int = 42, as_of: datetime | None = None, batch_id: str | None = None) -> DataFrame:
     """Orders dated ``max_late_days``..``min_late_days`` before ``as_of``."""
-    now = as_of or datetime.utcnow()
+    now = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     batch_id = batch_id or f"late_{uuid.uuid4()}"
     ts = _ts_between(now - timedelta(days=max_late_days), now - timedelta(days=min_late_days), seed)
     return spark.range(LATE_ORDER_ID_START, LATE_ORDER_ID_START + n).select(

@@ -13,7 +13,7 @@ this same run (not on a second, independent build).
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +36,7 @@ def run_ingest_batch(spark: SparkSession, landing: str, manifests: str, n: int =
                      as_of: datetime | None = None, seed: int = 42) -> str:
     from pyspark.sql import functions as F
 
-    as_of = as_of or datetime.utcnow()
+    as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     batch = produce_daily_batch(spark, n, seed, as_of)
     quality.validate_batch(batch)
     report = validate_contract(batch, load_contract())

@@ -7,7 +7,7 @@ are handled by the commit protocol); nothing is written from the driver.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -122,7 +122,7 @@ def write_schema_manifest(spark, report: dict, path: str, as_of: datetime | None
     from tidemark.operators.contract import SCHEMA_MANIFEST_SCHEMA
 
     row = dict(report)
-    row["created_at_utc"] = as_of or datetime.utcnow()
+    row["created_at_utc"] = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     spark.createDataFrame([row], SCHEMA_MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(path)
     return path
 
