@@ -127,7 +127,10 @@ query("usage_risk_level")(lambda s, d: us.usage_risk_level(ad.warehouse_metering
 
 
 def _check_tables(s, d):
-    fct = m.fct(s, d)
+    # the fact feeds five checked tables: materialise it once in the shared
+    # checkpoint folder (lineage cut; survives executor loss) instead of
+    # recomputing staging + dedup per consumer
+    fct = m.fct(s, d).checkpoint()
     raw = m.raw(s, d)
     return {
         "sales_raw": raw,

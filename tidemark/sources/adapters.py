@@ -28,6 +28,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_scan_parallelism(df: DataFrame) -> DataFrame:
+    """Parallelism floor for a fact-side scan.
+
+    A Parquet file splits only at row-group boundaries; an input that plans
+    into fewer splits than the cluster has task slots (e.g. one big row
+    group) would run every operator before the first shuffle in a handful
+    of tasks. Only then is a round-robin repartition to the default
+    parallelism inserted. At warehouse scale the scan already has far more
+    splits than slots and the plan is left untouched (no extra shuffle).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= slots:
+        return df.repartition(slots)
+    return df
+
+
+def read_fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return with_scan_parallelism(read_table(spark, sf_dir, name))
+
+
 def _days(n: Column) -> Column:
     return F.make_dt_interval(days=n.cast("int"))
 
@@ -37,7 +57,7 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``load_ts``). Category/payment/status text is deliberately messy, one
     part in 501 yields a NULL order id, and repeated (orderkey, linenumber)
     pairs give natural duplicates for the dedup."""
-    l = read_table(spark, sf_dir, "lineitem").select(
+    l = read_fact_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_discount", "l_returnflag",
     )
@@ -159,7 +179,7 @@ def _credits(event_type: Column, event_id: Column) -> Column:
 
 
 def warehouse_metering_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_fact_table(spark, sf_dir, "events")
     credits = _credits(F.col("event_type"), F.col("event_id"))
     return ev.select(
         F.col("ts").alias("start_time"),
@@ -171,7 +191,7 @@ def warehouse_metering_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metering_daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = read_table(spark, sf_dir, "events").select(
+    m = read_fact_table(spark, sf_dir, "events").select(
         F.to_date("ts").alias("usage_date"),
         F.col("event_type").alias("service_type"),
         _credits(F.col("event_type"), F.col("event_id")).alias("c"),
@@ -184,7 +204,7 @@ def metering_daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_fact_table(spark, sf_dir, "events")
     eid = F.col("event_id")
     tag = (
         F.when(eid % 4 == 0, F.lit(None).cast("string"))
