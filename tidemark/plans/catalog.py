@@ -410,3 +410,84 @@ query("project_present")(lambda s, d: sv.project_present(_daily(s, d), list(sv.D
 query("materialize_full")(lambda s, d: s.read.parquet(
     ld.materialize_full(m.stg(s, d), scratch_dir(s, "layers"), "staging", "stg_sales")))
 query("row_generator")(lambda s, d: dims_mod.dim_date(s, as_of=_latest_load(s, d)).select("date_day"))
+
+# --- sub-steps of the models, primitive aggregates, joins -------------------------------
+from tidemark.functions.columns import exact_avg, money_sum, safe_column, safe_ratio  # noqa: E402
+from tidemark.operators import intermediate as im  # noqa: E402
+from tidemark.operators import staging as sg  # noqa: E402
+
+STAMP_AS_OF = datetime(2024, 6, 30, 0, 0, 0)
+
+
+def _staged(s, d):
+    raw = m.raw(s, d)
+    return raw.select(*sg.stage_columns(raw), "l_suppkey")
+
+
+query("sales_event_key")(lambda s, d: m.raw(s, d).select(
+    "order_id", "batch_id", "source_file_name", sg.sales_event_key(m.raw(s, d)).alias("sales_event_key")))
+query("stage_cast")(lambda s, d: _staged(s, d).select(
+    "order_id", "customer_id", "product_id", "order_timestamp", "order_date", "quantity",
+    "unit_price", "gross_amount", "discount_amount", "net_amount", "load_ts"))
+query("stage_normalize")(lambda s, d: _staged(s, d).select("sales_event_key", "product_category",
+                                                           "payment_method", "order_status"))
+query("stage_not_null_key")(lambda s, d: m.raw(s, d).filter(F.col("order_id").isNotNull()))
+query("enrich_order_month")(lambda s, d: m.stg(s, d).select(
+    "sales_event_key", im.order_month(F.col("order_date")).alias("order_month")))
+query("enrich_discount_rate")(lambda s, d: m.stg(s, d).select(
+    "sales_event_key", im.discount_rate(F.col("discount_amount"), F.col("gross_amount")).alias("discount_rate")))
+query("enrich_status_flags")(lambda s, d: m.stg(s, d).select(
+    "sales_event_key", "order_status",
+    im.is_completed(F.col("order_status")).alias("is_completed_order"),
+    im.is_failed_or_reversed(F.col("order_status")).alias("is_failed_or_reversed_order")))
+query("fct_projection")(lambda s, d: fa.fct_projection(m.enriched(s, d), stamp=True, as_of=STAMP_AS_OF))
+query("safe_column")(lambda s, d: m.raw(s, d).select(
+    safe_column(m.raw(s, d), "ORDER_ID", "bigint").alias("order_id"),
+    safe_column(m.raw(s, d), "generated_at_utc", "timestamp"),
+    safe_column(m.raw(s, d), "sales_channel", "string")))
+query("dedup_latest")(lambda s, d: sg.dedup_latest(
+    m.fct(s, d).select("customer_id", "sales_event_key", "order_timestamp", "net_amount"),
+    ["customer_id"], [F.col("order_timestamp").desc_nulls_last(), F.col("sales_event_key").asc()]))
+query("join_daily_date_dim")(lambda s, d: marts.daily_sales(m.fct(s, d)).join(
+    F.broadcast(m.dim(s)), F.col("order_date") == F.col("date_day"), "left").select(
+    "order_date", "date_day", "month_name", "is_weekend", "total_orders"))
+query("join_raw_fact_files")(lambda s, d: marts.agg_files_raw(m.raw(s, d)).join(
+    marts.agg_files_fact(m.fct(s, d)), "source_file_name", "left").select(
+    "source_file_name", "raw_row_count", "fact_row_count"))
+query("agg_count")(lambda s, d: m.fct(s, d).groupBy("order_date").agg(F.count(F.lit(1)).alias("total_orders")))
+query("agg_count_if")(lambda s, d: marts.daily_sales(m.fct(s, d)).select(
+    "order_date", "completed_orders", "pending_orders", "cancelled_orders", "refunded_orders"))
+query("agg_count_distinct")(lambda s, d: m.fct(s, d).groupBy("product_category").agg(
+    F.count_distinct("product_id").alias("distinct_products"),
+    F.count_distinct("customer_id").alias("unique_customers")))
+query("agg_sum_amounts")(lambda s, d: m.fct(s, d).groupBy("order_date").agg(
+    money_sum("gross_amount").alias("gross_sales_amount"),
+    money_sum("discount_amount").alias("total_discount_amount"),
+    money_sum("net_amount").alias("net_sales_amount")))
+query("agg_sum_case")(lambda s, d: m.fct(s, d).groupBy("customer_id").agg(
+    money_sum(F.when(F.col("is_completed_order"), F.col("net_amount")).otherwise(F.lit(0)))
+    .alias("completed_net_sales_amount")))
+query("agg_avg_case")(lambda s, d: m.fct(s, d).groupBy("customer_id").agg(
+    exact_avg(F.when(F.col("is_completed_order"), F.col("net_amount"))).alias("avg_completed_order_amount")))
+query("agg_ratio_of_sums")(lambda s, d: m.fct(s, d).groupBy("order_date").agg(
+    safe_ratio(F.sum("discount_amount"), F.sum("gross_amount"), 0.0).alias("discount_rate")))
+query("agg_min_max")(lambda s, d: m.fct(s, d).groupBy("customer_id").agg(
+    F.min("order_date").alias("first_order_date"), F.max("order_date").alias("latest_order_date"),
+    F.min("load_ts").alias("first_load_ts"), F.max("load_ts").alias("last_load_ts")))
+
+
+def _backfill_range(s, d, start=date(2024, 5, 1), end=date(2024, 5, 31)):
+    """Re-aimed backfill: land the backfill rows whose business date falls
+    in [start, end] (one partition per day), then replay the same window;
+    dynamic partition overwrite leaves exactly one copy per day."""
+    if end < start:
+        raise ValueError("end_date must be greater than or equal to start_date")
+    rows = sm.file_name_filter(m.raw(s, d), sm.BACKFILL_PATTERN).filter(
+        F.to_date("order_timestamp").between(F.lit(start), F.lit(end)))
+    root = scratch_dir(s, "backfill_window")
+    ld.land_backfill(rows, root)
+    ld.land_backfill(rows, root)  # replay: idempotent
+    return s.read.option("header", True).schema(landed_schema(rows).add("business_date", "string")).csv(root)
+
+
+query("backfill_range")(_backfill_range)
