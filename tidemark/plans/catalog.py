@@ -273,7 +273,7 @@ def _stream_dedup(s, d):
 def _stream_upsert(s, d):
     root, schema = _land(s, d)
     store = FactStore(s, scratch_dir(s, "stream_fct"), buckets=16)
-    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=100))
+    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
     st.stream_upsert_fact(staged, store, scratch_dir(s, "ckpt_upsert")).awaitTermination()
     return store.read()
 
@@ -282,7 +282,7 @@ def _stream_kpi(s, d):
     root, schema = _land(s, d)
     store = FactStore(s, scratch_dir(s, "stream_fct_kpi"), buckets=16)
     kpi = st.VersionedTable(s, scratch_dir(s, "stream_kpi"))
-    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=100))
+    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
     st.stream_daily_kpi(staged, store, kpi, m.dim(s), scratch_dir(s, "ckpt_kpi")).awaitTermination()
     return kpi.read()
 
@@ -290,7 +290,7 @@ def _stream_kpi(s, d):
 def _stream_quality(s, d):
     root, schema = _land(s, d)
     metrics = scratch_dir(s, "quality_metrics")
-    st.stream_quality_metrics(st.read_landing_stream(s, root, schema, max_files_per_trigger=100),
+    st.stream_quality_metrics(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000),
                               metrics, scratch_dir(s, "ckpt_quality")).awaitTermination()
     return s.read.parquet(metrics)
 

@@ -2,9 +2,13 @@
 
 Layout under ``root`` (a shared filesystem / object-store path)::
 
-    v=<n>/file_bucket=<b>/part-*.parquet      data segments written by commit n
-    _manifest/v=<n>/part-*.parquet            live segments after commit n:
-                                              rows (file_bucket, segment_version)
+    data/c=<attempt>/file_bucket=<b>/*.parquet  segments written by one commit attempt
+    _manifest/v=<n>/*.parquet                    live segments after commit n:
+                                                 rows (file_bucket, segment)
+
+Every commit attempt writes under a fresh ``c=<attempt>`` folder, so a
+driver that dies mid-commit leaves an unreferenced folder and the retry
+never appends onto partial output.
 
 ``file_bucket = pmod(xxhash64(source_file_name), buckets)``. The event key
 embeds the file name, so all versions of a key live in one bucket and a
@@ -21,8 +25,8 @@ Commit n+1 (``upsert``):
 4. buckets with re-delivered keys: stored rows minus matched keys, union
    the delta rows, written as a replacement segment;
 5. the manifest for n+1 is written last. Readers only follow manifests, so
-   a job that dies before step 5 leaves an invisible orphan directory and
-   the previous version intact. No path that is being read is ever
+   a job that dies before step 5 leaves an invisible orphan folder and the
+   previous version intact. No path that is being read is ever
    overwritten.
 
 Single-writer: concurrent upserts into one root are not coordinated.
@@ -30,11 +34,12 @@ Single-writer: concurrent upserts into one root are not coordinated.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tidemark.session import path_exists
+from tidemark.session import list_subdirs, path_exists
 
 from tidemark.operators.fact import FACT_KEY, merge_keyed, sync_columns
 
@@ -64,8 +69,12 @@ class FactStore:
     def _manifest_path(self, version: int) -> str:
         return f"{self.root}/_manifest/v={version}"
 
-    def _segment_path(self, version: int, bucket: int) -> str:
-        return f"{self.root}/v={version}/{BUCKET_COL}={bucket}"
+    def _segment_path(self, segment: str, bucket: int) -> str:
+        return f"{self.root}/data/c={segment}/{BUCKET_COL}={bucket}"
+
+    @staticmethod
+    def _new_segment() -> str:
+        return uuid.uuid4().hex
 
     def current_version(self) -> int:
         if not path_exists(self.spark, f"{self.root}/_manifest"):
@@ -80,16 +89,16 @@ class FactStore:
             return None
         return self.spark.read.parquet(self._manifest_path(version))
 
-    def _segments(self, version: int, buckets: Sequence[int] | None = None) -> list[tuple[int, int]]:
+    def _segments(self, version: int, buckets: Sequence[int] | None = None) -> list[tuple[int, str]]:
         m = self.manifest(version)
         if m is None:
             return []
         if buckets is not None:
             m = m.filter(F.col(BUCKET_COL).isin(list(buckets)))
         # one row per live segment: bounded by buckets x segments-per-bucket
-        return [(r[BUCKET_COL], r["segment_version"]) for r in m.collect()]
+        return [(r[BUCKET_COL], r["segment"]) for r in m.collect()]
 
-    def _read_segments(self, segs: Sequence[tuple[int, int]]) -> DataFrame | None:
+    def _read_segments(self, segs: Sequence[tuple[int, str]]) -> DataFrame | None:
         if not segs:
             return None
         paths = [self._segment_path(v, b) for b, v in segs]
@@ -101,13 +110,13 @@ class FactStore:
         return self._read_segments(self._segments(version))
 
     # -- writes --------------------------------------------------------------------------
-    def _write_segment(self, df: DataFrame, version: int) -> None:
+    def _write_segment(self, df: DataFrame, segment: str) -> None:
         # rows arrive key-hashed from the preceding shuffle, so a hot bucket
         # is written by many tasks in parallel
-        df.write.mode("append").partitionBy(BUCKET_COL).parquet(f"{self.root}/v={version}")
+        df.write.mode("append").partitionBy(BUCKET_COL).parquet(f"{self.root}/data/c={segment}")
 
-    def _write_manifest(self, rows: list[tuple[int, int]], version: int) -> None:
-        schema = f"{BUCKET_COL} int, segment_version int"
+    def _write_manifest(self, rows: list[tuple[int, str]], version: int) -> None:
+        schema = f"{BUCKET_COL} int, segment string"
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").parquet(
             self._manifest_path(version)
         )
@@ -115,10 +124,15 @@ class FactStore:
     def overwrite(self, df: DataFrame) -> int:
         """Full build: every bucket gets a fresh segment."""
         new_v = self.current_version() + 1
+        seg = self._new_segment()
         bucketed = df.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
-        self._write_segment(bucketed, new_v)
-        written = self.spark.read.parquet(f"{self.root}/v={new_v}").select(BUCKET_COL).distinct()
-        self._write_manifest([(r[0], new_v) for r in written.collect()], new_v)
+        self._write_segment(bucketed, seg)
+        if not path_exists(self.spark, f"{self.root}/data/c={seg}/_SUCCESS"):
+            raise RuntimeError("segment write did not commit")
+        # buckets actually written = the partition folders (a metadata listing)
+        written = [int(n.split("=", 1)[1]) for n in list_subdirs(self.spark, f"{self.root}/data/c={seg}")
+                   if n.startswith(f"{BUCKET_COL}=")]
+        self._write_manifest([(b, seg) for b in sorted(written)], new_v)
         return new_v
 
     def upsert(self, delta: DataFrame) -> int:
@@ -127,6 +141,7 @@ class FactStore:
         if cur == 0:
             return self.overwrite(delta)
         new_v = cur + 1
+        seg = self._new_segment()
         delta = delta.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
         delta = delta.persist()
         try:
@@ -146,17 +161,17 @@ class FactStore:
                 hits = stored_keys.join(delta.select(self.key), self.key, "left_semi")
                 rewrite = {r[0] for r in hits.select(BUCKET_COL).distinct().collect()}
             appends = delta.filter(~F.col(BUCKET_COL).isin(list(rewrite))) if rewrite else delta
-            self._write_segment(appends, new_v)
+            self._write_segment(appends, seg)
             if rewrite:
                 old = self._read_segments([(b, v) for b, v in live_touched if b in rewrite])
                 upd = delta.filter(F.col(BUCKET_COL).isin(list(rewrite)))
                 old = sync_columns(old, upd.drop(BUCKET_COL))
                 merged = merge_keyed(old, upd.drop(BUCKET_COL), self.key)
                 merged = merged.withColumn(BUCKET_COL, file_bucket(self.bucket_by, self.buckets))
-                self._write_segment(merged, new_v)
+                self._write_segment(merged, seg)
             # manifest: untouched live segments, appended segments, replacements
             new_segments = [(b, v) for b, v in live if b not in rewrite]
-            new_segments += [(b, new_v) for b in touched]
+            new_segments += [(b, seg) for b in touched]
             self._write_manifest(sorted(set(new_segments)), new_v)
             return new_v
         finally:

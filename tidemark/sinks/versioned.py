@@ -1,10 +1,13 @@
-"""Full-refresh table with versioned snapshots: each write goes to a new
-``v=<n>`` folder and readers take the highest committed one, so a table
-is never overwritten while it is being read (e.g. a mart restated from
-its own previous version)."""
+"""Full-refresh table with versioned snapshots: each write goes to a fresh
+attempt folder, then a commit row (version, folder) is appended; readers
+take the highest committed version, so a table is never overwritten while
+it is being read (e.g. a mart restated from its own previous version) and
+a crashed write leaves only an unreferenced folder."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tidemark.session import path_exists
@@ -26,11 +29,15 @@ class VersionedTable:
         version = self.current_version() if version is None else version
         if version == 0:
             return None
-        return self.spark.read.parquet(f"{self.root}/v={version}")
+        commits = self.spark.read.parquet(f"{self.root}/_commits").filter(F.col("version") == version)
+        folder = commits.select("folder").first()[0]
+        return self.spark.read.parquet(f"{self.root}/data/{folder}")
 
     def write(self, df: DataFrame) -> int:
         new_v = self.current_version() + 1
-        df.write.mode("errorifexists").parquet(f"{self.root}/v={new_v}")
-        # commit marker written last: readers never see a partial version
-        self.spark.createDataFrame([(new_v,)], "version int").write.mode("append").parquet(f"{self.root}/_commits")
+        folder = uuid.uuid4().hex
+        df.write.mode("errorifexists").parquet(f"{self.root}/data/{folder}")
+        # commit row written last: readers never see a partial version
+        self.spark.createDataFrame([(new_v, folder)], "version int, folder string") \
+            .write.mode("append").parquet(f"{self.root}/_commits")
         return new_v
