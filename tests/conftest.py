@@ -14,7 +14,7 @@ def spark():
 
     # tests own their checkpoint folder (the setting is only filled when unset)
     os.environ.setdefault("TIDEMARK_LOCAL_ROOT", tempfile.mkdtemp(prefix="tidemark-tests-"))
-    s = get_session("local[4]", shuffle_partitions=8)
+    s = get_session("local[8]", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
