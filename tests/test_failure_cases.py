@@ -262,3 +262,22 @@ def test_manifest_beside_csv_not_ingested(spark, tmp_root):
 def test_backfill_end_before_start_raises(spark):
     with pytest.raises(ValueError):
         produce_backfill(spark, date(2024, 5, 3), date(2024, 5, 1))
+
+
+def test_malformed_number_fails_strict_and_is_quarantined(spark):
+    raw = spark.createDataFrame(
+        [("1", "1001", "101", "x", "2024-03-01 10:00:00", "2", "10.00", "20.00", "1.00", "19.00", "c", "Completed",
+          "b", "2024-03-02T08:00:00+00:00", "f.csv", datetime(2024, 3, 2)),
+         ("2", "1001", "101", "x", "2024-03-01 10:00:00", "two", "10.00", "20.00", "1.00", "19.00", "c", "Completed",
+          "b", "2024-03-02T08:00:00+00:00", "f.csv", datetime(2024, 3, 2))],
+        "order_id string, customer_id string, product_id string, product_category string, order_timestamp string, "
+        "quantity string, unit_price string, gross_amount string, discount_amount string, net_amount string, "
+        "payment_method string, order_status string, batch_id string, generated_at_utc string, "
+        "source_file_name string, load_ts timestamp")
+    with pytest.raises(Exception):
+        stg_sales(raw).collect()
+    q = __import__("tidemark.operators.staging", fromlist=["x"]).quarantine_rows(raw).collect()
+    assert [(r.order_id, r.failed_columns) for r in q] == [("2", ["quantity"])]
+    # '9.6' rounds like the warehouse number cast instead of failing
+    ok = stg_sales(raw.filter("order_id = '1'").withColumn("quantity", F.lit("9.6"))).first()
+    assert ok.quantity == 10

@@ -22,7 +22,14 @@ def surrogate_key(*cols: Column | str) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]))
 
 
-def to_whole_number(c: Column | str, dtype: T.DataType) -> Column:
+def cast_to(c: Column | str, dtype: T.DataType | str, lenient: bool = False) -> Column:
+    """``cast`` (fails the job on malformed input under ANSI) or, when
+    ``lenient``, ``try_cast`` (malformed -> NULL, for quarantine flows)."""
+    col = _c(c)
+    return col.try_cast(dtype) if lenient else col.cast(dtype)
+
+
+def to_whole_number(c: Column | str, dtype: T.DataType, lenient: bool = False) -> Column:
     """Warehouse ``::number`` cast: text and fractions round to an integer.
 
     A straight string->bigint cast raises on '9.6' under ANSI; going through
@@ -31,7 +38,7 @@ def to_whole_number(c: Column | str, dtype: T.DataType) -> Column:
     col = _c(c)
     if isinstance(dtype, T.IntegralType):
         return col.cast("bigint")
-    return col.cast(T.DecimalType(38, 0)).cast("bigint")
+    return cast_to(col, T.DecimalType(38, 0), lenient).cast("bigint")
 
 
 def title_case(c: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import (
     MONEY,
+    cast_to,
     safe_column,
     surrogate_key,
     title_case,
@@ -39,25 +40,28 @@ def sales_event_key(df: DataFrame) -> Column:
     return surrogate_key(*[safe_column(df, c) for c in EVENT_KEY_PARTS])
 
 
-def stage_columns(raw: DataFrame, include_optional: bool = False) -> list[Column]:
-    """The staging projection: one expression per output column."""
+def stage_columns(raw: DataFrame, include_optional: bool = False, lenient: bool = False) -> list[Column]:
+    """The staging projection: one expression per output column. Casts fail
+    the job on malformed text (ANSI); ``lenient`` turns them into
+    ``try_cast`` so bad values become NULL (see ``quarantine_rows``)."""
 
     def num(name: str) -> Column:
         dt = _typed(raw, name) or T.StringType()
-        return to_whole_number(safe_column(raw, name, dt), dt).alias(name)
+        return to_whole_number(safe_column(raw, name, dt), dt, lenient).alias(name)
 
     def money(name: str) -> Column:
-        return safe_column(raw, name, _typed(raw, name) or "string").cast(MONEY).alias(name)
+        return cast_to(safe_column(raw, name, _typed(raw, name) or "string"), MONEY, lenient).alias(name)
 
-    ts = safe_column(raw, "order_timestamp", _typed(raw, "order_timestamp") or "string")
+    ts = cast_to(safe_column(raw, "order_timestamp", _typed(raw, "order_timestamp") or "string"),
+                 "timestamp_ntz", lenient)
     cols = [
         sales_event_key(raw).alias("sales_event_key"),
         num("order_id"),
         num("customer_id"),
         num("product_id"),
         title_case(safe_column(raw, "product_category")).alias("product_category"),
-        ts.cast("timestamp_ntz").alias("order_timestamp"),
-        ts.cast("timestamp_ntz").cast("date").alias("order_date"),
+        ts.alias("order_timestamp"),
+        ts.cast("date").alias("order_date"),
         num("quantity"),
         money("unit_price"),
         money("gross_amount"),
@@ -66,11 +70,11 @@ def stage_columns(raw: DataFrame, include_optional: bool = False) -> list[Column
         title_case(safe_column(raw, "payment_method")).alias("payment_method"),
         upper_trim(safe_column(raw, "order_status")).alias("order_status"),
         safe_column(raw, "batch_id").alias("batch_id"),
-        safe_column(raw, "generated_at_utc", _typed(raw, "generated_at_utc") or "string")
-        .cast("timestamp").alias("generated_at_utc"),
+        cast_to(safe_column(raw, "generated_at_utc", _typed(raw, "generated_at_utc") or "string"),
+                "timestamp", lenient).alias("generated_at_utc"),
         safe_column(raw, "source_file_name").alias("source_file_name"),
-        safe_column(raw, "load_ts", _typed(raw, "load_ts") or "timestamp")
-        .cast("timestamp").alias("load_ts"),
+        cast_to(safe_column(raw, "load_ts", _typed(raw, "load_ts") or "timestamp"),
+                "timestamp", lenient).alias("load_ts"),
     ]
     if include_optional:
         cols += [safe_column(raw, c) for c in OPTIONAL_COLUMNS]
@@ -116,3 +120,22 @@ def stg_sales(
     staged = raw.select(*staged_cols, *extra).filter(F.col("order_id").isNotNull())
     order = [F.col("load_ts").desc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tie_breakers]
     return dedup_latest(staged, ["sales_event_key"], order).select(*out_cols)
+
+
+CAST_CHECKED = ("order_id", "customer_id", "product_id", "quantity", "unit_price", "gross_amount",
+                "discount_amount", "net_amount", "order_timestamp", "generated_at_utc", "load_ts")
+
+
+def quarantine_rows(raw: DataFrame) -> DataFrame:
+    """Raw rows a strict staging cast would reject: a value present in RAW
+    that becomes NULL under ``try_cast``, with the offending column names."""
+    staged = raw.select("*", *[c.alias(f"__t_{c_name}") for c, c_name in
+                               zip(stage_columns(raw, lenient=True), ["sales_event_key"] + STG_COLUMNS[1:])
+                               if c_name in CAST_CHECKED])
+    present = [c for c in CAST_CHECKED if _typed(raw, c) is not None]
+    bad = F.array_compact(F.array(*[
+        F.when(F.col(f"`{c}`").isNotNull() & F.col(f"__t_{c}").isNull(), F.lit(c)) for c in present
+    ]))
+    return (staged.withColumn("failed_columns", bad)
+            .filter(F.size("failed_columns") > 0)
+            .select(*[F.col(f"`{c}`") for c in raw.columns], "failed_columns"))

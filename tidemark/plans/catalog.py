@@ -491,3 +491,4 @@ def _backfill_range(s, d, start=date(2024, 5, 1), end=date(2024, 5, 31)):
 
 
 query("backfill_range")(_backfill_range)
+query("quarantine_rows")(lambda s, d: sg.quarantine_rows(m.raw(s, d)))

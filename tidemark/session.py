@@ -19,6 +19,13 @@ _REQUIRED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Streaming state (watermark dedup) lives in RocksDB so large key sets spill
+# to local disk instead of the executor heap. Only applied when the session
+# has not chosen a provider (it must stay fixed for a given checkpoint).
+_STATE_STORE = (
+    "spark.sql.streaming.stateStore.providerClass",
+    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+)
 
 
 def get_session(
@@ -44,6 +51,8 @@ def get_session(
     spark = builder.getOrCreate()
     for k, v in _REQUIRED_CONF.items():
         spark.conf.set(k, v)
+    if not spark.conf.get(_STATE_STORE[0], None):
+        spark.conf.set(*_STATE_STORE)
     ensure_checkpoint_dir(spark)
     return spark
 
