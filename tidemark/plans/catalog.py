@@ -8,14 +8,34 @@ is the feature (top-k reports).
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.functions.columns import exact_avg, money_sum, safe_column, safe_ratio
+from tidemark.operators import contract as ct
 from tidemark.operators import dims as dims_mod
+from tidemark.operators import fact as fa
+from tidemark.operators import incremental as inc
+from tidemark.operators import integrity as ig
+from tidemark.operators import intermediate as im
 from tidemark.operators import marts
+from tidemark.operators import quality as q
+from tidemark.operators import serving as sv
+from tidemark.operators import staging as sg
+from tidemark.operators import summaries as sm
+from tidemark.operators import usage as us
 from tidemark.plans import models as m
+from tidemark.plans import pipeline as pl
+from tidemark.session import scratch_dir
+from tidemark.sinks import landing as ld
+from tidemark.sinks.fact_store import FactStore
+from tidemark.sources import adapters as ad
+from tidemark.sources import files as fs
+from tidemark.streaming import ingest as st
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,13 +63,7 @@ query("mart_load_audit")(lambda s, d: marts.mart_load_audit(m.raw(s, d), m.fct(s
 
 
 # --- summaries ----------------------------------------------------------------------
-from datetime import date, datetime  # noqa: E402
 
-from tidemark.operators import quality as q  # noqa: E402
-from tidemark.operators import serving as sv  # noqa: E402
-from tidemark.operators import summaries as sm  # noqa: E402
-from tidemark.operators import usage as us  # noqa: E402
-from tidemark.sources import adapters as ad  # noqa: E402
 
 LATE_AS_OF = date(2025, 6, 30)
 BACKFILL_WINDOW = (date(2024, 5, 1), date(2024, 5, 3))
@@ -167,10 +181,6 @@ query("quality_report")(_report(None))
 query("validate_batch")(lambda s, d: q.batch_violations(m.raw(s, d)))
 
 # --- incremental fact, upsert, late data and restatement ------------------------------
-from tidemark.operators import fact as fa  # noqa: E402
-from tidemark.operators import incremental as inc  # noqa: E402
-from tidemark.session import scratch_dir  # noqa: E402
-from tidemark.sinks.fact_store import FactStore  # noqa: E402
 
 
 def _store_build(s, d, reruns: int = 1):
@@ -196,15 +206,6 @@ query("restate_kpi_dates")(lambda s, d: inc.restate_kpi_dates(
 ))
 
 # --- file sources / sinks, integrity, streaming (own tests; rows-only in the driver) ----
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
-from tidemark.operators import contract as ct  # noqa: E402
-from tidemark.operators import integrity as ig  # noqa: E402
-from tidemark.plans import pipeline as pl  # noqa: E402
-from tidemark.sinks import landing as ld  # noqa: E402
-from tidemark.sources import files as fs  # noqa: E402
-from tidemark.streaming import ingest as st  # noqa: E402
 
 
 def landed_schema(df) -> T.StructType:
@@ -412,9 +413,6 @@ query("materialize_full")(lambda s, d: s.read.parquet(
 query("row_generator")(lambda s, d: dims_mod.dim_date(s, as_of=_latest_load(s, d)).select("date_day"))
 
 # --- sub-steps of the models, primitive aggregates, joins -------------------------------
-from tidemark.functions.columns import exact_avg, money_sum, safe_column, safe_ratio  # noqa: E402
-from tidemark.operators import intermediate as im  # noqa: E402
-from tidemark.operators import staging as sg  # noqa: E402
 
 STAMP_AS_OF = datetime(2024, 6, 30, 0, 0, 0)
 
