@@ -115,3 +115,13 @@ def test_producer_domains(spark):
     per_day = {r[0]: r[1] for r in bf.groupBy(F.to_date("order_timestamp")).count().collect()}
     assert per_day == {date(2024, 5, 1): 100, date(2024, 5, 2): 100, date(2024, 5, 3): 100}
     assert bf.agg(F.min("order_id")).first()[0] == 20240501 * 1_000_000 + 1
+
+
+def test_store_auto_compacts_buckets(spark):
+    store = FactStore(spark, scratch_dir(spark, "compact_store"), buckets=1, max_segments=2)
+    batches = [_rows([(i, 0, i, 1)]) for i in range(1, 5)]
+    store.overwrite(fct_projection(int_sales_enriched(stg_sales(raw_df(spark, batches[0])))))
+    for b in batches[1:]:
+        store.upsert(fct_projection(int_sales_enriched(stg_sales(raw_df(spark, b)))))
+        assert len(store._segments(store.current_version())) <= 2
+    assert store.read().count() == 4

@@ -67,11 +67,13 @@ def mart_sales_daily_kpi(
     fct: DataFrame, dim: DataFrame, stamp: bool = False, as_of: datetime | None = None
 ) -> DataFrame:
     """Daily KPI left-joined to the date dimension (dates outside it keep
-    NULL attributes). The dimension is bounded (``dim_date`` n_days rows),
-    so it is broadcast; the fact is aggregated before the join."""
+    NULL attributes). The fact is aggregated first, so the join sees one
+    row per date on each side; no broadcast is forced - Spark broadcasts
+    the dimension only when its size estimate is under the broadcast
+    threshold (a generated ``dim_date`` is ~1500 rows), else sort-merge."""
     daily = daily_sales(fct)
     joined = daily.join(
-        F.broadcast(dim.select("date_day", *DATE_ATTRS)),
+        dim.select("date_day", *DATE_ATTRS),
         daily.order_date == F.col("date_day"),
         "left",
     )

@@ -447,7 +447,7 @@ query("dedup_latest")(lambda s, d: sg.dedup_latest(
     m.fct(s, d).select("customer_id", "sales_event_key", "order_timestamp", "net_amount"),
     ["customer_id"], [F.col("order_timestamp").desc_nulls_last(), F.col("sales_event_key").asc()]))
 query("join_daily_date_dim")(lambda s, d: marts.daily_sales(m.fct(s, d)).join(
-    F.broadcast(m.dim(s)), F.col("order_date") == F.col("date_day"), "left").select(
+    m.dim(s), F.col("order_date") == F.col("date_day"), "left").select(
     "order_date", "date_day", "month_name", "is_weekend", "total_orders"))
 query("join_raw_fact_files")(lambda s, d: marts.agg_files_raw(m.raw(s, d)).join(
     marts.agg_files_fact(m.fct(s, d)), "source_file_name", "left").select(

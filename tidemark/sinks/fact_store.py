@@ -22,8 +22,9 @@ Commit n+1 (``upsert``):
    buckets' live segments to find buckets holding re-delivered keys;
 3. buckets without re-delivered keys: the delta rows are appended as a new
    segment - nothing already stored is rewritten;
-4. buckets with re-delivered keys: stored rows minus matched keys, union
-   the delta rows, written as a replacement segment;
+4. buckets with re-delivered keys (or with ``max_segments`` live segments,
+   i.e. auto-compaction): stored rows minus matched keys, union the delta
+   rows, written as a replacement segment;
 5. the manifest for n+1 is written last. Readers only follow manifests, so
    a job that dies before step 5 leaves an invisible orphan folder and the
    previous version intact. No path that is being read is ever
@@ -58,12 +59,14 @@ class FactStore:
         key: str = FACT_KEY,
         bucket_by: str = "source_file_name",
         buckets: int = 64,
+        max_segments: int = 16,
     ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
         self.bucket_by = bucket_by
         self.buckets = buckets
+        self.max_segments = max_segments
 
     # -- metadata --------------------------------------------------------------------
     def _manifest_path(self, version: int) -> str:
@@ -160,6 +163,12 @@ class FactStore:
                 )
                 hits = stored_keys.join(delta.select(self.key), self.key, "left_semi")
                 rewrite = {r[0] for r in hits.select(BUCKET_COL).distinct().collect()}
+            # auto-compaction: a touched bucket that has accumulated
+            # ``max_segments`` appended segments is rewritten as one
+            per_bucket: dict[int, int] = {}
+            for b, _ in live_touched:
+                per_bucket[b] = per_bucket.get(b, 0) + 1
+            rewrite |= {b for b, n in per_bucket.items() if n >= self.max_segments}
             appends = delta.filter(~F.col(BUCKET_COL).isin(list(rewrite))) if rewrite else delta
             self._write_segment(appends, seg)
             if rewrite:

@@ -38,8 +38,12 @@ def with_scan_parallelism(df: DataFrame) -> DataFrame:
     parallelism inserted. At warehouse scale the scan already has far more
     splits than slots and the plan is left untouched (no extra shuffle).
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only (file listing), no job
+    except Exception:  # sessions without RDD access: leave the plan as is
+        return df
+    if splits * 2 <= slots:
         return df.repartition(slots)
     return df
 
