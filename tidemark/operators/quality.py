@@ -4,10 +4,9 @@ Two families, as in the reference:
 
 * row checks (``check_*``) return the failing rows (empty = pass);
 * metric checks (``Check``) compute one number per check and compare it to
-  a threshold. ``quality_report`` evaluates a whole suite with one fused
-  aggregate per table for all scalar metrics (row count, missing counts,
-  min bounds, failed-row counts) plus one grouped aggregate per
-  duplicate-count column, and returns one row per check.
+  a threshold. ``quality_report`` evaluates a whole suite with one pass per
+  table (scalar metrics folded into the duplicate-count group-by, see
+  ``metric_report``) and returns one row per check.
 """
 
 from __future__ import annotations
@@ -155,18 +154,60 @@ def duplicate_count(df: DataFrame, column: str) -> DataFrame:
     return check_unique(df, column).agg(F.count(F.lit(1)).cast("double").alias("metric"))
 
 
+def _partial_metric(c: Check) -> Column | None:
+    """Per-group partial of a scalar metric (None: derived from the group count)."""
+    if c.kind == "row_count":
+        return None
+    if c.kind == "missing_count":
+        return F.count_if(F.col(c.column).isNull())
+    if c.kind == "min":
+        return F.min(F.col(c.column))
+    if c.kind == "failed_rows":
+        return F.count_if(F.coalesce(F.expr(c.predicate), F.lit(False)))
+    raise ValueError(c.kind)
+
+
+def _final_metric(c: Check, partial: str) -> Column:
+    if c.kind == "row_count":
+        return F.sum("__n").cast("double")
+    if c.kind == "min":
+        return F.min(partial).cast("double")
+    return F.sum(partial).cast("double")
+
+
 def metric_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Report rows for the checks of one table: all scalar metrics in one
-    aggregate; each duplicate-count check as its own grouped aggregate."""
+    """Report rows for the checks of one table in a single pass.
+
+    With a duplicate-count check, all scalar metrics are folded into that
+    check's group-by: group by the checked column computing per-group
+    partials (count, null counts, mins, failed-row counts), then one global
+    aggregate finishes every metric plus the number of duplicated values.
+    Partial aggregation keeps a hot value to one row per map task. Further
+    duplicate checks on the same table get their own grouped aggregate.
+    """
     scalar = [c for c in checks if c.kind != "duplicate_count"]
+    dups = [c for c in checks if c.kind == "duplicate_count"]
     parts: list[DataFrame] = []
-    if scalar:
+    if dups:
+        key = dups[0].column
+        partials = [(f"p{i}", _partial_metric(c)) for i, c in enumerate(scalar)]
+        grouped = df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[expr.alias(name) for name, expr in partials if expr is not None],
+        )
+        finals = [_final_metric(c, f"p{i}").alias(f"m{i}") for i, c in enumerate(scalar)]
+        dup_metric = F.count_if((F.col("__n") > 1) & F.col(key).isNotNull()).cast("double").alias("mdup")
+        agg = grouped.agg(*finals, dup_metric)
+        rows = [_report_row(c, F.col(f"m{i}")) for i, c in enumerate(scalar)]
+        rows.append(_report_row(dups[0], F.col("mdup")))
+        parts.append(agg.select(F.inline(F.array(*rows))))
+        dups = dups[1:]
+    elif scalar:
         agg = df.agg(*[_scalar_metric(c).alias(f"m{i}") for i, c in enumerate(scalar)])
         rows = F.array(*[_report_row(c, F.col(f"m{i}")) for i, c in enumerate(scalar)])
         parts.append(agg.select(F.inline(rows)))
-    for c in checks:
-        if c.kind == "duplicate_count":
-            parts.append(duplicate_count(df, c.column).select(F.inline(F.array(_report_row(c, F.col("metric"))))))
+    for c in dups:
+        parts.append(duplicate_count(df, c.column).select(F.inline(F.array(_report_row(c, F.col("metric"))))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

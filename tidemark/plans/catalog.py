@@ -29,7 +29,7 @@ from tidemark.operators import summaries as sm
 from tidemark.operators import usage as us
 from tidemark.plans import models as m
 from tidemark.plans import pipeline as pl
-from tidemark.session import scratch_dir
+from tidemark.session import materialize, scratch_dir
 from tidemark.sinks import landing as ld
 from tidemark.sinks.fact_store import FactStore
 from tidemark.sources import adapters as ad
@@ -141,10 +141,10 @@ query("usage_risk_level")(lambda s, d: us.usage_risk_level(ad.warehouse_metering
 
 
 def _check_tables(s, d):
-    # the fact feeds five checked tables: materialise it once in the shared
-    # checkpoint folder (lineage cut; survives executor loss) instead of
-    # recomputing staging + dedup per consumer
-    fct = m.fct(s, d).checkpoint()
+    # the fact feeds five checked tables: materialise it once as a table in
+    # the shared checkpoint folder (lineage cut; survives executor loss)
+    # instead of recomputing staging + dedup per consumer
+    fct = materialize(m.fct(s, d), "checked_fct")
     raw = m.raw(s, d)
     return {
         "sales_raw": raw,

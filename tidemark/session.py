@@ -98,3 +98,14 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return the read-back frame: lineage is cut, the result survives
+    executor loss, and (unlike ``checkpoint()`` on an unpersisted frame) the
+    plan is computed once; later readers get column pruning and pushdown."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
