@@ -334,3 +334,119 @@ def validate_batch(df: DataFrame, required: Sequence[str] = REQUIRED_BATCH_COLUM
     if counts["non_positive_quantity"] > 0:
         raise ValueError("Invalid quantity values found")
     return df
+
+
+# --- declarative row tests (per-model column tests + singular tests) ------------------------
+
+@dataclass(frozen=True)
+class RowTest:
+    """``not_null`` / ``unique`` / ``accepted_values`` on a column, or a
+    singular ``expression`` test (failing-row predicate). ``failures`` is the
+    number of rows the test query returns: NULL rows, duplicated values,
+    distinct unaccepted values, or rows matching the predicate."""
+
+    table: str
+    test: str
+    column: str | None = None
+    values: tuple[str, ...] = ()
+    predicate: str | None = None
+    name: str | None = None
+
+    @property
+    def test_name(self) -> str:
+        return self.name or self.test
+
+
+def _row_test_row(t: RowTest, failures: Column) -> Column:
+    return F.struct(
+        F.lit(t.table).alias("table_name"),
+        F.lit(t.test_name).alias("test_name"),
+        F.lit(t.column).cast("string").alias("column_name"),
+        failures.cast("bigint").alias("failures"),
+        F.when(failures == 0, F.lit("pass")).otherwise(F.lit("fail")).alias("status"),
+    )
+
+
+def _row_failing(t: RowTest) -> Column:
+    if t.test == "not_null":
+        return F.col(t.column).isNull()
+    return F.coalesce(F.expr(t.predicate), F.lit(False))
+
+
+def row_test_table_report(df: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
+    """All tests of one table. Row-count tests (not_null, expression) are
+    folded into the first unique test's group-by as per-group partials;
+    accepted_values counts distinct bad values after a selective filter."""
+    counted = [t for t in tests if t.test in ("not_null", "expression")]
+    uniques = [t for t in tests if t.test == "unique"]
+    accepted = [t for t in tests if t.test == "accepted_values"]
+    parts: list[DataFrame] = []
+    if uniques:
+        key = uniques[0].column
+        grouped = df.groupBy(key).agg(
+            F.count(F.lit(1)).alias("__n"),
+            *[F.count_if(_row_failing(t)).alias(f"p{i}") for i, t in enumerate(counted)],
+        )
+        agg = grouped.agg(
+            *[F.sum(f"p{i}").alias(f"f{i}") for i in range(len(counted))],
+            F.count_if((F.col("__n") > 1) & F.col(key).isNotNull()).alias("fu"),
+        )
+        rows = [_row_test_row(t, F.coalesce(F.col(f"f{i}"), F.lit(0))) for i, t in enumerate(counted)]
+        rows.append(_row_test_row(uniques[0], F.col("fu")))
+        parts.append(agg.select(F.inline(F.array(*rows))))
+        uniques = uniques[1:]
+    elif counted:
+        agg = df.agg(*[F.count_if(_row_failing(t)).alias(f"f{i}") for i, t in enumerate(counted)])
+        parts.append(agg.select(F.inline(F.array(*[_row_test_row(t, F.col(f"f{i}")) for i, t in enumerate(counted)]))))
+    for t in uniques:
+        n = check_unique(df, t.column).agg(F.count(F.lit(1)).alias("f"))
+        parts.append(n.select(F.inline(F.array(_row_test_row(t, F.col("f"))))))
+    for t in accepted:
+        n = df.filter(~F.col(t.column).isin(*t.values)).agg(F.count_distinct(t.column).alias("f"))
+        parts.append(n.select(F.inline(F.array(_row_test_row(t, F.col("f"))))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def row_test_report(tables: dict[str, DataFrame], tests: Sequence[RowTest]) -> DataFrame:
+    parts = [
+        row_test_table_report(tables[t], [x for x in tests if x.table == t])
+        for t in dict.fromkeys(x.table for x in tests)
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _nn(table: str, *cols: str) -> list[RowTest]:
+    return [RowTest(table, "not_null", c) for c in cols]
+
+
+ROW_TESTS = [
+    *_nn("sales_raw", "order_id", "customer_id", "source_file_name", "load_ts"),
+    *_nn("stg_sales", "sales_event_key"), RowTest("stg_sales", "unique", "sales_event_key"),
+    *_nn("stg_sales", "order_id", "customer_id"),
+    RowTest("stg_sales", "accepted_values", "order_status", ACCEPTED_STATUSES),
+    *_nn("stg_sales", "source_file_name", "load_ts"),
+    *_nn("int_sales_enriched", "sales_event_key"), RowTest("int_sales_enriched", "unique", "sales_event_key"),
+    *_nn("dim_date", "date_day"), RowTest("dim_date", "unique", "date_day"),
+    *_nn("fct_sales", "sales_event_key"), RowTest("fct_sales", "unique", "sales_event_key"),
+    *_nn("fct_sales", "order_id", "customer_id"),
+    RowTest("fct_sales", "accepted_values", "order_status", ACCEPTED_STATUSES),
+    *_nn("fct_sales", "source_file_name", "load_ts"),
+    RowTest("fct_sales", "expression", name="assert_sales_amounts_reconcile",
+            predicate="abs(gross_amount - quantity * unit_price) > 0.01 or "
+                      "abs(net_amount - case when gross_amount is null or discount_amount is null then null "
+                      "else greatest(gross_amount - discount_amount, 0) end) > 0.01"),
+    *_nn("mart_sales_daily_kpi", "order_date"), RowTest("mart_sales_daily_kpi", "unique", "order_date"),
+    *_nn("mart_customer_sales_kpi", "customer_id"), RowTest("mart_customer_sales_kpi", "unique", "customer_id"),
+    *_nn("mart_load_audit", "source_file_name"), RowTest("mart_load_audit", "unique", "source_file_name"),
+    RowTest("mart_load_audit", "accepted_values", "reconciliation_status", RECONCILIATION_STATUSES),
+    RowTest("mart_load_audit", "expression", name="assert_load_audit_matched",
+            predicate="reconciliation_status <> 'MATCHED'"),
+    *_nn("mart_product_category_sales_kpi", "product_category"),
+    RowTest("mart_product_category_sales_kpi", "unique", "product_category"),
+]

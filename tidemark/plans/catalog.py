@@ -490,3 +490,21 @@ def _backfill_range(s, d, start=date(2024, 5, 1), end=date(2024, 5, 31)):
 
 query("backfill_range")(_backfill_range)
 query("quarantine_rows")(lambda s, d: sg.quarantine_rows(m.raw(s, d)))
+
+
+def _row_tests(s, d):
+    stg = materialize(m.stg(s, d), "tested_stg")
+    enriched = im.int_sales_enriched(stg)
+    fct = fa.fct_projection(enriched)
+    raw = m.raw(s, d)
+    tables = {
+        "sales_raw": raw, "stg_sales": stg, "int_sales_enriched": enriched, "dim_date": m.dim(s),
+        "fct_sales": fct, "mart_sales_daily_kpi": marts.mart_sales_daily_kpi(fct, m.dim(s)),
+        "mart_customer_sales_kpi": marts.mart_customer_sales_kpi(fct),
+        "mart_load_audit": marts.mart_load_audit(raw, fct),
+        "mart_product_category_sales_kpi": marts.mart_product_category_sales_kpi(fct),
+    }
+    return q.row_test_report(tables, q.ROW_TESTS)
+
+
+query("row_test_report")(_row_tests)
