@@ -80,10 +80,14 @@ def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | dateti
         }
         for name, df in built.items():
             out[name] = materialize_full(df, root, "marts", name)
-        tables = {"sales_raw": raw, "fct_sales": fct}
+        tables = {"sales_raw": raw, "fct_sales": fct, "dim_date": dim,
+                  "stg_sales": spark.read.parquet(layer_path(root, "staging", "stg_sales")),
+                  "int_sales_enriched": enriched}
         tables.update({n: spark.read.parquet(out[n]) for n in built})
         report = quality.quality_report(tables, quality.ALL_CHECKS)
         out["quality_report"] = materialize_full(report, root, "audit", "quality_report")
+        tests = quality.row_test_report(tables, quality.ROW_TESTS)
+        out["row_test_report"] = materialize_full(tests, root, "audit", "row_test_report")
         if gate:
             quality.require_passing(spark.read.parquet(out["quality_report"]))
     return out
