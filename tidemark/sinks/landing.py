@@ -40,9 +40,13 @@ def land_by_arrival(
     """Write CSV with header under ``root/year=YYYY/month=MM/day=DD/``
     keyed by the **arrival** date (zero-padded; ``grain="month"`` stops at
     the month folder for monthly source files). With ``file_col`` each
-    source file keeps its own leaf folder so lineage survives. No
-    repartition by file: a huge file is written by many tasks, capped at
-    ``MAX_RECORDS_PER_FILE`` rows per output file."""
+    source file keeps its own leaf folder so lineage survives.
+
+    Rows are *rebalanced* on the partition columns (the ``rebalance`` hint):
+    AQE groups each folder's rows into as few tasks as the advisory
+    partition size allows - one output file for a normal source file - and
+    splits an oversized folder over several tasks, so a hot file is never
+    funnelled through one task; ``MAX_RECORDS_PER_FILE`` caps file size."""
     columns = columns or RAW_CSV_COLUMNS
     a = F.col(arrival)
     parts = [F.date_format(a, "yyyy").alias("year"), F.date_format(a, "MM").alias("month")]
@@ -55,6 +59,7 @@ def land_by_arrival(
         part_names.append("file")
     (
         df.select(*_csv_payload(df, columns), *parts)
+        .hint("rebalance", *part_names)
         .write.mode(mode)
         .option("header", True)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -81,6 +86,7 @@ def land_backfill(df: DataFrame, root: str, business_ts: str = "order_timestamp"
     columns = columns or RAW_CSV_COLUMNS
     (
         df.select(*_csv_payload(df, columns), F.date_format(F.col(business_ts), "yyyy-MM-dd").alias("business_date"))
+        .hint("rebalance", "business_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("header", True)
