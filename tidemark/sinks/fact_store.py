@@ -114,9 +114,12 @@ class FactStore:
 
     # -- writes --------------------------------------------------------------------------
     def _write_segment(self, df: DataFrame, segment: str) -> None:
-        # rows arrive key-hashed from the preceding shuffle, so a hot bucket
-        # is written by many tasks in parallel
-        df.write.mode("append").partitionBy(BUCKET_COL).parquet(f"{self.root}/data/c={segment}")
+        # rebalance on the bucket: AQE packs each bucket's rows into as few
+        # tasks as the advisory size allows (few files per bucket instead of
+        # one per task x bucket) and splits an oversized bucket over several
+        # tasks, so a hot bucket is still written in parallel
+        (df.hint("rebalance", BUCKET_COL)
+         .write.mode("append").partitionBy(BUCKET_COL).parquet(f"{self.root}/data/c={segment}"))
 
     def _write_manifest(self, rows: list[tuple[int, str]], version: int) -> None:
         schema = f"{BUCKET_COL} int, segment string"
