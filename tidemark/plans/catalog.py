@@ -145,7 +145,7 @@ def _check_tables(s, d):
     # the shared checkpoint folder (lineage cut; survives executor loss)
     # instead of recomputing staging + dedup per consumer
     fct = materialize(m.fct(s, d), "checked_fct")
-    raw = m.raw(s, d)
+    raw = materialize(m.raw(s, d), "checked_raw")  # raw checks + audit read it once
     return {
         "sales_raw": raw,
         "fct_sales": fct,
@@ -496,7 +496,7 @@ def _row_tests(s, d):
     stg = materialize(m.stg(s, d), "tested_stg")
     enriched = im.int_sales_enriched(stg)
     fct = fa.fct_projection(enriched)
-    raw = m.raw(s, d)
+    raw = materialize(m.raw(s, d), "tested_raw")  # raw tests + audit read it once
     tables = {
         "sales_raw": raw, "stg_sales": stg, "int_sales_enriched": enriched, "dim_date": m.dim(s),
         "fct_sales": fct, "mart_sales_daily_kpi": marts.mart_sales_daily_kpi(fct, m.dim(s)),
