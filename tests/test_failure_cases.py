@@ -281,3 +281,15 @@ def test_malformed_number_fails_strict_and_is_quarantined(spark):
     # '9.6' rounds like the warehouse number cast instead of failing
     ok = stg_sales(raw.filter("order_id = '1'").withColumn("quantity", F.lit("9.6"))).first()
     assert ok.quantity == 10
+
+
+def test_file_completeness_reports_missing_and_unexpected(spark):
+    from tidemark.operators import summaries as sm
+
+    expected = spark.createDataFrame([("s3://b/sales/raw/a.csv",), ("b.csv",), ("c.csv",)], "source_file_name string")
+    loaded = spark.createDataFrame([("a.csv",), ("b.csv",), ("b.csv",), ("zzz.csv",)], "source_file_name string")
+    assert sorted(r.file_name for r in sm.files_not_loaded(expected, loaded).collect()) == ["c.csv"]
+    r = sm.all_files_loaded(expected, loaded).first()
+    assert (r.expected_files, r.loaded_files, r.missing_files, r.unexpected_files, r.all_loaded) == (3, 3, 1, 1, False)
+    ok = sm.all_files_loaded(expected.limit(2), loaded.filter("source_file_name != 'zzz.csv'")).first()
+    assert ok.all_loaded
