@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, wavelet
-from .common import prepare, table
+from . import groupjoin, mixing, rules, wavelet
+from .common import crc_mod, prepare, table
 
 END_ID = 2
 
@@ -26,14 +27,32 @@ def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.document_digests(spark, wavelet.write_shards(docs, tokenizer_path(), END_ID))
 
 
+def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groupjoin.join_components(table(spark, sf_dir, "documents"))
+
+
 def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def quality_model(spark: SparkSession, sf_dir: str) -> rules.RuleModel:
+    """Fitted on labelled documents whose crc32(doc_id) mod 3 is not 1."""
+    labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 3) != 1)
+    return rules.train(table(spark, sf_dir, "documents"), labels.select("doc_id", F.col("quality").alias("label")))
+
+
+def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = rules.score(table(spark, sf_dir, "documents").select("doc_id", "text"), quality_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_wavelet_tokens": op2_wavelet_tokens,
+    "op3_group_join": op3_group_join,
     "op5_systematic_mix": op5_systematic_mix,
+    "op7_rule_quality": op7_rule_quality,
 }
 
 
