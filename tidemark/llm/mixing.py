@@ -74,19 +74,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     spark = docs.sparkSession
     sized = docs.select("doc_id", "source", *keep,
                         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    # the key of ties is the row itself: equal rows may swap places freely
     order = [F.col("source").isNull(), F.col("source"), F.col("size"), F.col("doc_id")]
-    ranged = sized.repartitionByRange(partitions(spark), *order).withColumn("part", F.spark_partition_id())
-    ranged = store(ranged, "mix_ranged")
+    # equal rows may swap places freely; the written table fixes the order
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = store(sized.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+                   .withColumn("part", F.spark_partition_id()).withColumn("place", place), "mix_ranged")
     targets = store(source_targets(ranged.select("source", "size"), weights, share, cap, seed), "mix_targets")
-    counts = ranged.groupBy("part", "source").agg(F.count("*").alias("n"))
+    counts = ranged.groupBy("part", "source").agg(F.count("*").alias("n"), F.min("place").alias("first"))
     before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("part", F.col("source").alias("s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    per = offsets.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("source")
-    inside = Window.partitionBy("part", "source").orderBy("size", "doc_id")
-    placed = ranged.withColumn("in_part", F.row_number().over(inside)).withColumnRenamed("part", "p")
-    joined = placed.join(per, (F.col("p") == F.col("part")) & F.col("source").eqNullSafe(F.col("s")))
-    rank = (F.col("before") + F.col("in_part")).cast("double")
+    offsets = counts.select("part", F.col("source").alias("s"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift_by"))
+    per = store(offsets.join(targets, F.col("s").eqNullSafe(F.col("source"))).drop("source").withColumnRenamed("part", "p"), "mix_offsets")
+    joined = ranged.join(per, (F.col("p") == F.col("part")) & F.col("source").eqNullSafe(F.col("s")))
+    rank = (F.col("shift_by") + F.col("place") + 1).cast("double")
     crossed = F.floor(F.col("rate") * rank + F.col("shift")) - F.floor(F.col("rate") * (rank - 1) + F.col("shift"))
     return (joined.withColumn("copies", crossed.cast("long"))
             .select("doc_id", "source", *keep, "size", "source_size", "target", "copies",
