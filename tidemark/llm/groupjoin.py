@@ -35,10 +35,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_list, components, gram_hashes, hash_words, store
+from .common import binary_list, components, gram_hashes, hash_words, store, text_key
 from .sharedbits import count_bits, is_set
 
 SHINGLE = 5
@@ -72,8 +72,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
             yield s[: np.searchsorted(s, _EDGE)]
 
 
-_SETS = ("doc_id long, n_shingles long, node binary, prefix array<bigint>, shingles binary")
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
+_SETS = ("doc_id long, row_key long, n_shingles long, node binary, prefix array<bigint>, shingles binary")
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()),
                          ("prefix", pa.list_(pa.int64())), ("shingles", pa.binary())])
 
 
@@ -88,11 +88,11 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         bitmap = repeated.value
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), binary_list(batch.column("text"))):
+            for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), binary_list(batch.column("text"))):
                 s = shingle_set(text)
                 n = len(s)
                 if not n:
-                    rows.append((doc_id, 0, None, None, None))
+                    rows.append((doc_id, key, 0, None, None, None))
                     continue
                 node = xxhash.xxh3_128_digest(s.tobytes(), seed=n)
                 prefix = whole = None
@@ -107,10 +107,10 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                         if len(seen) > 200_000:
                             seen.clear()
                         seen.add(node)
-                rows.append((doc_id, n, node, prefix, whole))
+                rows.append((doc_id, key, n, node, prefix, whole))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SETS_ARROW)], schema=_SETS_ARROW)
 
-    return store(docs.select("doc_id", "text").mapInArrow(build, _SETS), "join_sets")
+    return store(docs.select("doc_id", text_key(F.col("text")).alias("row_key"), "text").mapInArrow(build, _SETS), "join_sets")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -222,7 +222,11 @@ def _bounded(asks: DataFrame, percent: int) -> DataFrame:
 
 
 def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    """(doc_id, row_key, n_shingles, root, component_id) of every row.
+
+    ``row_key`` is ``common.text_key`` of the text, ``root`` the key of the
+    component (null for sets without shingles).
+    """
     spark = docs.sparkSession
     sets = shingle_sets(docs, percent)
     edges = links(sets, percent)
@@ -230,6 +234,23 @@ def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     lows = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     named = store(lows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join_named")
     best = store(named.groupBy("root").agg(F.min("low").alias("component_id")), "join_best")
-    of = store(named.join(best, "root").select("node", "component_id"), "join_component")
-    return (sets.select("doc_id", "n_shingles", "node").join(of, "node", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", F.when(F.col("node").isNull(), F.col("doc_id"))).alias("component_id")))
+    of = store(named.join(best, "root").select("node", "root", "component_id"), "join_component")
+    return (sets.select("doc_id", "row_key", "n_shingles", "node").join(of, "node", "left")
+            .select("doc_id", "row_key", "n_shingles", "root",
+                    F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component (the smallest doc_id, null
+    last) and every row without shingles."""
+    rows = store(join_components(docs, percent), "join_rows")
+    least = (rows.where("root is not null").groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("k"))
+             .select(F.col("k.doc_id").alias("k_id"), F.col("k.row_key").alias("k_key"), F.lit(True).alias("leads")))
+    bare = rows.where("root is null").select(F.col("doc_id").alias("k_id"), F.col("row_key").alias("k_key"), F.lit(False).alias("leads")).distinct()
+    keys = store(least.union(bare), "join_keep")
+    joined = (docs.withColumn("own_row_key", text_key(F.col("text")))
+              .join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("own_row_key") == F.col("k_key"))))
+    # equal rows of a group share the key: one of them stays
+    copies = Window.partitionBy("doc_id", "own_row_key", "leads").orderBy("own_row_key")
+    return joined.withColumn("copy", F.row_number().over(copies)).where("copy = 1 or not leads").select(*docs.columns)

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import groupjoin, mixing, rules, wavelet
+from . import decontam, groupjoin, mixing, rules, wavelet
 from .common import crc_mod, prepare, table
 
 END_ID = 2
@@ -22,13 +22,20 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return wavelet.document_digests(spark, wavelet.write_shards(docs, tokenizer_path(), END_ID))
 
 
 def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groupjoin.join_components(table(spark, sf_dir, "documents"))
+    joined = groupjoin.join_components(table(spark, sf_dir, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +56,7 @@ def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spaced_seeds": op1_spaced_seeds,
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_group_join": op3_group_join,
     "op5_systematic_mix": op5_systematic_mix,
