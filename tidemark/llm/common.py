@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +29,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the Python workers, once an application, unless
+    their PYTHONPATH already holds it."""
+    package = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    paths = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    if app in _SHIPPED or str(package.parent) in paths:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*")):
+            if f.suffix in (".py", ".json"):
+                z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the corpus operators: a shared checkpoint folder
-    and small Arrow batches (see ``ARROW_ROWS``)."""
+    """Session settings of the corpus operators: a shared checkpoint folder,
+    the package on the workers, and small Arrow batches (``ARROW_ROWS``)."""
     ensure_checkpoint_dir(spark)
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 

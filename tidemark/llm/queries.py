@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, groupjoin, mixing, rules, wavelet
+from . import decontam, groupjoin, mixing, rlz, rules, suffixes, wavelet
 from .common import crc_mod, prepare, table
 
 END_ID = 2
@@ -38,6 +38,10 @@ def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "n_shingles", "component_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -55,12 +59,18 @@ def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_wavelet_tokens": op2_wavelet_tokens,
     "op3_group_join": op3_group_join,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_systematic_mix": op5_systematic_mix,
     "op7_rule_quality": op7_rule_quality,
+    "op10_rlz_dedup": op10_rlz_dedup,
 }
 
 
