@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, groupjoin, mixing, rlz, rules, suffixes, wavelet
+from . import bilinear, decontam, groupjoin, langid, mixing, rlz, rules, suffixes, wavelet
 from .common import crc_mod, prepare, table
 
 END_ID = 2
@@ -59,6 +59,20 @@ def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def _held_out(docs: DataFrame, modulus: int, remainder: int) -> DataFrame:
+    """With ``held_out``; a null doc_id has no crc32 and is not held out."""
+    return docs.withColumn("held_out", F.coalesce(crc_mod(F.col("doc_id"), modulus) == remainder, F.lit(False)))
+
+
+def op8_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _held_out(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), 4, 2)
+    return langid.predict(docs, langid.train(docs.where("not held_out")))
+
+
+def op9_bilinear_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bilinear.score_documents(_held_out(table(spark, sf_dir, "documents").select("doc_id", "text"), 7, 2))
+
+
 def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removed(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -70,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_systematic_mix": op5_systematic_mix,
     "op7_rule_quality": op7_rule_quality,
+    "op8_subword_langid": op8_subword_langid,
+    "op9_bilinear_lm": op9_bilinear_lm,
     "op10_rlz_dedup": op10_rlz_dedup,
 }
 
