@@ -81,9 +81,25 @@ class WordEncoder:
 
     def _clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.lens: list[int] = []
-        self.flat: list[int] = []
-        self.arrays = (np.empty(0, np.int64), np.empty(0, np.uint16))
+        self.used = 0  # ids in flat
+        self.starts = np.empty(1 << 16, np.int64)
+        self.lens = np.empty(1 << 16, np.int64)
+        self.flat = np.empty(1 << 18, np.uint32)
+
+    def _add(self, words: list[bytes]) -> None:
+        """Put new words into the cache: their ids stand in ``flat``."""
+        got = [self.word(w) for w in words]
+        n = np.fromiter(map(len, got), np.int64, len(got))
+        at, ids = len(self.index), int(n.sum())
+        while at + len(got) > len(self.lens):
+            self.starts, self.lens = (np.concatenate([x, x]) for x in (self.starts, self.lens))
+        while self.used + ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+        self.lens[at : at + len(got)] = n
+        self.starts[at : at + len(got)] = self.used + np.cumsum(n) - n
+        self.flat[self.used : self.used + ids] = np.fromiter(itertools.chain.from_iterable(got), np.uint32, ids)
+        self.used += ids
+        self.index.update(zip(words, range(at, at + len(got))))
 
     def _whole(self, s: str) -> list[int]:
         return self.tok.encode(s, add_special_tokens=False).ids
@@ -93,7 +109,7 @@ class WordEncoder:
         if got is None:
             if len(self.cores) >= CACHE_WORDS:
                 self.cores.clear()
-            mapped = "".join(self.chars[b] for b in s.encode())
+            mapped = s if s.isascii() else "".join(self.chars[b] for b in s.encode())
             got = self.cores[s] = [t.id for t in self.tok.model.tokenize(mapped)]
         return got
 
@@ -116,19 +132,12 @@ class WordEncoder:
         words = [t.split() for t in texts]
         if len(self.index) >= CACHE_WORDS:
             self._clear()
-        index, new = self.index, False
-        for w in {w for ws in words for w in ws if w not in index}:
-            ids = self.word(w)
-            index[w] = len(self.lens)
-            self.lens.append(len(ids))
-            self.flat.extend(ids)
-            new = True
+        new = list(set(itertools.chain.from_iterable(words)).difference(self.index))
         if new:
-            self.arrays = (np.array(self.lens, np.int64), np.array(self.flat, np.uint32))
-        lens, flat = self.arrays
+            self._add(new)
+        index, lens, starts, flat = self.index, self.lens, self.starts, self.flat
         n = np.fromiter(map(len, words), np.int64, len(words))
         at = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(n.sum()))
-        starts = np.cumsum(lens) - lens if len(lens) else lens
         wl = lens[at]
         out_end = np.cumsum(wl)
         total = int(out_end[-1]) if len(wl) else 0
