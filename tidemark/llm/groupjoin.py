@@ -6,18 +6,19 @@ the empty set, linked with nothing). Two documents link when
 100 * intersection >= 80 * union. The result is exact up to collisions of
 64-bit shingle hashes.
 
-1. One pass counts shingles of the lower 40 % of the hash range into a
-   bounded bitmap of repeated shingles (``sharedbits``).
-2. Shingles get one global order: known to be unique, not counted, repeated;
-   then by hash. A set of size n that links with another shares a shingle
-   among the first n - ceil(0.8 n) + 1 of this order. For most documents
-   these are all unique and the document is finished.
+1. One pass counts shingles into bounded bitmaps (``sharedbits``) of those
+   that repeat and those that repeat often.
+2. Shingles get one global order: unique, repeated, repeated often; then by
+   hash. A set of size n that links with another shares a shingle among the
+   first n - ceil(0.8 n) + 1 of this order. For most documents these are all
+   unique and the document is finished.
 3. Equal sets become one node, so copies never multiply.
 4. Each node is checked against at most two pivots, the smallest nodes (by
    key and by hash) that share the most prefix shingles; links found join
    nodes of a dense cluster without listing its pairs.
 5. Nodes are dealt into groups of about ``GROUP`` similar nodes: nodes of one
-   component, or single nodes with one pivot. The token-group matrix holds
+   component, or single nodes with one pivot, of one class of sizes (linked
+   sets are in the same or neighbouring classes). The token-group matrix holds
    each group's union of shingles. A node queries the groups of other
    components that share a prefix shingle; the overlap with the union bounds
    the overlap with every member, and only groups whose bound reaches the
@@ -44,9 +45,8 @@ from .sharedbits import count_bits, is_set
 SHINGLE = 5
 PERCENT = 80
 GROUP = 256
-#: Shingles with a hash below this share of the range are counted.
-COUNTED = 0.4
-_EDGE = np.uint64(int(COUNTED * 2**64))
+#: Shingles that occur this often come last in the order.
+OFTEN = 16
 
 
 def shingle_set(text: bytes, k: int = SHINGLE) -> np.ndarray:
@@ -68,8 +68,7 @@ def least_overlap(n: int, percent: int = PERCENT) -> int:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
         for text in binary_list(batch.column("text")):
-            s = shingle_set(text)
-            yield s[: np.searchsorted(s, _EDGE)]
+            yield shingle_set(text)
 
 
 _SETS = ("doc_id long, row_key long, n_shingles long, node binary, prefix array<bigint>, shingles binary")
@@ -81,11 +80,11 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document: size, key of its set, and for documents that
     could link the prefix shingles that may be shared, and the whole set
     (once for each task and set)."""
-    repeated = count_bits(docs.select("text"), _counted)[0]
+    repeated, often = count_bits(docs.select("text"), _counted, (2, OFTEN))
 
     def build(batches):
         seen: set[bytes] = set()
-        bitmap = repeated.value
+        bits = (repeated.value, often.value)
         for batch in batches:
             rows = []
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), binary_list(batch.column("text"))):
@@ -97,9 +96,7 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 node = xxhash.xxh3_128_digest(s.tobytes(), seed=n)
                 prefix = whole = None
                 if node not in seen:
-                    counted = s < _EDGE
-                    shared = counted & is_set(bitmap, s)
-                    rank = np.where(shared, 2, np.where(counted, 0, 1))
+                    rank = is_set(bits[0], s).astype(np.int8) + is_set(bits[1], s)
                     first = np.argsort(rank, kind="stable")[: n - least_overlap(n, percent) + 1]
                     may = s[first][rank[first] > 0]
                     if len(may):
@@ -141,7 +138,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = sets.sparkSession
     nodes = store(sets.where("shingles is not null").groupBy("node")
-                  .agg(F.first("prefix").alias("prefix"), F.first("shingles").alias("shingles")), "join_nodes")
+                  .agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("shingles").alias("shingles")), "join_nodes")
     tokens = nodes.select("node", F.explode("prefix").alias("token"))
     shared = (tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("low"),
                                           F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("hashed"))
@@ -160,26 +157,27 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         .join(body.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), F.col("pivot") == F.col("b")), percent), "join_stars")
     roots = components(spark, stars, "join_star")
 
-    # groups: (node, grp, comp, size); a node without a link is its own component
-    known = nodes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp"))
+    # groups: nodes of one component, or single nodes with one pivot, and of
+    # one class of sizes; nodes that are some pivot themselves count as theirs
+    known = nodes.select("node", F.floor(F.log("n") / F.log(F.lit(100 / percent))).alias("cls")).join(roots, "node", "left")
+    known = store(known.select("node", "cls", F.coalesce("root", "node").alias("comp")), "join_known")
     sizes = store(known.groupBy("comp").agg(F.count("*").alias("size")), "join_sizes")
-    known = store(known, "join_known")
-    # nodes that are some pivot themselves count as theirs
-    sized = (known.join(sizes, "comp").join(pivots, "node", "left")
-             .select("node", "comp", "size", F.when(F.col("size") > 1, F.col("comp")).otherwise(F.coalesce("pivot", "node")).alias("base")))
-    sized = store(sized.withColumn("single", F.col("size") == 1), "join_sized")
-    many = sized.groupBy("single", "base").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts"))
-    member = store(sized.join(store(many, "join_parts"), ["single", "base"])
-                   .select("node", "comp", "size", "single", F.xxhash64("single", "base", F.pmod(F.xxhash64("node", F.lit(7)), "parts")).alias("grp")), "join_groups")
+    sized = (known.join(sizes, "comp").join(pivots, "node", "left").withColumn("single", F.col("size") == 1)
+             .withColumn("base", F.when(F.col("single"), F.coalesce("pivot", "node")).otherwise(F.col("comp"))))
+    sized = store(sized.select("node", "comp", "size", "single", "cls", F.xxhash64("single", "base", "cls").alias("base")), "join_sized")
+    many = store(sized.groupBy("base").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts")), "join_parts")
+    member = store(sized.join(many, "base")
+                   .select("node", "comp", "size", "single", "cls", F.xxhash64("base", F.pmod(F.xxhash64("node", F.lit(7)), "parts")).alias("grp")), "join_groups")
 
     # tokens that still stand between components
     tagged = store(tokens.select("token", "node").join(member, "node"), "join_tagged")
     open_tokens = store(tagged.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token"), "join_open")
-    tagged = tagged.join(open_tokens, "token")
-    groups = (tagged.select("token", "grp", F.col("single").alias("g_single"), F.when(~F.col("single"), F.col("comp")).alias("g_comp"),
-                            F.when(F.col("single"), F.lit(1)).otherwise(F.col("size")).alias("g_size")).distinct())
-    asks = (tagged.select("token", "node", "comp", "size").join(store(groups, "join_matrix"), "token")
-            .where("(g_single and size = 1) or (not g_single and (size < g_size or (size = g_size and comp < g_comp)))")
+    tagged = store(tagged.join(open_tokens, "token"), "join_between")
+    matrix = (tagged.select("token", "grp", F.col("cls").alias("g_cls"), F.col("single").alias("g_single"),
+                            F.when(~F.col("single"), F.col("comp")).alias("g_comp"), F.when(F.col("single"), F.lit(1)).otherwise(F.col("size")).alias("g_size")).distinct())
+    asks = (tagged.select(F.col("token").alias("t"), "node", "cls", "comp", "size").join(store(matrix, "join_matrix"), F.expr(
+        "t = token and abs(cls - g_cls) <= 1 and "
+        "((g_single and size = 1) or (not g_single and (size < g_size or (size = g_size and comp < g_comp))))"))
             .select("node", "grp").distinct())
     asks = store(asks, "join_asks")
 
