@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear, decontam, groupjoin, langid, mixing, rlz, rules, suffixes, wavelet
+from . import bilinear, decontam, groupjoin, langid, mixing, nndescent, rlz, rules, suffixes, wavelet
 from .common import crc_mod, prepare, table
 
 END_ID = 2
@@ -47,6 +47,10 @@ def op5_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.neighbours(table(spark, sf_dir, "embeddings"), 100)
+
+
 def quality_model(spark: SparkSession, sf_dir: str) -> rules.RuleModel:
     """Fitted on labelled documents whose crc32(doc_id) mod 3 is not 1."""
     labels = table(spark, sf_dir, "labels").where(crc_mod(F.col("doc_id"), 3) != 1)
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_group_join": op3_group_join,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_systematic_mix": op5_systematic_mix,
+    "op6_nn_descent": op6_nn_descent,
     "op7_rule_quality": op7_rule_quality,
     "op8_subword_langid": op8_subword_langid,
     "op9_bilinear_lm": op9_bilinear_lm,
