@@ -11,11 +11,15 @@ from tidemark.plans.pipeline import run_ingest_batch
 from tidemark.sinks import landing as ld
 from tidemark.sources import files as fs
 
+from tests.test_failure_cases import raw_df, row
+
 
 def test_run_ingest_batch_lands_verified_files(spark, tmp_root):
     as_of = datetime(2026, 6, 2, 9, 30, 0)
     landing, manifests = f"{tmp_root}/sales/raw", f"{tmp_root}/manifests"
-    run_ingest_batch(spark, landing, manifests, n=2000, as_of=as_of)
+    rows = [row(i + 1, load=as_of) for i in range(2000)]
+    batch = raw_df(spark, rows).drop("source_file_name", "load_ts")
+    run_ingest_batch(spark, batch, landing, manifests, as_of=as_of)
     # arrival-date folders, zero padded
     paths = [r.path for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", True).load(landing).select("path").collect()]
@@ -27,7 +31,7 @@ def test_run_ingest_batch_lands_verified_files(spark, tmp_root):
     assert schema_manifest.schema_validation_status == "PASSED"
     assert schema_manifest.actual_schema["unit_price"] == "number"
     # the landed files read back under the strict header check
-    schema = fs.RAW_CSV_SCHEMA
+    schema = batch.schema
     raw = fs.read_raw_with_lineage(spark, landing, schema)
     assert raw.count() == 2000 and raw.filter(F.col("source_file_name").isNull()).count() == 0
 
@@ -76,3 +80,13 @@ def test_run_elt_incremental_second_run_equals_full_build(spark, tmp_root):
              for r in spark.read.parquet(out["row_test_report"]).collect()}
     assert tests[("fct_sales", "unique", "sales_event_key")] == 0
     assert tests[("fct_sales", "assert_sales_amounts_reconcile", None)] == 0
+
+
+def test_run_elt_on_empty_raw_gives_empty_marts(spark, tmp_root):
+    from tidemark.plans import models as m
+    from tidemark.plans.pipeline import run_elt
+    from tidemark.sources.adapters import FIXTURE_TIE_BREAKERS
+
+    raw = m.raw(spark, "/root/testdata/sf0.001").limit(0)
+    out = run_elt(spark, raw, tmp_root, as_of=m.DIM_AS_OF, tie_breakers=list(FIXTURE_TIE_BREAKERS), fact_buckets=4)
+    assert spark.read.parquet(out["mart_customer_sales_kpi"]).count() == 0

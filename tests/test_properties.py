@@ -1,11 +1,13 @@
 """Property tests: upsert idempotence, bucketed store == naive merge,
-restatement == rebuild, streaming ingest run twice == once, producer
-domains."""
+restatement == rebuild (moved dates included), streaming ingest run twice ==
+once, latest-wins stream dedup, lineage and schema of stored files."""
 
 from __future__ import annotations
 
+import os
 from datetime import date, datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -13,21 +15,12 @@ from pyspark.sql import functions as F
 from tidemark.operators import marts
 from tidemark.operators.dims import dim_date
 from tidemark.operators.fact import fct_projection, merge_keyed
-from tidemark.operators.incremental import restate_kpi_dates
+from tidemark.operators.incremental import replaced_rows, restate_kpi_dates
 from tidemark.operators.intermediate import int_sales_enriched
-from tidemark.operators.producers import (
-    CUSTOMER_RANGE,
-    ORDER_TS_END,
-    ORDER_TS_START,
-    PAYMENT_METHODS,
-    PRODUCT_CATEGORIES,
-    produce_backfill,
-    produce_daily_batch,
-    produce_late_batch,
-)
 from tidemark.operators.staging import stg_sales
 from tidemark.sinks.fact_store import FactStore
 from tidemark.session import scratch_dir
+from tidemark.sources import files as fs
 from tidemark.streaming import ingest as stream
 
 from tests.test_failure_cases import raw_df, row
@@ -84,37 +77,76 @@ def test_stream_ingest_twice_equals_once(spark, tmp_root):
     assert n1 == 2 and spark.read.parquet(out).count() == n1
 
 
-def test_producer_domains(spark):
-    as_of = datetime(2026, 6, 15, 12, 0, 0)
-    daily = produce_daily_batch(spark, 5000, seed=7, as_of=as_of)
-    agg = daily.agg(
-        F.min("order_timestamp"), F.max("order_timestamp"), F.min("quantity"), F.max("quantity"),
-        F.min("customer_id"), F.max("customer_id"), F.count_distinct("batch_id"),
-        F.count_if(F.col("net_amount") < 0), F.count_distinct("order_id"),
-        F.count_if(F.col("gross_amount") != (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)")),
-    ).first()
-    assert ORDER_TS_START <= agg[0] and agg[1] < ORDER_TS_END
-    assert (agg[2], agg[3]) == (1, 9)
-    assert CUSTOMER_RANGE[0] <= agg[4] and agg[5] < CUSTOMER_RANGE[1]
-    assert agg[6] == 1 and agg[7] == 0 and agg[8] == 5000 and agg[9] == 0
-    cats = {r[0] for r in daily.select("product_category").distinct().collect()}
-    assert cats == set(PRODUCT_CATEGORIES)
-    assert {r[0] for r in daily.select("payment_method").distinct().collect()} <= set(PAYMENT_METHODS)
-    share = daily.agg(F.avg((F.col("order_status") == "Completed").cast("double"))).first()[0]
-    assert 0.70 < share < 0.80
-    # same seed -> same rows, independent of partitioning
-    again = produce_daily_batch(spark, 5000, seed=7, as_of=as_of, batch_id=daily.first().batch_id).repartition(3)
-    assert daily.exceptAll(again).count() == 0
-
-    late = produce_late_batch(spark, 1000, 7, 30, seed=1, as_of=as_of)
-    lo, hi = late.agg(F.min("order_timestamp"), F.max("order_timestamp")).first()
-    assert as_of - timedelta(days=30) <= lo and hi < as_of - timedelta(days=7)
-    assert late.agg(F.min("order_id")).first()[0] == 900_000_001
-
-    bf = produce_backfill(spark, date(2024, 5, 1), date(2024, 5, 3), 100, seed=3)
-    per_day = {r[0]: r[1] for r in bf.groupBy(F.to_date("order_timestamp")).count().collect()}
-    assert per_day == {date(2024, 5, 1): 100, date(2024, 5, 2): 100, date(2024, 5, 3): 100}
-    assert bf.agg(F.min("order_id")).first()[0] == 20240501 * 1_000_000 + 1
+def test_restatement_when_a_row_moves_to_another_date(spark):
+    """A re-delivered key whose order date moved: the date it left is
+    restated too, so the result equals a rebuild."""
+    dim = dim_date(spark, as_of=date(2024, 6, 30))
+    old = fct_projection(int_sales_enriched(stg_sales(raw_df(spark, _rows([(1, 0, 0, 1), (2, 0, 0, 2), (3, 0, 4, 1)])))))
+    moved = old.filter("order_id = 2").withColumn("order_date", F.expr("order_date + interval 5 days").cast("date"))
+    new = merge_keyed(old, moved)
+    got = restate_kpi_dates(marts.mart_sales_daily_kpi(old, dim), new, moved, dim, replaced_rows(old, moved))
+    want = marts.mart_sales_daily_kpi(new, dim)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_store_keeps_a_new_column_in_any_bucket_layout(spark):
+    for buckets in (1, 2, 7, 16):
+        store = FactStore(spark, scratch_dir(spark, "schema_store"), buckets=buckets)
+        first = spark.createDataFrame([("a", "f1", 1)], "sales_event_key string, source_file_name string, x int")
+        store.overwrite(first)
+        store.upsert(spark.createDataFrame([("b", "f2", "new")], "sales_event_key string, source_file_name string, sales_channel string"))
+        got = {r.sales_event_key: r.sales_channel for r in store.read().collect()}
+        assert got == {"a": None, "b": "new"} and "x" not in store.read().columns
+
+
+def test_store_vacuum_keeps_the_newest_commits(spark):
+    store = FactStore(spark, scratch_dir(spark, "vacuum_store"), buckets=2, max_segments=1)
+    for i in range(4):
+        store.upsert(spark.createDataFrame([(f"k{i % 2}", "f", i)], "sales_event_key string, source_file_name string, x int"))
+    before = sorted(store.read().collect())
+    assert store.vacuum(keep=1) > 0
+    assert sorted(store.read().collect()) == before and store.current_version() == 4
+
+
+def test_stream_dedup_latest_wins_for_any_batches(spark, tmp_root):
+    """Rows whose load times go back and forth over several micro-batches:
+    no key is lost and the latest row of each stays."""
+    schema = "sales_event_key string, source_file_name string, load_ts timestamp, x int"
+    days = [10, 11, 1, 1, 12, 2]
+    for i, day in enumerate(days):
+        rows = [(f"k{i % 3}", "f", datetime(2024, 3, day), i), (f"only{i}", "f", datetime(2024, 3, day), i)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_root}/in/b{i}")
+    want = {}
+    for i, day in enumerate(days):
+        for k in (f"k{i % 3}", f"only{i}"):
+            if k not in want or (day, -i) > (want[k][0], -want[k][1]):
+                want[k] = (day, i)
+    for per in (1, 100):
+        source = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", per).parquet(f"{tmp_root}/in")
+        store = FactStore(spark, scratch_dir(spark, "dedup_test"), buckets=2)
+        stream.stream_dedup(source, store, scratch_dir(spark, "ckpt"), ["x"]).awaitTermination()
+        assert {r.sales_event_key: (r.load_ts.day, r.x) for r in store.read().collect()} == want
+
+
+def test_lineage_survives_part_files(spark, tmp_root):
+    """The source file is the landed folder, however many part files it has."""
+    raw = raw_df(spark, _rows([(i, 0, 0, 1) for i in range(1, 30)])).withColumn("source_file_name", F.lit("late 50%/sales.csv"))
+    schema = raw.drop("source_file_name", "load_ts").schema
+    for parts in (1, 5):
+        root = f"{tmp_root}/parts{parts}"
+        (raw.withColumn("file", F.col("source_file_name")).drop("source_file_name", "load_ts").repartition(parts)
+         .write.option("header", True).partitionBy("file").csv(root))
+        names = {r[0] for r in fs.read_raw_with_lineage(spark, root, schema).select("source_file_name").distinct().collect()}
+        assert names == {"late 50%/sales.csv"}
+
+
+def test_stream_rejects_a_reordered_header(spark, tmp_root):
+    os.makedirs(f"{tmp_root}/in", exist_ok=True)
+    with open(f"{tmp_root}/in/a.csv", "w", encoding="utf-8") as fh:
+        fh.write("customer_id,order_id,quantity\n2,1,3\n")
+    schema = spark.createDataFrame([], "order_id long, customer_id long, quantity long").schema
+    with pytest.raises(Exception):
+        stream.stream_ingest(spark, f"{tmp_root}/in", f"{tmp_root}/raw", f"{tmp_root}/ck", schema).awaitTermination()
 
 
 def test_store_auto_compacts_buckets(spark):

@@ -38,7 +38,7 @@ def to_whole_number(c: Column | str, dtype: T.DataType, lenient: bool = False) -
     col = _c(c)
     if isinstance(dtype, T.IntegralType):
         return col.cast("bigint")
-    return cast_to(col, T.DecimalType(38, 0), lenient).cast("bigint")
+    return cast_to(cast_to(col, T.DecimalType(38, 0), lenient), "bigint", lenient)
 
 
 def title_case(c: Column | str) -> Column:

@@ -40,15 +40,26 @@ def touched_dates(new_rows: DataFrame, column: str = "order_date") -> DataFrame:
     return new_rows.select(column).distinct()
 
 
-def restate_kpi_dates(current_kpi: DataFrame, fct: DataFrame, new_rows: DataFrame, dim: DataFrame) -> DataFrame:
+def replaced_rows(stored: DataFrame, delta: DataFrame, key: str = FACT_KEY) -> DataFrame:
+    """Stored rows that ``delta`` replaces. A re-delivered key may have moved
+    to another date; the date it leaves is touched as well."""
+    return stored.join(delta.select(key), key, "left_semi")
+
+
+def restate_kpi_dates(current_kpi: DataFrame, fct: DataFrame, new_rows: DataFrame, dim: DataFrame,
+                      replaced: DataFrame | None = None) -> DataFrame:
     """Recompute the daily KPI only for business dates touched by
-    ``new_rows`` and replace exactly those dates in ``current_kpi``.
+    ``new_rows``, or left by the stored rows that they replaced
+    (``replaced``), and exchange exactly those dates in ``current_kpi``. A
+    date without rows any more disappears.
 
     The fact is semi-joined to the touched dates before aggregating, so the
     work is proportional to the affected dates, not to the whole history;
     the result equals a full rebuild of the mart from ``fct``.
     """
     dates = touched_dates(new_rows)
+    if replaced is not None:
+        dates = dates.union(touched_dates(replaced)).distinct()
     affected = fct.join(dates, "order_date", "left_semi")
     fresh = mart_sales_daily_kpi(affected, dim)
     kept = current_kpi.join(dates, "order_date", "left_anti")

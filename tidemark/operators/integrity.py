@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.contract import Contract, normalize_name
+from tidemark.session import scratch_dir
 
 CHECKSUM_MATCH, CHECKSUM_MISMATCH, CHECKSUM_MISSING = "MATCH", "MISMATCH", "MISSING_FILE"
 
@@ -77,9 +78,16 @@ def verify_checksums(fingerprints: DataFrame, manifests: DataFrame) -> DataFrame
 
 
 def require_checksums_match(verified: DataFrame) -> None:
-    bad = verified.filter(F.col("checksum_status") != CHECKSUM_MATCH).limit(20).collect()
-    if bad:
-        raise ValueError(f"Checksum validation failed for: {[r.path for r in bad]}")
+    """Fail if a file does not match; every failing file is written to a
+    table under the shared folder, whose path the error names."""
+    spark = verified.sparkSession
+    path = scratch_dir(spark, "checksum_failures")
+    verified.filter(F.col("checksum_status") != CHECKSUM_MATCH).write.parquet(path)
+    bad = spark.read.parquet(path)
+    n = bad.count()
+    if n:
+        first = bad.agg(F.min("path")).first()[0]
+        raise ValueError(f"Checksum validation failed for {n} file(s), the first is {first}; all are listed in {path}")
 
 
 def verify_row_counts(manifests: DataFrame, raw: DataFrame) -> DataFrame:

@@ -302,6 +302,13 @@ REQUIRED_BATCH_COLUMNS = (
 )
 
 
+BATCH_RULES = {
+    "duplicate_order_ids": "{} row(s) repeat an order_id",
+    "negative_net_amount": "{} row(s) have net_amount below zero",
+    "non_positive_quantity": "{} row(s) have quantity of zero or less",
+}
+
+
 def batch_violations(df: DataFrame) -> DataFrame:
     """All batch rule counts in one aggregate: rows, duplicated order ids
     (rows beyond the first per id), negative net, non-positive quantity."""
@@ -319,20 +326,17 @@ def batch_violations(df: DataFrame) -> DataFrame:
 
 
 def validate_batch(df: DataFrame, required: Sequence[str] = REQUIRED_BATCH_COLUMNS) -> DataFrame:
-    """Raise on the first broken rule (empty, missing columns, duplicate
-    order ids, negative net, non-positive quantity); return ``df``."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing required columns: {missing}")
-    counts = {r["rule"]: r["value"] for r in batch_violations(df).collect()}
-    if counts["row_count"] == 0:
-        raise ValueError("Generated dataframe is empty")
-    if counts["duplicate_order_ids"] > 0:
-        raise ValueError("Duplicate order_id values found")
-    if counts["negative_net_amount"] > 0:
-        raise ValueError("Negative net_amount values found")
-    if counts["non_positive_quantity"] > 0:
-        raise ValueError("Invalid quantity values found")
+    """``df``, or ``ValueError`` naming every rule that the batch breaks and
+    how many rows break it."""
+    absent = [c for c in required if c not in df.columns]
+    if absent:
+        raise ValueError(f"batch rejected: it lacks {', '.join(absent)}")
+    found = {r["rule"]: r["value"] for r in batch_violations(df).collect()}
+    told = [text.format(found[rule]) for rule, text in BATCH_RULES.items() if found[rule] > 0]
+    if found["row_count"] == 0:
+        told = ["it is empty"]
+    if told:
+        raise ValueError("batch rejected: " + "; ".join(told))
     return df
 
 

@@ -203,6 +203,7 @@ query("restate_kpi_dates")(lambda s, d: inc.restate_kpi_dates(
     m.fct(s, d),
     m.fct_delta(s, d, m.fct_initial(s, d)),
     m.dim(s),
+    inc.replaced_rows(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))),
 ))
 
 # --- file sources / sinks, integrity, streaming (own tests; rows-only in the driver) ----
@@ -213,26 +214,19 @@ def landed_schema(df) -> T.StructType:
     return T.StructType([f for f in fs.RAW_CSV_SCHEMA.fields if f.name in present])
 
 
-_LANDED: dict[tuple, str] = {}
-
-
 def _land(s, d, kind: str = "daily"):
-    """Land the fixture's raw rows as CSV in a shared scratch folder, once
-    per session and table set (landing is deterministic). Fixture files are
-    monthly (``sales_YYYY_MM.csv`` by load month), so they land at month
-    grain, one folder per source file."""
+    """Land the fixture's raw rows as CSV in a fresh shared folder. Fixture
+    files are monthly (``sales_YYYY_MM.csv`` by load month), so they land at
+    month grain, one folder per source file."""
     raw = m.raw(s, d)
-    key = (s.sparkContext.applicationId, d, kind)
-    if key not in _LANDED:
-        root = scratch_dir(s, f"landing_{kind}")
-        if kind == "backfill":
-            ld.land_backfill(sm.file_name_filter(raw, sm.BACKFILL_PATTERN), root)
-        elif kind == "late":
-            ld.land_late(sm.file_name_filter(raw, sm.LATE_PATTERN), root, grain="month")
-        else:
-            ld.land_daily(raw, root, grain="month")
-        _LANDED[key] = root
-    return _LANDED[key], landed_schema(raw)
+    root = scratch_dir(s, f"landing_{kind}")
+    if kind == "backfill":
+        ld.land_backfill(sm.file_name_filter(raw, sm.BACKFILL_PATTERN), root)
+    elif kind == "late":
+        ld.land_late(sm.file_name_filter(raw, sm.LATE_PATTERN), root, grain="month")
+    else:
+        ld.land_daily(raw, root, grain="month")
+    return root, landed_schema(raw)
 
 
 def _listing(kind):
@@ -250,7 +244,7 @@ def _scan_csv(s, d):
 
 def _with_lineage(s, d):
     root, schema = _land(s, d)
-    return fs.read_raw_with_lineage(s, root, schema)
+    return fs.read_raw_with_lineage(s, root, schema).drop("load_ts")  # the clock
 
 
 def _stream_ingest(s, d, runs: int = 2):
@@ -258,17 +252,17 @@ def _stream_ingest(s, d, runs: int = 2):
     raw_path, ckpt = scratch_dir(s, "raw_table"), scratch_dir(s, "ckpt_ingest")
     for _ in range(runs):  # the second run finds no new files and adds nothing
         st.stream_ingest(s, root, raw_path, ckpt, schema).awaitTermination()
-    return s.read.parquet(raw_path)
+    return s.read.parquet(raw_path).drop("load_ts")  # the clock
 
 
 def _stream_dedup(s, d):
     raw_path = scratch_dir(s, "raw_for_dedup")
     m.raw(s, d).write.parquet(raw_path)
     raw_stream = s.readStream.schema(s.read.parquet(raw_path).schema).parquet(raw_path)
-    out, ckpt = scratch_dir(s, "dedup_out"), scratch_dir(s, "ckpt_dedup")
-    (st.stream_dedup(st.staged_stream(raw_stream)).writeStream.format("parquet")
-     .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination())
-    return s.read.parquet(out)
+    store = FactStore(s, scratch_dir(s, "dedup_store"), buckets=16)
+    staged = st.staged_stream(raw_stream, ["l_suppkey"])
+    st.stream_dedup(staged, store, scratch_dir(s, "ckpt_dedup"), ad.FIXTURE_TIE_BREAKERS).awaitTermination()
+    return store.read().select(*sg.STG_COLUMNS)
 
 
 def _stream_upsert(s, d):
@@ -276,7 +270,7 @@ def _stream_upsert(s, d):
     store = FactStore(s, scratch_dir(s, "stream_fct"), buckets=16)
     staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
     st.stream_upsert_fact(staged, store, scratch_dir(s, "ckpt_upsert")).awaitTermination()
-    return store.read()
+    return store.read().drop("load_ts")  # the clock
 
 
 def _stream_kpi(s, d):
@@ -285,7 +279,7 @@ def _stream_kpi(s, d):
     kpi = st.VersionedTable(s, scratch_dir(s, "stream_kpi"))
     staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
     st.stream_daily_kpi(staged, store, kpi, m.dim(s), scratch_dir(s, "ckpt_kpi")).awaitTermination()
-    return kpi.read()
+    return kpi.read().drop("latest_load_ts")  # the clock
 
 
 def _stream_quality(s, d):
@@ -310,8 +304,9 @@ def _verify(s, d):
 
 def _verify_rows(s, d):
     root, mroot = _manifests(s, d)
-    schema = landed_schema(m.raw(s, d))
-    return ig.verify_row_counts(fs.scan_checksum_manifests(s, mroot), fs.read_raw_with_lineage(s, root, schema))
+    landed = fs.scan_csv_batch(s, root, landed_schema(m.raw(s, d)))
+    by_path = landed.select(F.col("_metadata.file_path").alias("source_file_name"))  # manifests name part files
+    return ig.verify_row_counts(fs.scan_checksum_manifests(s, mroot), by_path)
 
 
 def _header_drift(s, d):
@@ -367,7 +362,7 @@ query("run_layer")(_run_layer)
 query("sync_all_columns")(_sync_columns)
 query("promote_optional")(_add_optional)
 query("add_optional_column")(_add_optional)
-query("exclude_manifests")(lambda s, d: fs.exclude_manifests(m.raw(s, d)))
+query("exclude_manifests")(lambda s, d: fs.manifest_rows(m.raw(s, d)))
 
 # --- schema contract, completeness, helpers -----------------------------------------
 

@@ -1,6 +1,6 @@
 """End-to-end composition.
 
-``run_ingest_batch``: produce -> validate rows -> contract -> land CSV ->
+``run_ingest_batch``: validate a batch's rows -> contract -> land CSV ->
 schema manifest -> checksum manifest -> verify landed checksums.
 
 ``run_elt``: RAW -> staging -> intermediate -> fact (incremental upsert) ->
@@ -23,21 +23,20 @@ from tidemark.operators.dims import dim_date
 from tidemark.operators.fact import fct_projection, incremental_filter
 from tidemark.operators.integrity import file_fingerprints, require_checksums_match, verify_checksums
 from tidemark.operators.intermediate import int_sales_enriched
-from tidemark.operators.producers import produce_daily_batch
 from tidemark.operators.staging import stg_sales
 from tidemark.sinks.fact_store import FactStore
-from tidemark.sinks.landing import land_by_arrival, layer_path, materialize_full, write_checksum_manifest, write_schema_manifest
+from tidemark.sinks.landing import land_by_arrival, layer_path, materialize_full, read_layer, write_checksum_manifest, write_schema_manifest
 from tidemark.sources.files import scan_checksum_manifests
 
 LAYERS = ("staging", "intermediate", "marts")
 
 
-def run_ingest_batch(spark: SparkSession, landing: str, manifests: str, n: int = 100_000,
-                     as_of: datetime | None = None, seed: int = 42) -> str:
+def run_ingest_batch(spark: SparkSession, batch: DataFrame, landing: str, manifests: str,
+                     as_of: datetime | None = None) -> str:
+    """Validate one batch of raw rows, land it and verify what was landed."""
     from pyspark.sql import functions as F
 
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-    batch = produce_daily_batch(spark, n, seed, as_of)
     quality.validate_batch(batch)
     report = validate_contract(batch, load_contract())
     land_by_arrival(batch.withColumn("arrival_ts", F.lit(as_of)), landing, arrival="arrival_ts", file_col=None)
@@ -56,10 +55,10 @@ def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | dateti
     if "staging" in layers:
         out["stg_sales"] = materialize_full(stg_sales(raw, tie_breakers=tie_breakers), root, "staging", "stg_sales")
     if "intermediate" in layers:
-        stg = spark.read.parquet(layer_path(root, "staging", "stg_sales"))
+        stg = read_layer(spark, root, "staging", "stg_sales")
         out["int_sales_enriched"] = materialize_full(int_sales_enriched(stg), root, "intermediate", "int_sales_enriched")
     if "marts" in layers:
-        enriched = spark.read.parquet(layer_path(root, "intermediate", "int_sales_enriched"))
+        enriched = read_layer(spark, root, "intermediate", "int_sales_enriched")
         store = FactStore(spark, layer_path(root, "marts", "fct_sales"), buckets=fact_buckets)
         current = store.read()
         if current is None:
@@ -81,7 +80,7 @@ def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | dateti
         for name, df in built.items():
             out[name] = materialize_full(df, root, "marts", name)
         tables = {"sales_raw": raw, "fct_sales": fct, "dim_date": dim,
-                  "stg_sales": spark.read.parquet(layer_path(root, "staging", "stg_sales")),
+                  "stg_sales": read_layer(spark, root, "staging", "stg_sales"),
                   "int_sales_enriched": enriched}
         tables.update({n: spark.read.parquet(out[n]) for n in built})
         report = quality.quality_report(tables, quality.ALL_CHECKS)

@@ -60,14 +60,17 @@ def get_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names this setting; it is only filled in here when unset
-    (local tests), never overridden.
+    The cluster names this setting; it is never overridden, and filled in
+    here only on a local master. A cluster without it is an error: a folder
+    of the driver's own disk would not be seen by the executors.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = os.path.join(os.environ.get("TIDEMARK_LOCAL_ROOT", "/tmp"), "tidemark-checkpoints")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc.getCheckpointDir() is None:
@@ -100,6 +103,12 @@ def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the Hadoop FileSystem of ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str = "materialized"):
     """Write ``df`` once as Parquet under the shared checkpoint folder and
     return the read-back frame: lineage is cut, the result survives

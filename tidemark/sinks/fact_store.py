@@ -5,6 +5,12 @@ Layout under ``root`` (a shared filesystem / object-store path)::
     data/c=<attempt>/file_bucket=<b>/*.parquet  segments written by one commit attempt
     _manifest/v=<n>/*.parquet                    live segments after commit n:
                                                  rows (file_bucket, segment)
+    _schema/v=<n>/*.parquet                      the table's schema and newest
+                                                 load time after commit n
+
+Reads use the schema of the commit, never that of some segment: a column
+added by a later commit is NULL in older segments and a dropped one is
+gone, whichever buckets the commit touched.
 
 Every commit attempt writes under a fresh ``c=<attempt>`` folder, so a
 driver that dies mid-commit leaves an unreferenced folder and the retry
@@ -35,12 +41,16 @@ Single-writer: concurrent upserts into one root are not coordinated.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tidemark.session import list_subdirs, path_exists
+from pyspark.sql import types as T
+
+from tidemark.session import delete_path, list_subdirs, path_exists
 
 from tidemark.operators.fact import FACT_KEY, merge_keyed, sync_columns
 
@@ -60,6 +70,7 @@ class FactStore:
         bucket_by: str = "source_file_name",
         buckets: int = 64,
         max_segments: int = 16,
+        loaded: str = "load_ts",
     ):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -67,6 +78,7 @@ class FactStore:
         self.bucket_by = bucket_by
         self.buckets = buckets
         self.max_segments = max_segments
+        self.loaded = loaded
 
     # -- metadata --------------------------------------------------------------------
     def _manifest_path(self, version: int) -> str:
@@ -80,11 +92,10 @@ class FactStore:
         return uuid.uuid4().hex
 
     def current_version(self) -> int:
-        if not path_exists(self.spark, f"{self.root}/_manifest"):
-            return 0
-        m = self.spark.read.parquet(f"{self.root}/_manifest")
-        v = m.agg(F.max("v")).first()[0]
-        return int(v) if v is not None else 0
+        """Newest commit: the largest committed manifest folder (a listing)."""
+        names = list_subdirs(self.spark, f"{self.root}/_manifest")
+        done = [int(n.split("=", 1)[1]) for n in names if path_exists(self.spark, f"{self.root}/_manifest/{n}/_SUCCESS")]
+        return max(done, default=0)
 
     def manifest(self, version: int | None = None) -> DataFrame | None:
         version = self.current_version() if version is None else version
@@ -101,16 +112,33 @@ class FactStore:
         # one row per live segment: bounded by buckets x segments-per-bucket
         return [(r[BUCKET_COL], r["segment"]) for r in m.collect()]
 
-    def _read_segments(self, segs: Sequence[tuple[int, str]]) -> DataFrame | None:
+    def schema(self, version: int) -> T.StructType:
+        row = self.spark.read.parquet(f"{self.root}/_schema/v={version}").first()
+        return T.StructType.fromJson(json.loads(row["schema"]))
+
+    def high_water_mark(self, version: int | None = None) -> datetime | None:
+        """Newest load time of the table, from the commit: no scan."""
+        version = self.current_version() if version is None else version
+        return self.spark.read.parquet(f"{self.root}/_schema/v={version}").first()["newest"] if version else None
+
+    def _write_schema(self, schema: T.StructType, newest: datetime | None, version: int) -> None:
+        row = [(schema.json(), newest)]
+        self.spark.createDataFrame(row, "schema string, newest timestamp").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/_schema/v={version}")
+
+    def _newest(self, df: DataFrame) -> datetime | None:
+        return df.agg(F.max(self.loaded).cast("timestamp")).first()[0] if self.loaded in df.columns else None
+
+    def _read_segments(self, segs: Sequence[tuple[int, str]], schema: T.StructType) -> DataFrame:
         if not segs:
-            return None
+            return self.spark.createDataFrame([], schema)
         paths = [self._segment_path(v, b) for b, v in segs]
-        return self.spark.read.parquet(*paths)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     # -- reads ---------------------------------------------------------------------------
     def read(self, version: int | None = None) -> DataFrame | None:
         version = self.current_version() if version is None else version
-        return self._read_segments(self._segments(version))
+        return self._read_segments(self._segments(version), self.schema(version)) if version else None
 
     # -- writes --------------------------------------------------------------------------
     def _write_segment(self, df: DataFrame, segment: str) -> None:
@@ -138,6 +166,8 @@ class FactStore:
         # buckets actually written = the partition folders (a metadata listing)
         written = [int(n.split("=", 1)[1]) for n in list_subdirs(self.spark, f"{self.root}/data/c={seg}")
                    if n.startswith(f"{BUCKET_COL}=")]
+        stored = self.spark.read.schema(df.schema).parquet(f"{self.root}/data/c={seg}") if written else df.limit(0)
+        self._write_schema(df.schema, self._newest(stored), new_v)
         self._write_manifest([(b, seg) for b in sorted(written)], new_v)
         return new_v
 
@@ -154,12 +184,15 @@ class FactStore:
             touched = [r[0] for r in delta.select(BUCKET_COL).distinct().collect()]
             live = self._segments(cur)
             live_touched = [(b, v) for b, v in live if b in set(touched)]
-            stored = self._read_segments(live_touched)
+            new_schema = delta.drop(BUCKET_COL).schema
+            old_schema = self.schema(cur)
+            types = {f.name: f.dataType for f in old_schema.fields}
+            if any(f.name in types and types[f.name] != f.dataType for f in new_schema.fields):
+                # a changed type cannot be read from old segments
+                return self._rewrite_all(delta.drop(BUCKET_COL))
             rewrite: set[int] = set()
-            if stored is not None:
-                if set(stored.columns) != set(delta.drop(BUCKET_COL).columns):
-                    # schema change (sync_all_columns): rewrite everything once
-                    return self._rewrite_all(delta.drop(BUCKET_COL))
+            if live_touched:
+                stored = self._read_segments(live_touched, old_schema)
                 key_cols = list(dict.fromkeys([self.key, self.bucket_by]))
                 stored_keys = stored.select(*key_cols).withColumn(
                     BUCKET_COL, file_bucket(self.bucket_by, self.buckets)
@@ -175,7 +208,7 @@ class FactStore:
             appends = delta.filter(~F.col(BUCKET_COL).isin(list(rewrite))) if rewrite else delta
             self._write_segment(appends, seg)
             if rewrite:
-                old = self._read_segments([(b, v) for b, v in live_touched if b in rewrite])
+                old = self._read_segments([(b, v) for b, v in live_touched if b in rewrite], old_schema)
                 upd = delta.filter(F.col(BUCKET_COL).isin(list(rewrite)))
                 old = sync_columns(old, upd.drop(BUCKET_COL))
                 merged = merge_keyed(old, upd.drop(BUCKET_COL), self.key)
@@ -184,6 +217,8 @@ class FactStore:
             # manifest: untouched live segments, appended segments, replacements
             new_segments = [(b, v) for b, v in live if b not in rewrite]
             new_segments += [(b, seg) for b in touched]
+            marks = [t for t in (self.high_water_mark(cur), self._newest(delta)) if t is not None]
+            self._write_schema(new_schema, max(marks, default=None), new_v)
             self._write_manifest(sorted(set(new_segments)), new_v)
             return new_v
         finally:
@@ -200,3 +235,20 @@ class FactStore:
             return 0
         # materialise into a new version first; the old files stay readable
         return self.overwrite(cur_df)
+
+    def vacuum(self, keep: int = 3) -> int:
+        """Delete commits older than the newest ``keep`` and the segments
+        that no kept commit names; returns the number of segment folders
+        deleted. Run it when no reader of an old version and no writer is
+        active: an attempt that has not committed yet counts as unnamed."""
+        cur = self.current_version()
+        kept = range(max(1, cur - keep + 1), cur + 1)
+        live = {segment for v in kept for _, segment in self._segments(v)}
+        for name in list_subdirs(self.spark, f"{self.root}/_manifest"):
+            if int(name.split("=", 1)[1]) not in kept:
+                delete_path(self.spark, f"{self.root}/_manifest/{name}")
+                delete_path(self.spark, f"{self.root}/_schema/{name}")
+        gone = [n for n in list_subdirs(self.spark, f"{self.root}/data") if n.split("=", 1)[1] not in live]
+        for name in gone:
+            delete_path(self.spark, f"{self.root}/data/{name}")
+        return len(gone)

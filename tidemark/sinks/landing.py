@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.integrity import file_fingerprints, file_row_counts
+from tidemark.sinks.versioned import VersionedTable
 
 # Raw CSV column order as produced by the daily batch (contract order, then
 # the optional channel column).
@@ -21,7 +22,10 @@ RAW_CSV_COLUMNS = [
     "order_timestamp", "quantity", "unit_price", "gross_amount", "discount_amount",
     "net_amount", "payment_method", "order_status", "batch_id", "generated_at_utc",
 ]
-MAX_RECORDS_PER_FILE = 1_000_000
+
+
+# Values are landed as they are: the writer would trim them by default.
+CSV_OPTIONS = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def _csv_payload(df: DataFrame, columns: list[str]) -> list[Column]:
@@ -46,7 +50,8 @@ def land_by_arrival(
     AQE groups each folder's rows into as few tasks as the advisory
     partition size allows - one output file for a normal source file - and
     splits an oversized folder over several tasks, so a hot file is never
-    funnelled through one task; ``MAX_RECORDS_PER_FILE`` caps file size."""
+    funnelled through one task. A source file may thus become several part
+    files; its lineage is the ``file=`` folder (``sources.files.source_file``)."""
     columns = columns or RAW_CSV_COLUMNS
     a = F.col(arrival)
     parts = [F.date_format(a, "yyyy").alias("year"), F.date_format(a, "MM").alias("month")]
@@ -61,8 +66,7 @@ def land_by_arrival(
         df.select(*_csv_payload(df, columns), *parts)
         .hint("rebalance", *part_names)
         .write.mode(mode)
-        .option("header", True)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .options(**CSV_OPTIONS)
         .partitionBy(*part_names)
         .csv(root)
     )
@@ -89,8 +93,7 @@ def land_backfill(df: DataFrame, root: str, business_ts: str = "order_timestamp"
         .hint("rebalance", "business_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .options(**CSV_OPTIONS)
         .partitionBy("business_date")
         .csv(root)
     )
@@ -141,7 +144,16 @@ def layer_path(root: str, layer: str | None, table: str, default_layer: str = "p
 
 
 def materialize_full(df: DataFrame, root: str, layer: str, table: str) -> str:
-    """Full-refresh table: overwrite the layer path with the new result."""
-    path = layer_path(root, layer, table)
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Full-refresh table: write a new version of the layer's table and
+    commit it (``VersionedTable``); returns the folder of that version. A
+    crash or a concurrent reader never meets a half-written table."""
+    versions = VersionedTable(df.sparkSession, layer_path(root, layer, table))
+    return versions.folder(versions.write(df))
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """The committed version of a layer's table."""
+    df = VersionedTable(spark, layer_path(root, layer, table)).read()
+    if df is None:
+        raise ValueError(f"layer table {layer}.{table} has not been built under {root}")
+    return df

@@ -10,7 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tidemark.session import path_exists
+from tidemark.session import delete_path, list_subdirs, path_exists
 
 
 class VersionedTable:
@@ -29,9 +29,12 @@ class VersionedTable:
         version = self.current_version() if version is None else version
         if version == 0:
             return None
+        return self.spark.read.parquet(self.folder(version))
+
+    def folder(self, version: int) -> str:
+        """Where a committed version's files are."""
         commits = self.spark.read.parquet(f"{self.root}/_commits").filter(F.col("version") == version)
-        folder = commits.select("folder").first()[0]
-        return self.spark.read.parquet(f"{self.root}/data/{folder}")
+        return f"{self.root}/data/{commits.select('folder').first()[0]}"
 
     def write(self, df: DataFrame) -> int:
         new_v = self.current_version() + 1
@@ -41,3 +44,16 @@ class VersionedTable:
         self.spark.createDataFrame([(new_v, folder)], "version int, folder string") \
             .write.mode("append").parquet(f"{self.root}/_commits")
         return new_v
+
+    def vacuum(self, keep: int = 3) -> int:
+        """Delete the data folders of all but the newest ``keep`` committed
+        versions and folders that no commit names; returns how many. Run it
+        when no reader of an old version and no writer is active: an attempt
+        that has not committed yet counts as unnamed."""
+        current = self.current_version()
+        commits = self.spark.read.parquet(f"{self.root}/_commits") if current else None
+        live = set() if commits is None else {r[0] for r in commits.filter(F.col("version") > current - keep).select("folder").collect()}
+        gone = [f for f in list_subdirs(self.spark, f"{self.root}/data") if f not in live]
+        for f in gone:
+            delete_path(self.spark, f"{self.root}/data/{f}")
+        return len(gone)
