@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, groupjoin, mixing, rules, wavelet
-from tidemark.llm.common import prepare, store, table
+from tidemark.llm.common import prepare, shield, store, table
 from tidemark.llm.queries import END_ID, quality_model, tokenizer_path
 
 #: SQL cannot express the classifier, the similarity join and the tokenizer;
@@ -24,7 +24,7 @@ ORACLE_SQL = None
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the rule classifier rejects."""
     prepare(spark)
-    return rules.score(docs, quality_model(spark, sf_dir)).where("score >= 0.5").select(*docs.columns)
+    return rules.keep_good(docs, quality_model(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +42,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     prepare(spark)
-    rest = [c for c in docs.columns if c not in ("doc_id", "source")]
-    taken = mixing.mix(docs, keep=tuple(rest)).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    own, name, restore = shield(docs)
+    parts = {"doc_id": name["doc_id"], "source": name["source"], "text": name["text"]}
+    named = own.select("*", *[F.col(n).alias(c) for c, n in parts.items()])
+    taken = mixing.mix(named, keep=tuple(own.columns)).where("copies > 0")
+    return restore(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

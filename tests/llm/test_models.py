@@ -42,11 +42,13 @@ def test_rules_match_numpy_on_the_same_statistics(docs):
 
 def test_rules_odd_rows(odd, docs, spark):
     none = spark.createDataFrame([], "doc_id long, label int")
-    assert {r.score for r in rules.score(odd.drop("stats", "score"), rules.train(odd, none)).collect()} == {0.5}
+    assert {r.score for r in rules.score(odd, rules.train(odd, none)).collect()} == {0.5}
     one = rules.train(docs([(1, "a b"), (2, "c d")]), spark.createDataFrame([(1, 1), (2, 1), (2, 1)], "doc_id long, label int"))
     assert not one.rules and one.bias > 0
     assert rules.score(odd, one).count() == odd.count()
     assert rules.train(odd.where("false"), none).rules == []
+    kept = rules.keep_good(odd, one)
+    assert kept.columns == odd.columns and kept.count() == odd.count() and kept.select("score").distinct().collect()[0][0] == 7
 
 
 ALPHABETS = {"aa": "abcdef", "bb": "uvwxyz", "cc": "ghijkl"}

@@ -8,14 +8,16 @@ share one, so a document falls into segments of windows with one anchor.
 
 1. Anchors are counted into two bounded bitmaps (``sharedbits``): repeated,
    and hot (over ``HOT`` segments). A window whose anchor occurs once cannot
-   repeat and is finished.
+   repeat and is finished. A third bitmap marks the repeated anchors whose
+   segments differ.
 2. A task resolves equal segments of one block of text at once: only the
    first is sent on. So a passage in a third of all documents is sent once
    a block of text, not once a document.
-3. Segments meet by anchor. Segments of a hot anchor, which differ at the
-   passage's edges in every document, are cut into single windows that meet
-   by window hash instead; so no key gathers more than about ``HOT``
-   segments, or one window a block of text.
+3. Segments meet by anchor. Where all of an anchor's segments are equal only
+   their hash is sent; where they differ, their content. Differing segments
+   of a hot anchor (a passage's edges differ in every document) are cut into
+   single windows that meet by window hash instead; so no key gathers more
+   than about ``HOT`` segments, or one segment or window a block of text.
 4. An index block (some MB of complete keys) is resolved by the operator.
 
 Results are spans of window starts that are not first occurrences.
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import binary_list, mix, partitions, store, text_blocks, text_key
-from .sharedbits import count_bits, is_set
+from .sharedbits import count_bits, is_set, varied_bits
 
 HOT = 1000
 #: Bytes of text that a task resolves at once.
@@ -132,9 +134,9 @@ class Units:
 
 
 SPANS = "doc_id long, row_key long, start int, windows int"
-_PENDING = "blk long, doc_id long, row_key long, start int, windows int, content binary"
-_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()),
-                            ("windows", pa.int32()), ("content", pa.binary())])
+_PENDING = "blk long, tag long, doc_id long, row_key long, start int, windows int, late boolean, content binary"
+_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("tag", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()),
+                            ("windows", pa.int32()), ("late", pa.bool_()), ("content", pa.binary())])
 _SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
 
 
@@ -154,6 +156,18 @@ def later(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray,
     return out
 
 
+def merged(at: np.ndarray, n: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of window starts (at, n) joined where one follows another in
+    the same document."""
+    order = np.argsort(at, kind="stable")
+    at, n = at[order], n[order]
+    if not len(at):
+        return at, n
+    doc = np.searchsorted(ends, at, "right")
+    first = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + n[:-1]) | (doc[1:] != doc[:-1])])
+    return at[first], np.add.reduceat(n, first)
+
+
 def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFrame:
     """Stored spans (doc_id, row_key, start, windows) of window starts that
     are not first occurrences. ``resolve(docs, rows, starts, counts,
@@ -172,6 +186,19 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
 
     repeated, hot = count_bits(rows.select("text"), anchors, (2, HOT))
 
+    def content_hash(hashes, starts, counts):
+        return mix(hashes.runs(starts, counts + window - 1) + counts.astype(np.uint64))
+
+    def variants(batches):
+        for _, texts in text_blocks(batches, "text", BLOCK_BYTES):
+            codes, lens, _ = units.codes(texts)
+            hashes = PrefixHash(codes)
+            starts, counts, anchor = segments(hashes, lens, k, window, units.within)
+            on = is_set(repeated.value, anchor)
+            yield anchor[on], content_hash(hashes, starts[on], counts[on])
+
+    varied = varied_bits(rows.select("text"), variants)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, texts in text_blocks(batches, "text", BLOCK_BYTES):
             codes, lens, packed = units.codes(texts)
@@ -184,37 +211,40 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
             ends = np.cumsum(lens)
             doc_ids, row_keys = block.column("doc_id").to_numpy(), block.column("row_key").to_numpy()
 
-            def place(at):
+            def batch(at, n, key, tag, late, with_content):
                 which = np.searchsorted(ends, at, "right")
-                return doc_ids[which], row_keys[which], at - (ends - lens)[which]
-
-            def split(starts, counts, key, block_key):
-                doc, row, local = place(starts)
-                late = later(key, doc, row, local, units.within)
-                send = ~late
-                yield True, doc[late], row[late], local[late], counts[late], None, None
-                yield False, doc[send], row[send], local[send], counts[send], block_key[send], starts[send]
-
-            is_hot = is_set(hot.value, anchor)
-            content = mix(hashes.runs(starts, counts + window - 1) + counts.astype(np.uint64))
-            out = list(split(starts[~is_hot], counts[~is_hot], content[~is_hot], anchor[~is_hot]))
-            if is_hot.any():
-                done, left = split(starts[is_hot], counts[is_hot], content[is_hot], anchor[is_hot])
-                out.append(done)
-                n, at = left[4], left[6]
-                each = np.repeat(at, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                body = ([packed[a * width : (a + m + window - 1) * width] for a, m in zip(at.tolist(), n.tolist())]
+                        if with_content else pa.nulls(len(at), pa.binary()))
+                return pa.RecordBatch.from_arrays([
+                    pa.array(key.view(np.int64)), pa.array(tag.view(np.int64)), pa.array(doc_ids[which]), pa.array(row_keys[which]),
+                    pa.array((at - (ends - lens)[which]).astype(np.int32)), pa.array(n.astype(np.int32)),
+                    pa.array(np.full(len(at), late)), pa.array(body, pa.binary())], schema=_PENDING_ARROW)
+
+            def is_late(at, key):
+                which = np.searchsorted(ends, at, "right")
+                return later(key, doc_ids[which], row_keys[which], at, units.within)
+
+            tag = content_hash(hashes, starts, counts)
+            late = is_late(starts, mix(anchor) ^ tag)
+            done_at, done_n = [starts[late]], [counts[late]]
+            starts, counts, anchor, tag = starts[~late], counts[~late], anchor[~late], tag[~late]
+            differ = is_set(varied.value, anchor)
+            by_window = differ & is_set(hot.value, anchor)
+            if by_window.any():
+                n = counts[by_window]
+                each = np.repeat(starts[by_window] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                 one = mix(hashes.runs(each, window))
-                out.extend(split(each, np.ones(len(each), np.int64), one, one))
-            for late, doc, row, local, n, key, at in out:
-                if not len(doc):
-                    continue
-                if late:
-                    key, body = np.zeros(len(doc), np.int64), pa.nulls(len(doc), pa.binary())
-                else:
-                    key = key.view(np.int64)
-                    body = pa.array([packed[a * width : (a + m + window - 1) * width] for a, m in zip(at.tolist(), n.tolist())], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(doc), pa.array(row), pa.array(local.astype(np.int32)),
-                                                  pa.array(n.astype(np.int32)), body], schema=_PENDING_ARROW)
+                late = is_late(each, one)
+                done_at.append(each[late])
+                done_n.append(np.ones(int(late.sum()), np.int64))
+                yield batch(each[~late], np.ones(int((~late).sum()), np.int64), one[~late], one[~late], False, True)
+            for which, with_content in ((~differ, False), (differ & ~by_window, True)):
+                if which.any():
+                    yield batch(starts[which], counts[which], anchor[which], tag[which], False, with_content)
+            at, n = merged(np.concatenate(done_at), np.concatenate(done_n), ends)
+            if len(at):
+                none = np.zeros(len(at), np.uint64)
+                yield batch(at, n, none, none, True, False)
 
     pending = store(rows.mapInArrow(cut, _PENDING), "substring_segments")
 
@@ -224,48 +254,47 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
 
         def flush():
             t = pa.Table.from_batches(held)
-            doc, row, start, n = (t.column(c).to_numpy() for c in ("doc_id", "row_key", "start", "windows"))
-            order = np.lexsort((start, row, doc))
-            contents = binary_list(t.column("content").combine_chunks())
-            doc, row, start, n = doc[order], row[order], start[order].astype(np.int64), n[order].astype(np.int64)
-            seg, off = resolve(doc, row, start, n, [contents[i] for i in order])
-            if not len(seg):
-                return None
-            at = start[seg] + off
-            head = np.r_[True, (seg[1:] != seg[:-1]) | (off[1:] != off[:-1] + 1)]
-            first = np.flatnonzero(head)
-            return pa.RecordBatch.from_arrays([pa.array(doc[seg[first]]), pa.array(row[seg[first]]), pa.array(at[first].astype(np.int32)),
-                                               pa.array(np.diff(np.r_[first, len(seg)]).astype(np.int32))], schema=_SPANS_ARROW)
+            doc, row, start, n, blk, tag = (t.column(c).to_numpy() for c in ("doc_id", "row_key", "start", "windows", "blk", "tag"))
+            start, n = start.astype(np.int64), n.astype(np.int64)
+            differ = t.column("content").is_valid().to_numpy()
+            same = np.flatnonzero(~differ)
+            late = same[later(mix(blk[same].view(np.uint64)) ^ tag[same].view(np.uint64), doc[same], row[same], start[same], units.within)]
+            yield doc[late], row[late], start[late], n[late]
+            order = np.flatnonzero(differ)
+            if len(order):
+                order = order[np.lexsort((start[order], row[order], doc[order]))]
+                contents = binary_list(t.column("content").combine_chunks())
+                seg, off = resolve(doc[order], row[order], start[order], n[order], [contents[i] for i in order])
+                if len(seg):
+                    first = np.flatnonzero(np.r_[True, (seg[1:] != seg[:-1]) | (off[1:] != off[:-1] + 1)])
+                    of = order[seg[first]]
+                    yield doc[of], row[of], start[of] + off[first], np.diff(np.r_[first, len(seg)])
+
+        def spans():
+            for doc, row, start, n in flush():
+                if len(doc):
+                    yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32))],
+                                                     schema=_SPANS_ARROW)
 
         for batch in batches:
             blk = batch.column("blk").to_numpy()
-            if held and size >= INDEX_BYTES and held[-1].column("blk")[len(held[-1]) - 1].as_py() != blk[0]:
-                got = flush()
-                if got is not None:
-                    yield got
+            if held and size >= INDEX_BYTES:
+                # take the rest of the last key, then flush
+                rest = int(np.searchsorted(blk != held[-1].column("blk")[len(held[-1]) - 1].as_py(), True))
+                held.append(batch.slice(0, rest))
+                if rest == len(blk):
+                    continue
+                yield from spans()
                 held, size = [], 0
-            elif held and size >= INDEX_BYTES:
-                # the key goes on in this batch: take its rest, then flush
-                same = int(np.searchsorted(blk != blk[0], True))
-                held.append(batch.slice(0, same))
-                size += batch.slice(0, same).nbytes
-                if same < len(blk):
-                    got = flush()
-                    if got is not None:
-                        yield got
-                    held, size = [], 0
-                batch = batch.slice(same)
-            if len(batch):
-                held.append(batch)
-                size += batch.nbytes
+                batch = batch.slice(rest)
+            held.append(batch)
+            size += batch.nbytes
         if held:
-            got = flush()
-            if got is not None:
-                yield got
+            yield from spans()
 
-    blocks = pending.where("content is not null").repartition(partitions(spark), "blk").sortWithinPartitions("blk")
+    blocks = pending.where("not late").repartition(partitions(spark), "blk").sortWithinPartitions("blk")
     found = blocks.mapInArrow(decide, SPANS)
-    return store(pending.where("content is null").select("doc_id", "row_key", "start", "windows").union(found), "substring_spans")
+    return store(pending.where("late").select("doc_id", "row_key", "start", "windows").union(found), "substring_spans")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -18,8 +18,10 @@ outside the model has the probability of the class times (c + 1) / (N' + V'
 + 1) with c its training count, N' and V' tokens and distinct words of the
 class: a smoothed unigram, like the base score over all tokens.
 
-The corpus is encoded once in blocks: local ids and the block's words. The
-words' training counts are a Spark aggregation joined back to the blocks.
+The corpus is encoded once in blocks: local ids and the hashes of the block's
+words (64 bits; words are told apart by them). The words' training counts
+are a Spark aggregation joined back to the blocks; a group of that join is
+one word's blocks or one block's words.
 
 Null texts are empty and hold only the end. Rows whose id has no crc32 (null
 doc_id) train. Repeated rows are scored each. Without training text counts
@@ -28,6 +30,7 @@ are 0 and the model uniform.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,17 +39,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, text_blocks
+from .common import hash_words, store, text_blocks
 
 WORDS = 1022
 DIM = 24
 NOISE = 32
 BATCH = 4096
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 24
 _LOG10 = float(np.log10(np.e))
 
 _BLOCK = ("block long, doc_id array<bigint>, held_out array<boolean>, lens array<int>, ids binary, "
-          "words array<string>, counts array<bigint>")
+          "words array<bigint>, counts array<int>")
 
 
 def encode(docs: DataFrame) -> DataFrame:
@@ -66,7 +69,7 @@ def encode(docs: DataFrame) -> DataFrame:
             flat = np.concatenate(ids)
             counts = np.bincount(flat[~np.repeat(held, lens)], minlength=len(index)) if len(flat) else np.zeros(0, np.int64)
             row = {"block": (part << 32) | seq, "doc_id": table.column("doc_id").to_pylist(), "held_out": held.tolist(), "lens": lens,
-                   "ids": flat.tobytes(), "words": [w.decode() for w in index], "counts": counts.tolist()}
+                   "ids": zlib.compress(flat.tobytes(), 1), "words": hash_words(list(index)).view(np.int64), "counts": counts.astype(np.int32)}
             seq += 1
             yield pa.RecordBatch.from_pylist([row], schema=_BLOCK_ARROW)
 
@@ -74,7 +77,7 @@ def encode(docs: DataFrame) -> DataFrame:
 
 
 _BLOCK_ARROW = pa.schema([("block", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-                          ("lens", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+                          ("lens", pa.list_(pa.int32())), ("ids", pa.binary()), ("words", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))])
 
 
 @dataclass
@@ -89,9 +92,9 @@ class Totals:
     other_distinct: int
 
 
-def count_words(blocks: DataFrame, words: int = WORDS) -> tuple[DataFrame, list[tuple[str, int]], Totals]:
+def count_words(blocks: DataFrame, words: int = WORDS) -> tuple[DataFrame, list[tuple[int, int]], Totals]:
     """(word, c) over all training documents, the model's words, totals."""
-    local = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    local = blocks.select(F.explode(F.arrays_zip("words", "counts")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.counts").cast("long").alias("n"))
     counts = store(local.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm_counts")
     top = [(r["word"], r["c"]) for r in counts.orderBy(F.col("c").desc(), "word").limit(words).collect()]
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -100,16 +103,24 @@ def count_words(blocks: DataFrame, words: int = WORDS) -> tuple[DataFrame, list[
     return counts, top, Totals(tokens + ends, distinct + (1 if ends else 0), ends, tokens - known, distinct - len(top))
 
 
-def with_counts(blocks: DataFrame, counts: DataFrame, top: list[tuple[str, int]]) -> DataFrame:
-    """Stored blocks with ``c`` and ``cls`` of their words: arrays of (id,
-    count, class). ``top`` has at most ``WORDS`` rows, so it is broadcast."""
+def with_counts(blocks: DataFrame, counts: DataFrame, top: list[tuple[int, int]]) -> DataFrame:
+    """Stored blocks with the counts ``c`` and classes ``cls`` of their
+    words. ``top`` has at most ``WORDS`` rows, so it is broadcast."""
     spark = blocks.sparkSession
-    classes = F.broadcast(spark.createDataFrame([(w, i) for i, (w, _) in enumerate(top)], "word string, cls int"))
+    other = len(top)
+    classes = F.broadcast(spark.createDataFrame([(w, i) for i, (w, _) in enumerate(top)], "word long, cls int"))
     local = blocks.select("block", F.posexplode("words").alias("id", "word"))
     known = counts.join(classes, "word", "left").select("word", "c", "cls")
-    seen = (local.join(known, "word", "left").groupBy("block")
-            .agg(F.collect_list(F.struct("id", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("cls", F.lit(len(top))).alias("cls"))).alias("seen")))
-    return store(blocks.drop("words", "counts").join(seen.withColumnRenamed("block", "b"), F.col("block") == F.col("b"), "left").drop("b"), "lm_counted")
+
+    def pack(words):
+        at = np.argsort(words.column("id").to_numpy())
+        c = words.column("c").fill_null(0).to_numpy()[at]
+        cls = words.column("cls").fill_null(other).to_numpy()[at]
+        return pa.table({"b": words.column("block").slice(0, 1), "c": pa.array([zlib.compress(c.astype(np.int64).tobytes(), 1)], pa.binary()),
+                         "cls": pa.array([zlib.compress(cls.astype(np.int32).tobytes(), 1)], pa.binary())})
+
+    seen = local.join(known, "word", "left").select("block", "id", "c", "cls").groupBy("block").applyInArrow(pack, "b long, c binary, cls binary")
+    return store(blocks.drop("words", "counts").join(seen, F.col("block") == F.col("b"), "left").drop("b"), "lm_counted")
 
 
 @dataclass
@@ -210,14 +221,9 @@ def _sequence(row: dict, other: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     """(classes with ends, lens with ends, word counts c, held) of a block."""
     lens = np.array(row["lens"], np.int64)
     held = np.array(row["held_out"], bool)
-    ids = np.frombuffer(row["ids"], np.uint32)
-    c, cls = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if row["seen"]:
-        n = len(row["seen"])
-        c, cls = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        at = np.array([s["id"] for s in row["seen"]])
-        c[at] = [s["c"] for s in row["seen"]]
-        cls[at] = [s["cls"] for s in row["seen"]]
+    ids = np.frombuffer(zlib.decompress(row["ids"]), np.uint32)
+    c = np.frombuffer(zlib.decompress(row["c"]), np.int64) if row["c"] else np.zeros(0, np.int64)
+    cls = np.frombuffer(zlib.decompress(row["cls"]), np.int32).astype(np.int64) if row["c"] else np.zeros(0, np.int64)
     ends = np.cumsum(lens)
     return np.insert(cls[ids], ends, other + 1), lens + 1, np.insert(c[ids], ends, -1), held
 
@@ -248,7 +254,7 @@ def train(blocks: DataFrame, top: list[tuple[str, int]], totals: Totals, rounds:
                         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(np.full(len(flat), n, np.int64)),
                                                           *[pa.array(flat[:, j]) for j in range(width)]], names=["i", "n", *[f"p{j}" for j in range(width)]])
 
-        part = blocks.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r).repartition("block")
+        part = blocks.where(F.pmod(F.xxhash64("block"), F.lit(rounds)) == r)
         sums = (part.mapInArrow(step, "i int, n long, " + ", ".join(f"p{j} double" for j in range(width)))
                 .groupBy("i").agg(F.sum("n").alias("n"), *[F.sum(f"p{j}").alias(f"p{j}") for j in range(width)]).orderBy("i").toPandas())
         if len(sums):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -76,8 +76,12 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, text.isNull())
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.split()
+def shield(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``df`` under column names that meet no working column, the new name
+    of each column, and the way back to the own names."""
+    names = df.columns
+    new = {c: f"own_{i}" for i, c in enumerate(names)}
+    return df.toDF(*new.values()), new, lambda out: out.select(*[F.col(n).alias(c) for c, n in new.items()])
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:

@@ -4,8 +4,8 @@ Texts are lower-cased and cut into runs of letters and digits. A seed is a
 hash of the tokens at the 1s of a fixed mask laid at some place; the 0s
 ignore their tokens, so a substituted word there does not hide the overlap.
 Seeds of the benchmark and of the documents are joined on the hash; each
-joined pair names an alignment (document place minus item place), which is
-verified on the tokens themselves: from the alignment's best-scoring stretch
+joined pair names an alignment (document place minus item place); the
+alignments of a document and an item are verified together on the tokens: from the alignment's best-scoring stretch
 (+1 equal, -2 unequal) at least ``MIN_TOKENS`` tokens (or the whole item if
 shorter) must overlap and ``MIN_EQUAL`` of them be equal.
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_list, hash_words, mix, store, text_key
+from .common import binary_list, hash_words, mix, shield, store, text_key
 from .sharedbits import count_bits, is_set
 
 #: 1: token counts, 0: token is ignored.
@@ -146,21 +146,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     hit = store(docs.select("doc_id", text_key(F.col("text")).alias("row_key"), "text").mapInArrow(find, _HITS), "bench_hits")
     pairs = (hit.select("doc_id", "row_key", F.explode("hits").alias("hit"))
              .join(bench, F.col("hit.h") == F.col("h"))
-             .select("doc_id", "row_key", "item", "item_id", (F.col("hit.place") - F.col("item_place")).alias("shift")).distinct())
+             .groupBy("doc_id", "row_key", "item", "item_id")
+             .agg(F.collect_set(F.col("hit.place") - F.col("item_place")).alias("shifts")))
     item_tokens = store(items.select("item", "text").mapInArrow(_token_rows, "item long, item_tokens binary"), "bench_tokens")
     # equal rows share doc_id and key: one of them stands for all
     bodies = hit.select(F.col("doc_id").alias("d"), F.col("row_key").alias("k"), "tokens").dropDuplicates(["d", "k"])
     full = (store(pairs, "bench_pairs").join(bodies, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")))
-            .join(item_tokens, "item").select("doc_id", "row_key", "item_id", "shift", "tokens", "item_tokens"))
+            .join(item_tokens, "item").select("doc_id", "row_key", "item_id", "shifts", "tokens", "item_tokens"))
 
     def verify(batches):
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
                 item = np.frombuffer(r["item_tokens"], np.uint64)
-                first, n, equal = overlap(np.frombuffer(r["tokens"], np.uint64), item, r["shift"])
-                if n >= min(min_tokens, len(item)) and equal >= min_equal * n:
-                    rows.append((r["doc_id"], r["row_key"], r["item_id"], first, n, equal))
+                doc = np.frombuffer(r["tokens"], np.uint64)
+                good = [(n, equal, -first) for first, n, equal in (overlap(doc, item, shift) for shift in r["shifts"])
+                        if n >= min(min_tokens, len(item)) and equal >= min_equal * n]
+                if good:
+                    n, equal, first = max(good)
+                    rows.append((r["doc_id"], r["row_key"], r["item_id"], -first, n, equal))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()])],
                                                  names=["doc_id", "row_key", "item_id", "first_token", "overlap_tokens", "equal_tokens"])
@@ -173,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold a benchmark passage."""
-    bad = store(contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_id"), F.col("row_key").alias("bad_key")).distinct(), "bench_bad")
-    return (docs.withColumn("own_row_key", text_key(F.col("text")))
-            .join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col("own_row_key") == F.col("bad_key")), "left_anti")
-            .drop("own_row_key"))
+    bad = store(contaminated(docs, benchmark).select("doc_id", "row_key").distinct(), "bench_bad")
+    own, name, restore = shield(docs)
+    doc_id, text = F.col(name["doc_id"]), F.col(name["text"])
+    return restore(own.join(bad, doc_id.eqNullSafe(F.col("doc_id")) & (text_key(text) == F.col("row_key")), "left_anti"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_list, components, gram_hashes, hash_words, store, text_key
+from .common import binary_list, components, gram_hashes, hash_words, shield, store, text_key
 from .sharedbits import count_bits, is_set
 
 SHINGLE = 5
@@ -247,8 +247,9 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .select(F.col("k.doc_id").alias("k_id"), F.col("k.row_key").alias("k_key"), F.lit(True).alias("leads")))
     bare = rows.where("root is null").select(F.col("doc_id").alias("k_id"), F.col("row_key").alias("k_key"), F.lit(False).alias("leads")).distinct()
     keys = store(least.union(bare), "join_keep")
-    joined = (docs.withColumn("own_row_key", text_key(F.col("text")))
-              .join(keys, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("own_row_key") == F.col("k_key"))))
+    own, name, restore = shield(docs)
+    keyed = own.withColumn("row_key", text_key(F.col(name["text"])))
+    joined = keyed.join(keys, F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("row_key") == F.col("k_key")))
     # equal rows of a group share the key: one of them stays
-    copies = Window.partitionBy("doc_id", "own_row_key", "leads").orderBy("own_row_key")
-    return joined.withColumn("copy", F.row_number().over(copies)).where("copy = 1 or not leads").select(*docs.columns)
+    copies = Window.partitionBy("k_id", "k_key", "leads").orderBy("k_key")
+    return restore(joined.withColumn("copy", F.row_number().over(copies)).where("copy = 1 or not leads"))

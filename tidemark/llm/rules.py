@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, shield
 
 #: Labelled documents that the model is fitted on, at most (those with the
 #: smallest hash of doc_id). The sample goes to the driver: 12,000 rows of
@@ -35,7 +35,8 @@ STATS = ("n_words", "word_len", "upper", "digits", "symbols", "marks", "pipes",
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``stats`` of the numbers in ``STATS``."""
+    """``docs`` with a struct column ``stats`` of the numbers in ``STATS``.
+    The columns ``stats`` and ``raw_statistics`` must not exist."""
     t = F.coalesce(F.col(text), F.lit(""))
 
     def per(n: Column, of: Column) -> Column:
@@ -196,6 +197,15 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> RuleMo
     return fit(x, np.array([r["label"] for r in got], float))
 
 
-def score(docs: DataFrame, model: RuleModel) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1, higher: label 1 likelier)."""
-    return with_statistics(docs).withColumn("score", model.column()).drop("stats")
+def score(docs: DataFrame, model: RuleModel, name: str = "score") -> DataFrame:
+    """``docs`` with column ``name`` (0 to 1, higher: label 1 likelier),
+    which replaces a column of that name."""
+    own, new, _ = shield(docs)
+    scored = with_statistics(own, new["text"]).withColumn("model_score", model.column())
+    return scored.select(*[F.col(n).alias(c) for c, n in new.items() if c != name], F.col("model_score").alias(name))
+
+
+def keep_good(docs: DataFrame, model: RuleModel, level: float = 0.5) -> DataFrame:
+    """``docs`` whose score reaches ``level``, with their own columns."""
+    own, new, restore = shield(docs)
+    return restore(with_statistics(own, new["text"]).where(model.column() >= level))

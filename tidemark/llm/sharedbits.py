@@ -101,6 +101,62 @@ def count_bits(
     return [spark.sparkContext.broadcast(m) for m in maps]
 
 
+_PAIRS = pa.schema([("lead", pa.int32()), ("keys", pa.binary()), ("tags", pa.binary())])
+
+
+def varied_bits(
+    docs: DataFrame,
+    pairs: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[np.ndarray, np.ndarray]]],
+    bits: int = BITS,
+) -> Broadcast:
+    """A broadcast bitmap, set where a hash comes with two or more different
+    tags. ``pairs`` turns a task's batches into (hashes, tags), both uint64.
+    """
+    spark = docs.sparkSession
+    lead_bits = min(16, max(6, (partitions(spark) - 1).bit_length()))
+    width = bits - lead_bits
+
+    def distinct(h: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((tag, h))
+        h, tag = h[order], tag[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (tag[1:] != tag[:-1])] if len(h) else np.empty(0, bool)
+        return h[new], tag[new]
+
+    def blobs(held) -> pa.RecordBatch:
+        h, tag = distinct(*(np.concatenate(x) for x in zip(*held)))
+        lead = (h >> np.uint64(64 - lead_bits)).astype(np.int64)
+        rest = (h >> np.uint64(32 - lead_bits)).astype(np.uint32)
+        cuts = np.searchsorted(lead, np.arange((1 << lead_bits) + 1))
+        rows = [(i, rest[a:b].tobytes(), tag[a:b].tobytes()) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _PAIRS.types)], schema=_PAIRS)
+
+    def emit(batches):
+        held, size = [], 0
+        for h, tag in pairs(batches):
+            if len(h):
+                held.append((h, tag))
+                size += len(h)
+            if size >= CHUNK:
+                yield blobs(held)
+                held, size = [], 0
+        if size:
+            yield blobs(held)
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        key = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["keys"]])
+        key, _ = distinct(key, np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["tags"]]))
+        flags = np.zeros(1 << width, bool)
+        flags[key[1:][key[1:] == key[:-1]] >> np.uint32(32 - width)] = True
+        return pd.DataFrame({"lead": [int(pdf["lead"].iloc[0])], "map": [np.packbits(flags).tobytes()]})
+
+    slices = docs.mapInArrow(emit, "lead int, keys binary, tags binary").groupBy("lead").applyInPandas(count, "lead int, map binary")
+    size = (1 << width) // 8
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for row in slices.toLocalIterator():
+        whole[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(row["map"]), np.uint8)
+    return spark.sparkContext.broadcast(whole)
+
+
 def is_set(bitmap: np.ndarray, h: np.ndarray, bits: int = BITS) -> np.ndarray:
     i = (h >> np.uint64(64 - bits)).astype(np.int64)
     return (bitmap[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 == 1
