@@ -65,9 +65,9 @@ def test_run_elt_incremental_second_run_equals_full_build(spark, tmp_root):
     raw_all = m.raw(spark, sf)
     cutoff = F.lit(m.INCREMENTAL_CUTOFF).cast("timestamp")
     tb = list(FIXTURE_TIE_BREAKERS)
-    run_elt(spark, raw_all.filter(F.col("load_ts") < cutoff), tmp_root, as_of=m.DIM_AS_OF, tie_breakers=tb,
+    run_elt(spark, raw_all.filter(F.col("load_ts") < cutoff), tmp_root, gate=False, tie_breakers=tb,
             fact_buckets=8)
-    out = run_elt(spark, raw_all, tmp_root, as_of=m.DIM_AS_OF, tie_breakers=tb, fact_buckets=8)
+    out = run_elt(spark, raw_all, tmp_root, gate=False, tie_breakers=tb, fact_buckets=8)
     from tidemark.sinks.fact_store import FactStore
 
     store = FactStore(spark, out["fct_sales"], buckets=8)
@@ -88,5 +88,17 @@ def test_run_elt_on_empty_raw_gives_empty_marts(spark, tmp_root):
     from tidemark.sources.adapters import FIXTURE_TIE_BREAKERS
 
     raw = m.raw(spark, "/root/testdata/sf0.001").limit(0)
-    out = run_elt(spark, raw, tmp_root, as_of=m.DIM_AS_OF, tie_breakers=list(FIXTURE_TIE_BREAKERS), fact_buckets=4)
+    out = run_elt(spark, raw, tmp_root, gate=False, tie_breakers=list(FIXTURE_TIE_BREAKERS), fact_buckets=4)
     assert spark.read.parquet(out["mart_customer_sales_kpi"]).count() == 0
+
+
+def test_run_elt_gate_and_freshness(spark, tmp_root):
+    import pytest
+
+    from tidemark.plans.pipeline import run_elt
+
+    late = raw_df(spark, [row(1), row(2, net="-5.00")])
+    with pytest.raises(ValueError, match="stale"):
+        run_elt(spark, late, tmp_root, layers=("staging",), loaded_by=datetime(2024, 4, 1))
+    with pytest.raises(AssertionError, match="negative net amount"):
+        run_elt(spark, late, tmp_root, fact_buckets=2)

@@ -25,6 +25,11 @@ def row_generator(spark: SparkSession, n: int, start: str = DIM_START) -> DataFr
     return spark.range(n).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("date_day"))
 
 
+def days_through(last: date | None, start: str = DIM_START, least: int = DIM_DAYS) -> int:
+    """Days from ``start`` that reach ``last``, ``least`` at least."""
+    return least if last is None else max(least, (last - date.fromisoformat(start)).days + 1)
+
+
 def dim_date(
     spark: SparkSession,
     as_of: date | datetime | Column | None = None,

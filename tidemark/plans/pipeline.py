@@ -16,10 +16,11 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import marts, quality
 from tidemark.operators.contract import load_contract, validate_contract
-from tidemark.operators.dims import dim_date
+from tidemark.operators.dims import days_through, dim_date
 from tidemark.operators.fact import fct_projection, incremental_filter
 from tidemark.operators.integrity import file_fingerprints, require_checksums_match, verify_checksums
 from tidemark.operators.intermediate import int_sales_enriched
@@ -34,8 +35,6 @@ LAYERS = ("staging", "intermediate", "marts")
 def run_ingest_batch(spark: SparkSession, batch: DataFrame, landing: str, manifests: str,
                      as_of: datetime | None = None) -> str:
     """Validate one batch of raw rows, land it and verify what was landed."""
-    from pyspark.sql import functions as F
-
     as_of = as_of or datetime.now(timezone.utc).replace(tzinfo=None)
     quality.validate_batch(batch)
     report = validate_contract(batch, load_contract())
@@ -48,10 +47,20 @@ def run_ingest_batch(spark: SparkSession, batch: DataFrame, landing: str, manife
 
 
 def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | datetime | None = None,
-            layers: tuple[str, ...] = LAYERS, tie_breakers=None, gate: bool = False,
-            fact_buckets: int = 64) -> dict[str, str]:
-    """Build the requested layers; returns table -> path."""
+            layers: tuple[str, ...] = LAYERS, tie_breakers=None, gate: bool = True,
+            fact_buckets: int = 64, loaded_by: datetime | None = None) -> dict[str, str]:
+    """Build the requested layers; returns table -> path.
+
+    With ``loaded_by`` the run stops first if RAW's newest load is too old
+    at that time (``check_source_freshness`` says error). ``gate`` stops it
+    after the report if a quality check fails. The calendar reaches the
+    newest business date of the fact.
+    """
     out: dict[str, str] = {}
+    if loaded_by is not None:
+        fresh = quality.check_source_freshness(raw, loaded_by).first()
+        if fresh["freshness_status"] == "error":
+            raise ValueError(f"RAW is stale: newest load {fresh['max_loaded_at']}")
     if "staging" in layers:
         out["stg_sales"] = materialize_full(stg_sales(raw, tie_breakers=tie_breakers), root, "staging", "stg_sales")
     if "intermediate" in layers:
@@ -67,7 +76,8 @@ def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | dateti
             store.upsert(fct_projection(incremental_filter(enriched, current)))
         out["fct_sales"] = store.root
         fct = store.read()
-        dim = dim_date(spark, as_of)
+        last = fct.agg(F.max("order_date")).first()[0]
+        dim = dim_date(spark, as_of or last, n_days=days_through(last))
         out["dim_date"] = materialize_full(dim, root, "marts", "dim_date")
         dim = spark.read.parquet(out["dim_date"])
         built = {

@@ -198,7 +198,7 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_name"),
         F.when(eid % 3 == 0, F.lit("TRANSFORMER")).otherwise(F.lit("ANALYST")).alias("role_name"),
         F.concat(F.lit("wh_"), F.col("event_type")).alias("warehouse_name"),
-        F.lit("SYNTHETIC_DATA").alias("database_name"),
+        F.lit("demo_sales").alias("database_name"),
         F.when(eid % 4 == 2, F.lit("MARTS")).otherwise(F.lit("STAGING")).alias("schema_name"),
         F.when(eid % 5 == 0, F.lit("CREATE_TABLE_AS_SELECT")).otherwise(F.lit("SELECT")).alias("query_type"),
         tag.alias("query_tag"),
@@ -236,7 +236,7 @@ QUERY_HISTORY_SQL = """
 select event_id as query_id, concat('u', cast(user_id as varchar)) as user_name,
   case when event_id % 3 = 0 then 'TRANSFORMER' else 'ANALYST' end as role_name,
   concat('wh_', event_type) as warehouse_name,
-  'SYNTHETIC_DATA' as database_name,
+  'demo_sales' as database_name,
   case when event_id % 4 = 2 then 'MARTS' else 'STAGING' end as schema_name,
   case when event_id % 5 = 0 then 'CREATE_TABLE_AS_SELECT' else 'SELECT' end as query_type,
   case when event_id % 4 = 0 then null when event_id % 4 = 1 then 'dbt_staging' when event_id % 4 = 2 then 'dbt_marts' else 'adhoc' end as query_tag,
