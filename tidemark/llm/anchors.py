@@ -20,7 +20,8 @@ share one, so a document falls into segments of windows with one anchor.
    than about ``HOT`` segments, or one segment or window a block of text.
 4. An index block (some MB of complete keys) is resolved by the operator.
 
-Results are spans of window starts that are not first occurrences.
+All this is one shuffle. Results are spans of window starts that are not
+first occurrences.
 """
 
 from __future__ import annotations
@@ -32,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_list, mix, partitions, store, text_blocks, text_key
+from .common import binary_list, mix, partitions, store, text_blocks
 from .sharedbits import count_bits, is_set, varied_bits
 
 HOT = 1000
-#: Bytes of text that a task resolves at once.
+#: Bytes of text that a task resolves at once, and that it only counts.
 BLOCK_BYTES = 1 << 21
+COUNT_BYTES = 1 << 18
 #: Bytes of segments in an index block, about.
 INDEX_BYTES = 1 << 21
 
@@ -98,7 +100,7 @@ def segments(hashes: PrefixHash, lens: np.ndarray, k: int, window: int, by_place
     n = total - window + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    grams = mix(hashes.all(k))
+    grams = hashes.all(k)
     if by_place:
         low = np.uint64(max(22, len(grams).bit_length()))
         least = sliding_min((grams >> low << low) | np.arange(len(grams), dtype=np.uint64), window - k + 1)[:n]
@@ -133,11 +135,16 @@ class Units:
         self.codes, self.width, self.k, self.window, self.within = codes, width, k, window, within
 
 
-SPANS = "doc_id long, row_key long, start int, windows int"
-_PENDING = "blk long, tag long, doc_id long, row_key long, start int, windows int, late boolean, content binary"
-_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("tag", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()),
+SPANS = "doc_id long, row_key int, start int, windows int"
+_PENDING = "blk long, doc_id long, row_key int, start int, windows int, late boolean, content binary"
+_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int32()), ("start", pa.int32()),
                             ("windows", pa.int32()), ("late", pa.bool_()), ("content", pa.binary())])
-_SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
+_SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int32()), ("start", pa.int32()), ("windows", pa.int32())])
+
+
+def _row_key() -> Column:
+    """Tells rows of one doc_id apart; short, since every segment has it."""
+    return F.hash("text")
 
 
 def later(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, within: bool) -> np.ndarray:
@@ -176,11 +183,11 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
     Rows without a doc_id have no order and take no part.
     """
     spark = docs.sparkSession
-    rows = docs.where("doc_id is not null").select("doc_id", text_key(F.col("text")).alias("row_key"), "text")
+    rows = docs.where("doc_id is not null").select("doc_id", _row_key().alias("row_key"), "text")
     k, window, width = units.k, units.window, units.width
 
     def anchors(batches):
-        for _, texts in text_blocks(batches, "text", BLOCK_BYTES):
+        for _, texts in text_blocks(batches, "text", COUNT_BYTES):
             codes, lens, _ = units.codes(texts)
             yield segments(PrefixHash(codes), lens, k, window, units.within)[2]
 
@@ -190,7 +197,7 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
         return mix(hashes.runs(starts, counts + window - 1) + counts.astype(np.uint64))
 
     def variants(batches):
-        for _, texts in text_blocks(batches, "text", BLOCK_BYTES):
+        for _, texts in text_blocks(batches, "text", COUNT_BYTES):
             codes, lens, _ = units.codes(texts)
             hashes = PrefixHash(codes)
             starts, counts, anchor = segments(hashes, lens, k, window, units.within)
@@ -211,12 +218,12 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
             ends = np.cumsum(lens)
             doc_ids, row_keys = block.column("doc_id").to_numpy(), block.column("row_key").to_numpy()
 
-            def batch(at, n, key, tag, late, with_content):
+            def batch(at, n, key, late, with_content):
                 which = np.searchsorted(ends, at, "right")
                 body = ([packed[a * width : (a + m + window - 1) * width] for a, m in zip(at.tolist(), n.tolist())]
                         if with_content else pa.nulls(len(at), pa.binary()))
                 return pa.RecordBatch.from_arrays([
-                    pa.array(key.view(np.int64)), pa.array(tag.view(np.int64)), pa.array(doc_ids[which]), pa.array(row_keys[which]),
+                    pa.array(key.view(np.int64)), pa.array(doc_ids[which]), pa.array(row_keys[which]),
                     pa.array((at - (ends - lens)[which]).astype(np.int32)), pa.array(n.astype(np.int32)),
                     pa.array(np.full(len(at), late)), pa.array(body, pa.binary())], schema=_PENDING_ARROW)
 
@@ -227,7 +234,7 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
             tag = content_hash(hashes, starts, counts)
             late = is_late(starts, mix(anchor) ^ tag)
             done_at, done_n = [starts[late]], [counts[late]]
-            starts, counts, anchor, tag = starts[~late], counts[~late], anchor[~late], tag[~late]
+            starts, counts, anchor = starts[~late], counts[~late], anchor[~late]
             differ = is_set(varied.value, anchor)
             by_window = differ & is_set(hot.value, anchor)
             if by_window.any():
@@ -237,16 +244,13 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
                 late = is_late(each, one)
                 done_at.append(each[late])
                 done_n.append(np.ones(int(late.sum()), np.int64))
-                yield batch(each[~late], np.ones(int((~late).sum()), np.int64), one[~late], one[~late], False, True)
+                yield batch(each[~late], np.ones(int((~late).sum()), np.int64), one[~late], False, True)
             for which, with_content in ((~differ, False), (differ & ~by_window, True)):
                 if which.any():
-                    yield batch(starts[which], counts[which], anchor[which], tag[which], False, with_content)
+                    yield batch(starts[which], counts[which], anchor[which], False, with_content)
             at, n = merged(np.concatenate(done_at), np.concatenate(done_n), ends)
             if len(at):
-                none = np.zeros(len(at), np.uint64)
-                yield batch(at, n, none, none, True, False)
-
-    pending = store(rows.mapInArrow(cut, _PENDING), "substring_segments")
+                yield batch(at, n, mix(at.astype(np.uint64)), True, False)  # spread, and passed through
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -254,11 +258,12 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
 
         def flush():
             t = pa.Table.from_batches(held)
-            doc, row, start, n, blk, tag = (t.column(c).to_numpy() for c in ("doc_id", "row_key", "start", "windows", "blk", "tag"))
+            doc, row, start, n, blk = (t.column(c).to_numpy() for c in ("doc_id", "row_key", "start", "windows", "blk"))
             start, n = start.astype(np.int64), n.astype(np.int64)
-            differ = t.column("content").is_valid().to_numpy()
-            same = np.flatnonzero(~differ)
-            late = same[later(mix(blk[same].view(np.uint64)) ^ tag[same].view(np.uint64), doc[same], row[same], start[same], units.within)]
+            done, differ = t.column("late").to_numpy(), t.column("content").is_valid().to_numpy()
+            yield doc[done], row[done], start[done], n[done]
+            same = np.flatnonzero(~differ & ~done)  # an anchor's segments are all equal here
+            late = same[later(blk[same], doc[same], row[same], start[same], units.within)]
             yield doc[late], row[late], start[late], n[late]
             order = np.flatnonzero(differ)
             if len(order):
@@ -292,9 +297,8 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
         if held:
             yield from spans()
 
-    blocks = pending.where("not late").repartition(partitions(spark), "blk").sortWithinPartitions("blk")
-    found = blocks.mapInArrow(decide, SPANS)
-    return store(pending.where("late").select("doc_id", "row_key", "start", "windows").union(found), "substring_spans")
+    blocks = rows.mapInArrow(cut, _PENDING).repartition(partitions(spark), "blk").sortWithinPartitions("blk")
+    return store(blocks.mapInArrow(decide, SPANS), "substring_spans")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -302,7 +306,7 @@ def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     windows), null if there is none."""
     per = (spans.groupBy(F.col("doc_id").alias("s_id"), F.col("row_key").alias("s_key"))
            .agg(F.collect_list(F.struct("start", "windows")).alias("spans")))
-    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("row_key"))
+    keyed = docs.select("doc_id", "text", _row_key().alias("row_key"))
     return keyed.join(per, (F.col("doc_id") == F.col("s_id")) & (F.col("row_key") == F.col("s_key")), "left").select("doc_id", "text", "spans")
 
 

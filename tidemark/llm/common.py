@@ -90,11 +90,15 @@ def hash_words(words: list[bytes]) -> np.ndarray:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: spreads a polynomial hash over all 64 bits."""
-    h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    out = h >> np.uint64(30)
+    out ^= h
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    part = out >> np.uint64(27)
+    out ^= part
+    out *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(out, np.uint64(31), out=part)
+    out ^= part
+    return out
 
 
 _P = np.uint64(0x9E3779B97F4A7C15)

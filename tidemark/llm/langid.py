@@ -1,7 +1,7 @@
 """Language identification by averaged hashed subword embeddings.
 
 A text's words are its runs of letters, lower-cased. Each word gives its
-character n-grams (1 to 4, with word bounds) and itself, hashed into
+character n-grams (1 to 3, with word bounds) and itself, hashed into
 ``BUCKETS`` embeddings; the text is the mean of these and a linear softmax
 gives the language. Embeddings and softmax are trained together by
 stochastic gradient descent in numpy on a bounded sample of labelled
@@ -19,6 +19,7 @@ a null language never train. With no labelled text every prediction is
 
 from __future__ import annotations
 
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -34,10 +35,11 @@ from .common import binary_list, text_key
 SAMPLE_ROWS = 3000
 BUCKETS = 1 << 16
 DIM = 16
-NGRAMS = (1, 2, 3, 4)
+NGRAMS = (1, 2, 3)
 PRECISION = 0.99
 UNKNOWN = "und"
-_CACHE = 200_000
+#: Words whose logits a task keeps before it starts anew (a memory bound).
+_CACHE = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -126,8 +128,13 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], langs: list[str], epochs: int
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``rows`` documents (doc_id, text, lang); their bucket
     counts, not their texts, go to the driver."""
-    key = F.xxhash64("doc_id", text_key(F.col("text")))
-    some = docs.where("lang is not null and text is not null").select(key.alias("h"), "lang", "text").orderBy("h", "lang").limit(rows)
+    keyed = docs.where("lang is not null and text is not null").select(F.xxhash64("doc_id", text_key(F.col("text"))).alias("h"), "lang", "text")
+    # the sample is chosen by key, a proven bound, so it is broadcast and the
+    # texts stay where they are; repeated rows may bring a few more of them
+    last = keyed.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return fit([], [])
+    some = keyed.where(F.col("h") <= last)
 
     def count(batches):
         for batch in batches:
@@ -155,6 +162,29 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         k = len(m.langs)
         index: dict[str, int] = {}
         table = np.zeros((_CACHE, k + 1), np.float64)
+
+        def learn(new: list[str]) -> None:
+            grams = [subwords(w) for w in new]
+            n = np.fromiter(map(len, grams), np.int64, len(grams))
+            flat = np.fromiter(itertools.chain.from_iterable(grams), np.int64, int(n.sum()))
+            at = len(index)
+            table[at : at + len(new), :k] = np.add.reduceat(m.logits[flat].astype(np.float64), np.cumsum(n) - n)
+            table[at : at + len(new), k] = n
+            index.update(zip(new, range(at, at + len(new))))
+
+        def total(ws: list[str]) -> np.ndarray:
+            out = np.zeros(k + 1)
+            for lo in range(0, len(ws), _CACHE // 4):
+                part = ws[lo : lo + _CACHE // 4]
+                new = list(set(part).difference(index))
+                if len(index) + len(new) > _CACHE:
+                    index.clear()
+                    new = list(set(part))
+                if new:
+                    learn(new)
+                out += table[np.fromiter(map(index.__getitem__, part), np.int64, len(part))].sum(0)
+            return out
+
         for batch in batches:
             langs, probs, accepted = [], [], []
             for text in binary_list(batch.column("text")):
@@ -164,19 +194,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     probs.append(0.0)
                     accepted.append(False)
                     continue
-                total = np.zeros(k + 1)
-                for lo in range(0, len(ws), _CACHE // 2):
-                    part = ws[lo : lo + _CACHE // 2]
-                    if len(index) + len(part) > _CACHE:
-                        index.clear()
-                    for w in part:
-                        if w not in index:
-                            g = subwords(w)
-                            at = index[w] = len(index)
-                            table[at, :k] = m.logits[g].sum(0)
-                            table[at, k] = len(g)
-                    total += table[np.fromiter(map(index.__getitem__, part), np.int64, len(part))].sum(0)
-                z = (total[:k] / total[k] + m.bias) * m.temperature
+                sums = total(ws)
+                z = (sums[:k] / sums[k] + m.bias) * m.temperature
                 p = np.exp(z - z.max())
                 p /= p.sum()
                 i = int(p.argmax())
