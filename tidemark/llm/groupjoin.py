@@ -13,9 +13,10 @@ the empty set, linked with nothing). Two documents link when
    first n - ceil(0.8 n) + 1 of this order. For most documents these are all
    unique and the document is finished.
 3. Equal sets become one node, so copies never multiply.
-4. Each node is checked against at most two pivots, the smallest nodes (by
-   key and by hash) that share the most prefix shingles; links found join
-   nodes of a dense cluster without listing its pairs.
+4. Each node is checked against a pivot, the smallest node that shares the
+   most prefix shingles, and if they do not link against a second one (the
+   smallest by hash); links found join nodes of a dense cluster without
+   listing its pairs.
 5. Nodes are dealt into groups of about ``GROUP`` similar nodes: nodes of one
    component, or single nodes with one pivot, of one class of sizes (linked
    sets are in the same or neighbouring classes). The token-group matrix holds
@@ -135,36 +136,55 @@ def _check_pairs(pairs: DataFrame, percent: int) -> DataFrame:
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Stored (a, b): enough links between nodes to connect every component
     (each is a true link; pairs inside an already joined group are left out).
+
+    Sets travel only for nodes that share a prefix shingle with another, and
+    after the pivots only for those that ask or are asked.
     """
     spark = sets.sparkSession
-    nodes = store(sets.where("shingles is not null").groupBy("node")
-                  .agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("shingles").alias("shingles")), "join_nodes")
-    tokens = nodes.select("node", F.explode("prefix").alias("token"))
-    shared = (tokens.groupBy("token").agg(F.count("*").alias("df"), F.min("node").alias("low"),
-                                          F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("hashed"))
-              .where("df > 1").select("token", F.col("low"), F.col("hashed.node").alias("alt")))
-    tokens = store(tokens.join(shared, "token"), "join_tokens")  # (token, node, low, alt)
+    full = sets.where("shingles is not null")
+    light = full.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
+    tokens = store(light.select("node", "n", F.explode("prefix").alias("token")), "join_prefix")
+    shared = (tokens.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("node", "n")).alias("low"),
+                                          F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("hashed"))
+              .where("df > 1").select("token", "low", F.struct("hashed.node", "hashed.n").alias("alt")))
+    tokens = store(tokens.join(shared, "token"), "join_tokens")  # (token, node, n, low, alt)
+    wanted = tokens.groupBy("node").agg(F.first("n").alias("n"))
+    body = store(full.select("node", "shingles").join(wanted, "node").groupBy("node")
+                 .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "join_bodies")
 
     def best(pivot: str) -> DataFrame:
-        votes = tokens.where(F.col("node") != F.col(pivot)).groupBy("node", F.col(pivot).alias("pivot")).agg(F.count("*").alias("votes"))
-        return votes.groupBy("node").agg(F.max(F.struct("votes", "pivot")).getField("pivot").alias("pivot"))
+        votes = (tokens.where(F.col("node") != F.col(f"{pivot}.node")).groupBy("node", "n", F.col(pivot).alias("pivot"))
+                 .agg(F.count("*").alias("votes")))
+        return votes.groupBy("node", "n").agg(F.max(F.struct("votes", "pivot")).getField("pivot").alias("pivot"))
+
+    def stars(pairs: DataFrame, name: str) -> DataFrame:
+        """Links among (node, n, pivot) whose sizes allow one."""
+        fit = pairs.where(F.least("n", "pivot.n") * 100 >= F.greatest("n", "pivot.n") * percent).select("node", F.col("pivot.node").alias("b"))
+        left = body.select("node", F.col("shingles").alias("sa")).join(fit, "node").withColumnRenamed("node", "a")
+        return store(_check_pairs(left.join(body.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"), percent), name)
 
     pivots = store(best("low"), "join_pivots")
-    pairs = store(pivots.union(best("alt")).distinct(), "join_pairs")
-    body = nodes.select("node", "shingles")
-    stars = store(_check_pairs(
-        pairs.join(body.withColumnRenamed("shingles", "sa"), "node").withColumnRenamed("node", "a")
-        .join(body.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), F.col("pivot") == F.col("b")), percent), "join_stars")
-    roots = components(spark, stars, "join_star")
+    first = stars(pivots, "join_stars")
+    rest = pivots.select("node").join(first.select(F.col("a").alias("node")), "node", "left_anti")
+    second = stars(best("alt").join(rest, "node"), "join_stars")
+    star = store(first.union(second), "join_star")
+
+    # nodes under one pivot are joined; so is what their pivot is joined to
+    under = star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))
+    over = under.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    under = store(under.join(over, "up", "left").select("node", F.coalesce("top", "up").alias("comp")), "join_under")
 
     # groups: nodes of one component, or single nodes with one pivot, and of
     # one class of sizes; nodes that are some pivot themselves count as theirs
-    known = nodes.select("node", F.floor(F.log("n") / F.log(F.lit(100 / percent))).alias("cls")).join(roots, "node", "left")
-    known = store(known.select("node", "cls", F.coalesce("root", "node").alias("comp")), "join_known")
+    cls = F.floor(F.log("n") / F.log(F.lit(100 / percent)))
+    known = (body.select("node", cls.alias("cls")).join(under, "node", "left")
+             .join(pivots.select("node", F.col("pivot.node").alias("pivot")), "node", "left")
+             .select("node", "cls", F.coalesce("comp", "node").alias("comp"), F.coalesce("pivot", "node").alias("pivot")))
+    known = store(known, "join_known")
     sizes = store(known.groupBy("comp").agg(F.count("*").alias("size")), "join_sizes")
-    sized = (known.join(sizes, "comp").join(pivots, "node", "left").withColumn("single", F.col("size") == 1)
-             .withColumn("base", F.when(F.col("single"), F.coalesce("pivot", "node")).otherwise(F.col("comp"))))
-    sized = store(sized.select("node", "comp", "size", "single", "cls", F.xxhash64("single", "base", "cls").alias("base")), "join_sized")
+    sized = known.join(sizes, "comp").withColumn("single", F.col("size") == 1)
+    sized = store(sized.select("node", "comp", "size", "single", "cls",
+                               F.xxhash64("single", F.when(F.col("single"), F.col("pivot")).otherwise(F.col("comp")), "cls").alias("base")), "join_sized")
     many = store(sized.groupBy("base").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts")), "join_parts")
     member = store(sized.join(many, "base")
                    .select("node", "comp", "size", "single", "cls", F.xxhash64("base", F.pmod(F.xxhash64("node", F.lit(7)), "parts")).alias("grp")), "join_groups")
@@ -181,14 +201,17 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select("node", "grp").distinct())
     asks = store(asks, "join_asks")
 
-    unions = store(_unions(member.join(asks.select("grp").distinct(), "grp", "left_semi").join(body, "node")), "join_unions")
-    opened = store(_bounded(asks.join(body, "node").join(unions, "grp"), percent), "join_opened")
-    inside = (opened.withColumnRenamed("node", "a").join(member.select("grp", F.col("node").alias("b"), F.col("comp").alias("cb")), "grp")
-              .join(member.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").where("ca <> cb"))
+    asked = store(member.join(asks.select("grp").distinct(), "grp"), "join_asked")
+    needed = asked.select("node").union(asks.select("node")).distinct()
+    few = store(body.select("node", "shingles").join(needed, "node"), "join_few")
+    unions = store(_unions(asked.select("grp", "node").join(few, "node")), "join_unions")
+    opened = store(_bounded(asks.join(few, "node").join(unions, "grp"), percent), "join_opened")
+    inside = (opened.withColumnRenamed("node", "a").join(asked.select("grp", F.col("node").alias("b"), F.col("comp").alias("cb")), "grp")
+              .join(member.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").where("ca <> cb").select("a", "b"))
     found = _check_pairs(
-        inside.join(body.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(body.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"), percent)
-    return store(stars.union(found), "join_links")
+        inside.join(few.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(few.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"), percent)
+    return store(star.union(found), "join_links")
 
 
 def _unions(members: DataFrame) -> DataFrame:
