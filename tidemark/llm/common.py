@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -57,9 +59,24 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+_RELEASED = [0.0]
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps: it
+    does so once the driver's garbage collector has met them, which on a
+    quiet driver can take longer than the whole job."""
+    if time.monotonic() - _RELEASED[0] > 2:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _RELEASED[0] = time.monotonic()
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back."""
-    return materialize(df, name)
+    out = materialize(df, name)
+    release(df.sparkSession)
+    return out
 
 
 def partitions(spark: SparkSession) -> int:

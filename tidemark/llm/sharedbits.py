@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from .common import partitions
+from .common import partitions, release
 
 #: log2 of the bitmap's bits: 2**27 bits are 16 MiB in each Python worker.
 BITS = 27
@@ -98,6 +98,8 @@ def count_bits(
     for row in slices.toLocalIterator():
         for m, part in zip(maps, row["maps"]):
             m[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(part), np.uint8)
+    del blobs, slices
+    release(spark)
     return [spark.sparkContext.broadcast(m) for m in maps]
 
 
@@ -154,6 +156,8 @@ def varied_bits(
     whole = np.zeros((1 << bits) // 8, np.uint8)
     for row in slices.toLocalIterator():
         whole[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(row["map"]), np.uint8)
+    del slices
+    release(spark)
     return spark.sparkContext.broadcast(whole)
 
 
