@@ -93,6 +93,12 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, text.isNull())
 
 
+def word_array(text: Column) -> Column:
+    """The words of a text as a Spark expression. Splitting takes one pass;
+    Java's regexp_count and regexp_extract_all copy the text at each match."""
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
+
+
 def shield(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
     """``df`` under column names that meet no working column, the new name
     of each column, and the way back to the own names."""

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, partitions, store
+from .common import partitions, store, word_array
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -73,7 +73,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     """
     spark = docs.sparkSession
     sized = docs.select("doc_id", "source", *keep,
-                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+                        F.size(word_array(F.coalesce(F.col("text"), F.lit("")))).cast("long").alias("size"))
     order = [F.col("source").isNull(), F.col("source"), F.col("size"), F.col("doc_id")]
     # equal rows may swap places freely; the written table fixes the order
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

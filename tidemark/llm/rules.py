@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, shield
+from .common import shield, word_array
 
 #: Labelled documents that the model is fitted on, at most (those with the
 #: smallest hash of doc_id). The sample goes to the driver: 12,000 rows of
@@ -42,15 +42,16 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     def per(n: Column, of: Column) -> Column:
         return n / F.greatest(of, F.lit(1.0))
 
-    def times(pattern: str) -> Column:
-        return F.regexp_count(t, F.lit(pattern)).cast("double")
+    def chars(pattern: str) -> Column:
+        """Characters that the pattern covers (replacing takes one pass)."""
+        return (F.length(t) - F.length(F.regexp_replace(t, pattern, ""))).cast("double")
 
     raw = F.struct(
         F.length(t).cast("double").alias("chars"),
-        F.regexp_extract_all(F.lower(t), F.lit(WORD), F.lit(0)).alias("words"),
+        word_array(F.lower(t)).alias("words"),
         F.split(t, "\n").alias("lines"),
-        times("[A-Z]").alias("upper"), times("[0-9]").alias("digits"), times(r"[#$%&*<>=+^~_@{}\[\]\\/]").alias("symbols"),
-        times("[.,;:!?]").alias("marks"), times(r"\|").alias("pipes"), times(r"(.)\1{2,}").alias("runs"),
+        chars("[A-Z]+").alias("upper"), chars("[0-9]+").alias("digits"), chars(r"[#$%&*<>=+^~_@{}\[\]\\/]+").alias("symbols"),
+        chars("[.,;:!?]+").alias("marks"), chars(r"\|+").alias("pipes"), chars(r"(.)\1{2,}").alias("runs"),
     )
     r = "raw_statistics"
     c = F.col
