@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shield, word_array
+from .common import shield, store, word_array
 
 #: Labelled documents that the model is fitted on, at most (those with the
 #: smallest hash of doc_id). The sample goes to the driver: 12,000 rows of
@@ -35,8 +35,12 @@ STATS = ("n_words", "word_len", "upper", "digits", "symbols", "marks", "pipes",
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a struct column ``stats`` of the numbers in ``STATS``.
-    The columns ``stats`` and ``raw_statistics`` must not exist."""
+    """``docs`` with a column ``stat_<name>`` for each name in ``STATS``.
+    Columns ``stat_*`` and ``raw_*`` must not exist.
+
+    The numbers are flat columns: the optimizer copies the parts of a struct
+    into each place that reads them, and every rule would count anew.
+    """
     t = F.coalesce(F.col(text), F.lit(""))
 
     def per(n: Column, of: Column) -> Column:
@@ -46,30 +50,33 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         """Characters that the pattern covers (replacing takes one pass)."""
         return (F.length(t) - F.length(F.regexp_replace(t, pattern, ""))).cast("double")
 
-    raw = F.struct(
+    raw = [
         F.length(t).cast("double").alias("chars"),
         word_array(F.lower(t)).alias("words"),
         F.split(t, "\n").alias("lines"),
         chars("[A-Z]+").alias("upper"), chars("[0-9]+").alias("digits"), chars(r"[#$%&*<>=+^~_@{}\[\]\\/]+").alias("symbols"),
         chars("[.,;:!?]+").alias("marks"), chars(r"\|+").alias("pipes"), chars(r"(.)\1{2,}").alias("runs"),
-    )
-    r = "raw_statistics"
-    c = F.col
-    words, lines = F.size(c(f"{r}.words")).cast("double"), F.size(c(f"{r}.lines")).cast("double")
-    stats = F.struct(
+    ]
+    raw = {f"raw_{n}": x for n, x in zip(("chars", "words", "lines", "upper", "digits", "symbols", "marks", "pipes", "runs"), raw)}
+
+    def c(name: str) -> Column:
+        return F.col(f"raw_{name}")
+
+    words, lines = F.size(c("words")).cast("double"), F.size(c("lines")).cast("double")
+    stats = [
         words.alias("n_words"),
-        per(c(f"{r}.chars"), words).alias("word_len"),
-        per(c(f"{r}.upper"), c(f"{r}.chars")).alias("upper"),
-        per(c(f"{r}.digits"), c(f"{r}.chars")).alias("digits"),
-        per(c(f"{r}.symbols"), c(f"{r}.chars")).alias("symbols"),
-        per(c(f"{r}.marks"), words).alias("marks"),
-        per(c(f"{r}.pipes"), words).alias("pipes"),
+        per(c("chars"), words).alias("word_len"),
+        per(c("upper"), c("chars")).alias("upper"),
+        per(c("digits"), c("chars")).alias("digits"),
+        per(c("symbols"), c("chars")).alias("symbols"),
+        per(c("marks"), words).alias("marks"),
+        per(c("pipes"), words).alias("pipes"),
         per(words, lines).alias("line_words"),
-        (1 - F.size(F.array_distinct(c(f"{r}.lines"))) / F.greatest(lines, F.lit(1.0))).alias("line_repeat"),
-        per(F.size(F.array_distinct(c(f"{r}.words"))).cast("double"), words).alias("word_variety"),
-        per(c(f"{r}.runs"), words).alias("char_runs"),
-    )
-    return docs.withColumn(r, raw).withColumn("stats", stats).drop(r)
+        (1 - F.size(F.array_distinct(c("lines"))) / F.greatest(lines, F.lit(1.0))).alias("line_repeat"),
+        per(F.size(F.array_distinct(c("words"))).cast("double"), words).alias("word_variety"),
+        per(c("runs"), words).alias("char_runs"),
+    ]
+    return docs.withColumns(raw).withColumns({f"stat_{n}": x for n, x in zip(STATS, stats)}).drop(*raw)
 
 
 @dataclass(frozen=True)
@@ -86,7 +93,7 @@ class Rule:
 
     def column(self) -> Column:
         def one(i, at_most, bound):
-            c = F.col(f"stats.{STATS[i]}")
+            c = F.col(f"stat_{STATS[i]}")
             return c <= F.lit(float(bound)) if at_most else c > F.lit(float(bound))
 
         return functools.reduce(operator.and_, [one(*t) for t in self.terms])
@@ -98,7 +105,7 @@ class RuleModel:
     rules: list[tuple[Rule, float]] = field(default_factory=list)
 
     def column(self) -> Column:
-        """Score 0 to 1 of a row with ``stats``, as one Spark expression."""
+        """Score 0 to 1 of a row with its statistics, as one Spark expression."""
         z = F.lit(float(self.bias))
         for rule, w in self.rules:
             z = z + F.when(rule.column(), F.lit(float(w))).otherwise(F.lit(0.0))
@@ -192,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> RuleMo
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     joined = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
     # repeated doc_ids could bring more rows than labels: the same bound holds
-    got = (with_statistics(joined).select(F.xxhash64("doc_id", "text").alias("h"), "label", *[F.col(f"stats.{s}") for s in STATS])
+    got = (with_statistics(joined).select(F.xxhash64("doc_id", "text").alias("h"), "label", *[F.col(f"stat_{s}").alias(s) for s in STATS])
            .orderBy("h", "label").limit(rows).collect())
     x = np.array([[r[s] for s in STATS] for r in got], float).reshape(-1, len(STATS))
     return fit(x, np.array([r["label"] for r in got], float))
@@ -207,6 +214,9 @@ def score(docs: DataFrame, model: RuleModel, name: str = "score") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: RuleModel, level: float = 0.5) -> DataFrame:
-    """``docs`` whose score reaches ``level``, with their own columns."""
+    """``docs`` whose score reaches ``level``, with their own columns. The
+    scored rows are written first: a filter over them would be pushed below
+    the statistics, which would then be counted once for each rule."""
     own, new, restore = shield(docs)
-    return restore(with_statistics(own, new["text"]).where(model.column() >= level))
+    scored = with_statistics(own, new["text"]).select(*new.values(), model.column().alias("model_score"))
+    return restore(store(scored, "rules_scored").where(F.col("model_score") >= level))
