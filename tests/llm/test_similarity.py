@@ -108,6 +108,33 @@ def test_decontamination_finds_exact_and_substituted_passages(docs, spark):
     assert sorted(r.doc_id for r in decontam.decontaminate(docs(rows), bench).collect()) == [*range(20), 103, 104]
 
 
+def test_decontamination_finds_short_items_with_any_token_substituted(docs, spark):
+    rng = random.Random(12)
+    items = {n: rng.sample(VOCAB, n) for n in range(8, 21)}
+    bench = spark.createDataFrame([(n, " ".join(t)) for n, t in items.items()], "item_id long, text string")
+    rows, wanted = [], set()
+    for n, t in items.items():
+        for at in [(i,) for i in range(n)] + [(2, n - 3)] * (n >= 10):
+            changed = [f"new{i}" if i in at else x for i, x in enumerate(t)]
+            wanted.add((len(rows), n, n - len(at)))
+            rows.append((len(rows), "intro of it " + " ".join(changed) + " and outro"))
+    found = {(r.doc_id, r.item_id, r.equal_tokens) for r in decontam.contaminated(docs(rows), bench).collect()}
+    assert found == wanted
+
+
+def test_longest_overlap_against_all_stretches():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        item = rng.integers(0, 9, int(rng.integers(8, 30))).astype(np.uint64)
+        doc = np.where(rng.random(len(item)) < 0.7, item, 99).astype(np.uint64)
+        equal = doc == item
+        n = len(item)
+        sizes = [j - i for i in range(n) for j in range(i + 1, n + 1)
+                 if equal[i] and equal[j - 1] and 5 * equal[i:j].sum() >= 4 * (j - i)]
+        whole = 5 * equal.sum() >= 4 * n
+        assert decontam.overlap(doc, item, 0)[1] == (n if whole else max(sizes, default=0))
+
+
 def test_decontamination_odd_rows(odd, spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h"), (1, "a b c d e f g h"), (None, "é ü " * 10), (2, "")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.contaminated(odd, bench).collect()}

@@ -5,9 +5,14 @@ hash of the tokens at the 1s of a fixed mask laid at some place; the 0s
 ignore their tokens, so a substituted word there does not hide the overlap.
 Seeds of the benchmark and of the documents are joined on the hash; each
 joined pair names an alignment (document place minus item place); the
-alignments of a document and an item are verified together on the tokens: from the alignment's best-scoring stretch
-(+1 equal, -2 unequal) at least ``MIN_TOKENS`` tokens (or the whole item if
-shorter) must overlap and ``MIN_EQUAL`` of them be equal.
+alignments of a document and an item are verified together on the tokens:
+the alignment's longest stretch from an equal token to an equal token of which
+``MIN_EQUAL`` are equal must have ``MIN_TOKENS`` tokens (or all of a shorter
+item), or ``MIN_EQUAL`` of the whole item be equal, its edges included.
+
+Items of up to ``SHORT_ITEM`` tokens also have the seeds of ``SHORT_MASKS``.
+With them, such an item is met wherever a fifth of its tokens is substituted
+(every placing of the substitutions on 8 to 20 tokens was tried).
 
 The benchmark's seeds are put in two bounded bitmaps (``sharedbits``) that
 drop nearly all document seeds before the join; the join itself is an
@@ -32,6 +37,8 @@ from .sharedbits import count_bits, is_set
 
 #: 1: token counts, 0: token is ignored.
 MASKS = ("1111111", "111010010111", "1100110101011", "10110011011")
+SHORT_MASKS = ("110111", "11100011", "1011011")
+SHORT_ITEM = 20
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
 MIN_ITEM = 8
@@ -45,7 +52,7 @@ def tokens(text: bytes) -> np.ndarray:
     return hash_words(_TOKEN.findall(text.decode().lower().encode()))
 
 
-def seeds(t: np.ndarray, masks=MASKS) -> tuple[np.ndarray, np.ndarray]:
+def seeds(t: np.ndarray, masks=MASKS + SHORT_MASKS) -> tuple[np.ndarray, np.ndarray]:
     """(places, hashes) of every mask at every place it fits."""
     places, out = [], []
     for number, mask in enumerate(masks):
@@ -66,17 +73,29 @@ def _second(h: np.ndarray) -> np.ndarray:
     return mix(h ^ np.uint64(0xD6E8FEB86659FD93))
 
 
-def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """(first document place, tokens, equal tokens) of the best stretch of
-    the item laid at document place ``shift``."""
+def overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_equal: float = MIN_EQUAL) -> tuple[int, int, int]:
+    """(first document place, tokens, equal tokens) of the longest stretch,
+    from an equal token to an equal token, with ``min_equal`` of its tokens
+    equal in the item laid at document place ``shift``; the whole item if
+    that holds for it."""
     lo, hi = max(0, shift), min(len(doc), shift + len(item))
     if hi <= lo:
         return 0, 0, 0
     equal = doc[lo:hi] == item[lo - shift : hi - shift]
-    sums = np.r_[0, np.cumsum(np.where(equal, 1, -2))]
-    low = np.minimum.accumulate(sums)
-    end = int(np.argmax(sums - low))
-    start = int(np.flatnonzero(sums[: end + 1] == low[end])[-1])
+    total = int(equal.sum())
+    if hi - lo == len(item) and total >= min_equal * len(item):
+        return lo, len(item), total
+    at = np.flatnonzero(equal)
+    if not len(at):
+        return 0, 0, 0
+    # equal - min_equal * tokens of a stretch is a difference of these sums
+    sums = np.r_[0, np.cumsum(equal - min_equal)]
+    low = np.minimum.accumulate(sums[at])
+    # the earliest start whose sum does not exceed that of the end
+    first = np.searchsorted(-low, -(sums[at + 1] + 1e-9), "left")
+    size = at + 1 - at[np.minimum(first, len(at) - 1)]
+    best = int(np.argmax(size))
+    start, end = int(at[first[best]]), int(at[best]) + 1
     return lo + start, end - start, int(equal[start:end].sum())
 
 
@@ -87,7 +106,7 @@ def _item_seeds(batches):
             t = tokens(text)
             if len(t) < MIN_ITEM:
                 continue
-            places, h = seeds(t)
+            places, h = seeds(t, MASKS + SHORT_MASKS if len(t) <= SHORT_ITEM else MASKS)
             out[0].extend([key] * len(h))
             out[1].extend([item_id] * len(h))
             out[2].extend(places.tolist())
@@ -160,7 +179,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
             for r in batch.to_pylist():
                 item = np.frombuffer(r["item_tokens"], np.uint64)
                 doc = np.frombuffer(r["tokens"], np.uint64)
-                good = [(n, equal, -first) for first, n, equal in (overlap(doc, item, shift) for shift in r["shifts"])
+                good = [(n, equal, -first) for first, n, equal in (overlap(doc, item, shift, min_equal) for shift in r["shifts"])
                         if n >= min(min_tokens, len(item)) and equal >= min_equal * n]
                 if good:
                     n, equal, first = max(good)
