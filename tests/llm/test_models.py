@@ -145,3 +145,12 @@ def test_nearest_neighbours_few_rows(spark, docs):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [0.0, 3.0]), (2, [0.0, 3.0])], "vec_id long, embedding array<double>")
     assert [(r["rank"], r.vec_id) for r in nndescent.neighbours(df, 100).orderBy("rank").collect()] == [(1, 1), (2, 2)]
     assert nndescent.neighbours(df.where("false"), 100).count() == 0
+
+
+def test_subwords_hold_all_grams_up_to_four():
+    import xxhash
+
+    grams = set(langid.subwords("haus"))
+    w = "<haus>"
+    for n in (1, 2, 3, 4):
+        assert {xxhash.xxh32_intdigest(w[i : i + n]) % langid.BUCKETS for i in range(len(w) - n + 1)} <= grams
