@@ -188,6 +188,25 @@ def test_substring_operators_equal_brute_force(docs, hot, monkeypatch):
     assert got == brute_bytes(rows, 50)
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_equal_rows_keep_their_words(docs, hot, monkeypatch):
+    """Long repeated rows, some with inner repeats: copies of a row are not
+    earlier places, and every copy gets the one verdict."""
+    monkeypatch.setattr(anchors, "HOT", hot)
+    rng = random.Random(hot)
+    own = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(3)]
+    shared = " ".join(rng.choice("abcdefgh") + str(i) for i in range(35))
+    rows = [(1, own[0]), (2, f"{own[1]} {shared} tail {shared}"), (3, shared), (4, own[2]), (5, own[0] + " end")]
+    want = brute_words(rows, 20)
+    assert want[1][1] == 0 and want[2][1] == 35 and want[3][1] == 35
+    for copies in (2, 7):
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in rlz.removed(docs(rows * copies)).collect())
+        assert got == sorted((d, *v) for d, v in want.items() for _ in range(copies))
+        low = brute_bytes(rows, 50)
+        got = sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in suffixes.removed(docs(rows * copies)).collect())
+        assert got == sorted((d, v[1], v[-1]) for d, v in low.items() for _ in range(copies))
+
+
 def test_substring_operators_odd_rows(odd):
     """Null ids, equal rows and rows with one doc_id do not remove each
     other's words; within one long document repeats go."""

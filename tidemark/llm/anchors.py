@@ -135,29 +135,31 @@ class Units:
         self.codes, self.width, self.k, self.window, self.within = codes, width, k, window, within
 
 
-SPANS = "doc_id long, row_key int, start int, windows int"
-_PENDING = "blk long, doc_id long, row_key int, start int, windows int, late boolean, content binary"
-_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int32()), ("start", pa.int32()),
+SPANS = "doc_id long, row_key long, start int, windows int"
+_PENDING = "blk long, doc_id long, row_key long, start int, windows int, late boolean, content binary"
+_PENDING_ARROW = pa.schema([("blk", pa.int64()), ("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()),
                             ("windows", pa.int32()), ("late", pa.bool_()), ("content", pa.binary())])
-_SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int32()), ("start", pa.int32()), ("windows", pa.int32())])
+_SPANS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("start", pa.int32()), ("windows", pa.int32())])
 
 
 def _row_key() -> Column:
-    """Tells rows of one doc_id apart; short, since every segment has it."""
-    return F.hash("text")
+    """Tells rows of one doc_id apart; equal rows share the key and the spans."""
+    return F.xxhash64("text")
 
 
 def later(keys: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, within: bool) -> np.ndarray:
     """True where an equal key stands earlier: in a smaller doc_id, or (with
-    ``within``) earlier in the same row. Rows that share a doc_id without
-    being the same are not ordered."""
+    ``within``) earlier in the same row; ``start`` is the place in the row.
+    Rows that share a doc_id without being the same are not ordered, and the
+    same place of an equal row is not an earlier one."""
     order = np.lexsort((start, row, doc, keys))
-    k, d, r = keys[order], doc[order], row[order]
+    k, d, r, place = keys[order], doc[order], row[order], start[order]
     head = np.r_[True, k[1:] != k[:-1]]
     first = np.maximum.accumulate(np.where(head, np.arange(len(k)), 0))
     late = d > d[first]
     if within:
-        late |= np.r_[False, (k[1:] == k[:-1]) & (d[1:] == d[:-1]) & (r[1:] == r[:-1])]
+        own = head | np.r_[True, (d[1:] != d[:-1]) | (r[1:] != r[:-1])]
+        late |= place > place[np.maximum.accumulate(np.where(own, np.arange(len(k)), 0))]
     out = np.empty(len(k), bool)
     out[order] = late
     return out
@@ -229,7 +231,7 @@ def repeated_spans(docs: DataFrame, units: Units, resolve: Callable) -> DataFram
 
             def is_late(at, key):
                 which = np.searchsorted(ends, at, "right")
-                return later(key, doc_ids[which], row_keys[which], at, units.within)
+                return later(key, doc_ids[which], row_keys[which], at - (ends - lens)[which], units.within)
 
             tag = content_hash(hashes, starts, counts)
             late = is_late(starts, mix(anchor) ^ tag)

@@ -50,6 +50,7 @@ def parse(window: int):
         grams = mix(hashes.all(window)).tolist()
         words = ref.tolist()
         docs, rows, base_l, n_l, size_l = doc.tolist(), row.tolist(), base.tolist(), n.tolist(), size.tolist()
+        shift = (start - base).tolist()  # from a place in ref to the place in its row
         index: dict[int, tuple[int, int]] = {}  # window -> (segment, place) first seen
         by_row: dict[tuple[int, int], tuple[int, int]] = {}  # of later rows with one doc_id
         seg: list[int] = []
@@ -66,6 +67,9 @@ def parse(window: int):
                         by_row[h, rows[s]] = (s, b + p)
                         p += 1
                         continue
+                if at is not None and docs[at[0]] == docs[s] and at[1] + shift[at[0]] == b + p + shift[s]:
+                    p += 1  # the same place of an equal row
+                    continue
                 if at is None:
                     index[h] = (s, b + p)
                     p += 1

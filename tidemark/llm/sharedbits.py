@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from .common import partitions, release
+from .common import partitions, release, store
 
 #: log2 of the bitmap's bits: 2**27 bits are 16 MiB in each Python worker.
 BITS = 27
@@ -95,7 +95,8 @@ def count_bits(
     slices = blobs.groupBy("lead").applyInPandas(count, "lead int, maps array<binary>")
     size = (1 << width) // 8
     maps = [np.zeros((1 << bits) // 8, np.uint8) for _ in thresholds]
-    for row in slices.toLocalIterator():
+    # written first, so that the counting tasks run side by side
+    for row in store(slices, "count_bits").toLocalIterator():
         for m, part in zip(maps, row["maps"]):
             m[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(part), np.uint8)
     del blobs, slices
@@ -154,7 +155,7 @@ def varied_bits(
     slices = docs.mapInArrow(emit, "lead int, keys binary, tags binary").groupBy("lead").applyInPandas(count, "lead int, map binary")
     size = (1 << width) // 8
     whole = np.zeros((1 << bits) // 8, np.uint8)
-    for row in slices.toLocalIterator():
+    for row in store(slices, "varied_bits").toLocalIterator():
         whole[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(row["map"]), np.uint8)
     del slices
     release(spark)
