@@ -36,6 +36,6 @@ def test_entry_registers_pipeline_and_queries():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)

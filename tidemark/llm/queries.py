@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bilinear, decontam, groupjoin, langid, mixing, nndescent, rlz, rules, suffixes, wavelet
+from . import bilinear, chat, decontam, groupjoin, langid, merkle, metrictree, mixing, nndescent, rlz, rules, suffixes, wavelet
 from .common import crc_mod, prepare, table
 
 END_ID = 2
@@ -81,6 +81,28 @@ def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removed(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrictree.with_label_error(*metrictree.compress(table(spark, sf_dir, "embeddings")))
+
+
+def op12_sibling_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tampered: rows with an even crc32 of their id lose their newlines."""
+    even = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    return merkle.tamper_report(table(spark, sf_dir, "documents"), even, {"text": F.translate("text", "\n", "")})
+
+
+def op13_offset_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings."""
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.read_digests(spark, chat.write_chats(turns.union(extra), chat_tokenizer), chat_tokenizer)
+
+
+def chat_tokenizer() -> str:
+    return tokenizer_path("byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_wavelet_tokens": op2_wavelet_tokens,
@@ -92,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_subword_langid": op8_subword_langid,
     "op9_bilinear_lm": op9_bilinear_lm,
     "op10_rlz_dedup": op10_rlz_dedup,
+    "op11_anchor_codes": op11_anchor_codes,
+    "op12_sibling_merkle": op12_sibling_merkle,
+    "op13_offset_masks": op13_offset_masks,
 }
 
 
