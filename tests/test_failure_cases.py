@@ -16,7 +16,7 @@ from tidemark.operators.fact import fct_sales, incremental_filter, merge_keyed
 from tidemark.operators.intermediate import int_sales_enriched
 from tidemark.operators.staging import quarantine_rows, stg_sales
 from tidemark.sinks import landing as ld
-from tidemark.sinks.fact_store import FactStore
+from tidemark.sinks.fact_table import FactTable
 from tidemark.sources import files as fs
 
 RAW_DDL = (
@@ -174,8 +174,8 @@ def test_amount_checks(spark):
 
 def test_redelivered_key_updates_in_place(spark, tmp_root):
     first = fct_of(raw_df(spark, [row(1, qty=1), row(2)]))
-    store = FactStore(spark, tmp_root, buckets=4)
-    store.overwrite(first)
+    store = FactTable(spark, tmp_root)
+    store.upsert(first)
     again = fct_of(raw_df(spark, [row(1, qty=5, load=datetime(2024, 3, 9))]))
     store.upsert(again)
     out = {r.order_id: r.quantity for r in store.read().collect()}
@@ -234,6 +234,109 @@ def test_checksum_mismatch_raises(spark, tmp_root):
         ig.require_checksums_match(ig.verify_checksums(ig.file_fingerprints(spark, data), manifests))
 
 
+def test_checksums_and_headers_read_in_blocks(spark, tmp_root):
+    """A file far larger than a block hashes like the whole, and a header
+    needs its first block alone, whatever the size of the file."""
+    import hashlib
+    import io
+
+    from tidemark.sources import arrow_files as af
+
+    class Counted(io.BytesIO):
+        most = total = 0
+
+        def read(self, n=-1):
+            assert 0 < n <= af.CHUNK
+            out = super().read(n)
+            self.most, self.total = max(self.most, len(out)), self.total + len(out)
+            return out
+
+    body = b"\xef\xbb\xbforder_id,note\r\n" + b"1,x\n" * 2_000_000
+    whole = Counted(body)
+    assert af.sha256(whole) == hashlib.sha256(body).hexdigest() and whole.total == len(body)
+    for size in (len(body), 200):
+        stream = Counted(body[:size])
+        assert af.first_line(stream) == b"order_id,note" and stream.total <= af.FIRST
+    assert af.first_line(io.BytesIO(b"")) == b"" and af.first_line(io.BytesIO(b"a" * 100_000 + b"\nb")) == b"a" * 100_000
+    os.makedirs(tmp_root, exist_ok=True)
+    for name in ("plain.csv", "a+b %20.csv"):
+        with open(os.path.join(tmp_root, name), "wb") as fh:
+            fh.write(body)
+    got = ig.file_fingerprints(spark, tmp_root).collect()
+    assert {os.path.basename(r.path) for r in got} == {"plain.csv", "a+b %20.csv"}
+    assert {(r.length, r.sha256) for r in got} == {(len(body), hashlib.sha256(body).hexdigest())}
+    assert {tuple(r.columns) for r in ig.file_headers(spark, tmp_root).collect()} == {("order_id", "note")}
+
+
+@pytest.mark.parametrize("split", ["128m", "700", "97"])
+def test_row_counts_over_splits_equal_the_csv_parser(spark, tmp_root, split):
+    """Quoted line ends, escaped marks, blank lines, CRLF and splits that
+    begin inside a quoted field."""
+    import csv
+    import random
+
+    rng = random.Random(split)
+    os.makedirs(tmp_root, exist_ok=True)
+    for i in range(5):
+        with open(f"{tmp_root}/f {i}+%20.csv", "w", newline="", encoding="utf-8") as fh:
+            w = csv.writer(fh, lineterminator=["\n", "\r\n"][i % 2])
+            w.writerow(["a", "b"])
+            for j in range([0, 1, 60, 200, 90][i]):
+                w.writerow([j, "".join(rng.choice(["x", "\n", '"', ",", "yy ", "\n\n"]) for _ in range(rng.randint(0, 6)))])
+                if rng.random() < 0.1:
+                    fh.write("\n")
+    with open(f"{tmp_root}/backslash.csv", "w", encoding="utf-8") as fh:
+        fh.write('a,b\n1,"one \\" mark\nand \\\\"\n2,x\n')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        for escape in ('"', "\\"):
+            glob = "backslash.csv" if escape == "\\" else "[fn]*.csv"
+            got = {os.path.basename(r.path): r.row_count for r in ig.file_row_counts(spark, tmp_root, glob, escape=escape).collect()}
+            parsed = (spark.read.option("header", True).option("multiLine", True).option("escape", escape).option("pathGlobFilter", glob).csv(tmp_root)
+                      .groupBy(fs.unescaped(F.col("_metadata.file_name"))).count().collect())
+            assert {k: n for k, n in got.items() if n} == {r[0]: r[1] for r in parsed}
+            assert escape == "\\" or got["f 0+%20.csv"] == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_text_raw_reads_by_name_and_tells_bad_rows_apart(spark, tmp_root):
+    from tidemark.sources.files import REQUIRED_COLUMNS
+
+    good = dict.fromkeys(REQUIRED_COLUMNS, "1") | {"order_timestamp": "2024-03-01 10:00:00", "product_category": " a,b ", "batch_id": ""}
+    os.makedirs(tmp_root, exist_ok=True)
+
+    def land(name, columns, *rows):
+        with open(f"{tmp_root}/{name}", "w", encoding="utf-8") as fh:
+            for r in (columns, *rows):
+                fh.write(",".join(f'"{x}"' if "," in x else x for x in r) + "\n")
+
+    cols = list(REQUIRED_COLUMNS)
+    row = lambda **kw: [str((good | kw).get(c, "new")) for c in cols]
+    land("a.csv", cols, row(order_id=1), row(order_id=2, quantity="two"), row(order_id=3, unit_price="9" * 30), row(order_id=4)[:-2], row(order_id=5) + ["x"])
+    back = cols[::-1]
+    land("b [1].csv", [c.upper() for c in back], [row(order_id=6)[cols.index(c)] for c in back])
+    land("c.csv", [*cols, "coupon"], [*row(order_id=7), "ten"])
+    land("d.csv", [c for c in cols if c != "quantity"], [v for c, v in zip(cols, row(order_id=8)) if c != "quantity"])
+    open(f"{tmp_root}/e.csv", "w").close()
+    rows = fs.scan_text(spark, tmp_root)
+    got = {r.order_id: r for r in rows.collect()}
+    assert {k: r.failed_columns for k, r in got.items() if r.failed_columns} == {
+        "2": ["quantity"], "3": ["unit_price"], "4": ["_corrupt_record"], "5": ["_corrupt_record"], "8": ["quantity"]}
+    assert got["6"].product_category == " a,b " and got["6"].quantity == "1" and got["7"].coupon == "ten" and got["1"].coupon is None
+    assert got["5"]._corrupt_record.endswith(",x") and got["6"].source_file_name.endswith("b%20%5B1%5D.csv")
+    typed = fs.typed(fs.accepted(rows)).collect()
+    assert sorted(r.order_id for r in typed) == [1, 6, 7] and dict(fs.typed(fs.accepted(rows)).dtypes)["unit_price"] == "decimal(18,2)"
+
+
+def test_source_file_keeps_plus_signs_and_percent_codes(spark):
+    path = "file:///x/file=a%2Bb%2520c+d/part-0.csv"
+    assert spark.range(1).select(fs.source_file(F.lit(path))).first()[0] == "a+b c+d"
+
+
 def test_quoted_newline_is_one_row(spark, tmp_root):
     os.makedirs(tmp_root, exist_ok=True)
     with open(os.path.join(tmp_root, "q.csv"), "w", encoding="utf-8") as fh:

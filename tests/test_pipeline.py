@@ -65,15 +65,15 @@ def test_run_elt_incremental_second_run_equals_full_build(spark, tmp_root):
     raw_all = m.raw(spark, sf)
     cutoff = F.lit(m.INCREMENTAL_CUTOFF).cast("timestamp")
     tb = list(FIXTURE_TIE_BREAKERS)
-    run_elt(spark, raw_all.filter(F.col("load_ts") < cutoff), tmp_root, gate=False, tie_breakers=tb,
-            fact_buckets=8)
-    out = run_elt(spark, raw_all, tmp_root, gate=False, tie_breakers=tb, fact_buckets=8)
-    from tidemark.sinks.fact_store import FactStore
+    run_elt(spark, raw_all.filter(F.col("load_ts") < cutoff), tmp_root, gate=False, tie_breakers=tb)
+    out = run_elt(spark, raw_all, tmp_root, gate=False, tie_breakers=tb)
+    from tidemark.sinks.fact_table import FactTable
 
-    store = FactStore(spark, out["fct_sales"], buckets=8)
-    assert store.current_version() == 2
+    table = FactTable(spark, out["fct_sales"].removesuffix("/data"))
+    entries = sorted(r.rows for r in table.entries().collect())
+    assert len(entries) == 2 and sum(entries) < 2 * table.read().count()  # the second run took the new rows
     key = ["sales_event_key", "quantity", "net_amount", "load_ts"]
-    got = sorted(map(tuple, store.read().select(*key).collect()))
+    got = sorted(map(tuple, table.read().select(*key).collect()))
     want = sorted(map(tuple, m.fct(spark, sf).select(*key).collect()))
     assert got == want
     tests = {(r.table_name, r.test_name, r.column_name): r.failures
@@ -88,7 +88,7 @@ def test_run_elt_on_empty_raw_gives_empty_marts(spark, tmp_root):
     from tidemark.sources.adapters import FIXTURE_TIE_BREAKERS
 
     raw = m.raw(spark, "/root/testdata/sf0.001").limit(0)
-    out = run_elt(spark, raw, tmp_root, gate=False, tie_breakers=list(FIXTURE_TIE_BREAKERS), fact_buckets=4)
+    out = run_elt(spark, raw, tmp_root, gate=False, tie_breakers=list(FIXTURE_TIE_BREAKERS))
     assert spark.read.parquet(out["mart_customer_sales_kpi"]).count() == 0
 
 
@@ -101,4 +101,4 @@ def test_run_elt_gate_and_freshness(spark, tmp_root):
     with pytest.raises(ValueError, match="stale"):
         run_elt(spark, late, tmp_root, layers=("staging",), loaded_by=datetime(2024, 4, 1))
     with pytest.raises(AssertionError, match="negative net amount"):
-        run_elt(spark, late, tmp_root, fact_buckets=2)
+        run_elt(spark, late, tmp_root)

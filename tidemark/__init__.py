@@ -7,7 +7,7 @@ Catalyst sees the whole plan):
 * ``functions``  - Column helpers (surrogate keys, null-strict greatest, ...)
 * ``operators``  - staging, enrichment, fact upsert, dimensions, marts,
                    checks, usage analytics, serving queries
-* ``sinks``      - landing writers, manifests, versioned keyed fact store
+* ``sinks``      - landing writers, manifests, partitioned keyed fact table
 * ``streaming``  - Structured Streaming ingest / dedup / upsert / KPI restate
 * ``plans``      - end-to-end pipeline composition (``run_elt``)
 """

@@ -17,9 +17,14 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def key_text(*cols: Column | str) -> Column:
+    """``'|'``-joined string forms with NULL rendered as ''."""
+    return F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols])
+
+
 def surrogate_key(*cols: Column | str) -> Column:
-    """md5 over ``'|'``-joined string forms with NULL rendered as ''."""
-    return F.md5(F.concat_ws("|", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]))
+    """md5 over ``key_text``."""
+    return F.md5(key_text(*cols))
 
 
 def cast_to(c: Column | str, dtype: T.DataType | str, lenient: bool = False) -> Column:
@@ -41,10 +46,15 @@ def to_whole_number(c: Column | str, dtype: T.DataType, lenient: bool = False) -
     return cast_to(cast_to(col, T.DecimalType(38, 0), lenient), "bigint", lenient)
 
 
+#: A new word starts behind white space and each of these marks.
+WORD_ENDS = r"""\s!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>"""
+
+
 def title_case(c: Column | str) -> Column:
-    """``initcap(trim(x))``. Spark splits words on white space only, which
-    is enough for the category / payment vocabulary (no punctuation)."""
-    return F.initcap(F.trim(_c(c)))
+    """``initcap(trim(x))`` of the warehouse: words also end at punctuation,
+    where Spark's ``initcap`` knows white space only."""
+    words = F.split(F.lower(F.trim(_c(c))), f"(?<=[{WORD_ENDS}])")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), "")
 
 
 def upper_trim(c: Column | str) -> Column:

@@ -12,7 +12,7 @@ from tidemark.functions.columns import (
     MONEY,
     cast_to,
     safe_column,
-    surrogate_key,
+    key_text,
     title_case,
     to_whole_number,
     upper_trim,
@@ -36,8 +36,13 @@ def _typed(df: DataFrame, name: str) -> T.DataType | None:
     return None
 
 
+def event_key_text(df: DataFrame) -> Column:
+    """The text whose digest is the event key."""
+    return key_text(*[safe_column(df, c) for c in EVENT_KEY_PARTS])
+
+
 def sales_event_key(df: DataFrame) -> Column:
-    return surrogate_key(*[safe_column(df, c) for c in EVENT_KEY_PARTS])
+    return F.md5(event_key_text(df))
 
 
 def stage_columns(raw: DataFrame, include_optional: bool = False, lenient: bool = False) -> list[Column]:
@@ -112,14 +117,20 @@ def stg_sales(
     the order id: a key group is either all-NULL or all-non-NULL. Filtering
     first also removes what would otherwise be one hot key per file.
     """
-    staged_cols = stage_columns(raw, include_optional)
     out_cols = STG_COLUMNS + (OPTIONAL_COLUMNS if include_optional else [])
     if tie_breakers is None:
-        tie_breakers = [c for c in STG_COLUMNS if c not in ("sales_event_key", "load_ts")]
-    extra = [F.col(t) for t in tie_breakers if t not in out_cols]
-    staged = raw.select(*staged_cols, *extra).filter(F.col("order_id").isNotNull())
-    order = [F.col("load_ts").desc_nulls_last()] + [F.col(t).asc_nulls_last() for t in tie_breakers]
-    return dedup_latest(staged, ["sales_event_key"], order).select(*out_cols)
+        staged = raw.select(*stage_columns(raw, include_optional)).filter(F.col("order_id").isNotNull())
+        ties = [c for c in STG_COLUMNS if c not in ("sales_event_key", "load_ts")]
+        order = [F.col("load_ts").desc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
+        return dedup_latest(staged, ["sales_event_key"], order).select(*out_cols)
+    # Only the key's text and the ordering columns are computed before the
+    # shuffle; digests, casts and capitalisation run on the rows that stay.
+    by_name = dict(zip(STG_COLUMNS, stage_columns(raw)))
+    keyed = raw.select("*", event_key_text(raw).alias("_key"), by_name["load_ts"].alias("_loaded"),
+                       *[by_name.get(t, F.col(t)).alias(f"_tie_{i}") for i, t in enumerate(tie_breakers)]).filter(by_name["order_id"].isNotNull())
+    order = [F.col("_loaded").desc_nulls_last()] + [F.col(f"_tie_{i}").asc_nulls_last() for i in range(len(tie_breakers))]
+    latest = dedup_latest(keyed, ["_key"], order)
+    return latest.select(*stage_columns(raw, include_optional)).select(*out_cols)
 
 
 CAST_CHECKED = ("order_id", "customer_id", "product_id", "quantity", "unit_price", "gross_amount",

@@ -8,7 +8,7 @@ is the feature (top-k reports).
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,7 @@ from tidemark.plans import models as m
 from tidemark.plans import pipeline as pl
 from tidemark.session import materialize, scratch_dir
 from tidemark.sinks import landing as ld
-from tidemark.sinks.fact_store import FactStore
+from tidemark.sinks.fact_table import FactTable
 from tidemark.sources import adapters as ad
 from tidemark.sources import files as fs
 from tidemark.streaming import ingest as st
@@ -57,7 +57,7 @@ query("mart_sales_daily_kpi")(lambda s, d: marts.mart_sales_daily_kpi(m.fct(s, d
 query("mart_customer_sales_kpi")(lambda s, d: marts.mart_customer_sales_kpi(m.fct(s, d)))
 query("mart_product_category_sales_kpi")(lambda s, d: marts.mart_product_category_sales_kpi(m.fct(s, d)))
 query("dim_product_categories")(lambda s, d: marts.dim_product_categories(m.fct(s, d)))
-query("mart_load_audit")(lambda s, d: marts.mart_load_audit(m.raw(s, d), m.fct(s, d)))
+query("mart_load_audit")(lambda s, d: _audit(s, d))
 
 
 # --- summaries ----------------------------------------------------------------------
@@ -73,8 +73,14 @@ def _daily(s, d):
     return marts.mart_sales_daily_kpi(m.fct(s, d), m.dim(s, d))
 
 
+def _raw_once(s, d):
+    """What file counts need of RAW, written once for both sides to read."""
+    return materialize(m.raw(s, d).select("order_id", "batch_id", "source_file_name", "load_ts", *ad.FIXTURE_TIE_BREAKERS), "audited_raw")
+
+
 def _audit(s, d):
-    return marts.mart_load_audit(m.raw(s, d), m.fct(s, d))
+    raw = _raw_once(s, d)
+    return marts.mart_load_audit(raw, m.fct_of(raw))
 
 
 def _customer(s, d):
@@ -89,8 +95,13 @@ query("agg_files_raw")(lambda s, d: marts.agg_files_raw(m.raw(s, d)))
 query("agg_files_fact")(lambda s, d: marts.agg_files_fact(m.fct(s, d)))
 query("raw_load_summary")(lambda s, d: sm.raw_load_summary(m.raw(s, d)))
 query("audit_summary")(lambda s, d: sm.audit_summary(_audit(s, d)))
-query("layer_row_counts")(lambda s, d: sm.layer_row_counts(
-    {"staging": m.stg(s, d), "intermediate": m.enriched(s, d), "fact": m.fct(s, d)}))
+def _layer_counts(s, d):
+    stg = materialize(m.stg(s, d), "counted_stg")
+    enriched = im.int_sales_enriched(stg)
+    return sm.layer_row_counts({"staging": stg, "intermediate": enriched, "fact": fa.fct_projection(enriched)})
+
+
+query("layer_row_counts")(_layer_counts)
 query("late_raw_summary")(lambda s, d: sm.late_raw_summary(m.raw(s, d)))
 query("late_fact_summary")(lambda s, d: sm.late_fact_summary(m.fct(s, d)))
 query("backfill_raw_summary")(lambda s, d: sm.backfill_raw_summary(m.raw(s, d)))
@@ -141,13 +152,15 @@ query("usage_risk_level")(lambda s, d: us.usage_risk_level(ad.warehouse_metering
 def _check_tables(s, d, names):
     """The tables that the checks name. RAW and the fact are written once as
     tables in the shared folder if several of them read it (lineage cut;
-    survives executor loss), else stay plans."""
+    survives executor loss), and so is each checked mart, which its scalar
+    and its duplicate checks both read; else they stay plans."""
     marts_named = sorted(n for n in names if n.startswith("mart_"))
-    fct, raw = m.fct(s, d), m.raw(s, d)
-    if len(marts_named) + ("fct_sales" in names) > 1:
-        fct = materialize(fct, "checked_fct")
+    raw = m.raw(s, d)
     if "sales_raw" in names and "mart_load_audit" in names:
         raw = materialize(raw, "checked_raw")
+    fct = m.fct_of(raw)
+    if len(marts_named) + ("fct_sales" in names) > 1:
+        fct = materialize(fct, "checked_fct")
     build = {
         "sales_raw": lambda: raw,
         "fct_sales": lambda: fct,
@@ -156,7 +169,7 @@ def _check_tables(s, d, names):
         "mart_product_category_sales_kpi": lambda: marts.mart_product_category_sales_kpi(fct),
         "mart_load_audit": lambda: marts.mart_load_audit(raw, fct),
     }
-    return {n: build[n]() for n in names}
+    return {n: materialize(build[n](), f"checked_{n}") if n in marts_named and len(names) > 1 else build[n]() for n in names}
 
 
 def _report(kinds):
@@ -186,28 +199,61 @@ query("validate_batch")(lambda s, d: q.batch_violations(m.raw(s, d)))
 # --- incremental fact, upsert, late data and restatement ------------------------------
 
 
-def _store_build(s, d, reruns: int = 1):
-    store = FactStore(s, scratch_dir(s, "fct_store"), buckets=16)
-    store.overwrite(m.fct_initial(s, d))
+def _initial(fct):
+    """The fact as an earlier run left it: rows loaded before the cutoff."""
+    return fct.filter(F.col("load_ts") < F.lit(m.INCREMENTAL_CUTOFF).cast("timestamp"))
+
+
+def _fact_once(s, d):
+    """The whole fact, written once and partitioned by month: the target of
+    an earlier run and the rows of the next one are both parts of it."""
+    path = scratch_dir(s, "fct_by_month")
+    m.fct(s, d).hint("rebalance", "order_month").write.partitionBy("order_month").parquet(path)
+    whole = s.read.parquet(path).select(*fa.FCT_COLUMNS)
+    initial = _initial(whole)
+    return whole, initial, fa.incremental_filter(whole, initial)
+
+
+def _fact_table(s, d, reruns: int = 1):
+    """A fact table built by one full and ``reruns`` incremental upserts."""
+    table = FactTable(s, scratch_dir(s, "fct_table"))
+    enriched = materialize(m.enriched(s, d), "enriched")
+    table.upsert(fa.fct_projection(_initial(enriched)))
     for _ in range(reruns):
-        store.upsert(m.fct_delta(s, d, store.read()))
-    return store.read()
+        table.upsert(fa.fct_projection(table.new_rows(enriched)))
+    return table
+
+
+def _upsert(s, d):
+    _, initial, delta = _fact_once(s, d)
+    return fa.merge_keyed(initial, delta)
+
 
+def _merge_join(s, d):
+    _, initial, delta = _fact_once(s, d)
+    return inc.matched_updates(initial, delta)
 
-query("incremental_filter")(lambda s, d: m.fct_delta(s, d, m.fct_initial(s, d)))
-query("scalar_subquery_highwater")(lambda s, d: inc.high_water_mark_frame(m.fct_initial(s, d)))
-query("upsert_fact")(lambda s, d: fa.merge_keyed(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))))
-query("merge_join")(lambda s, d: inc.matched_updates(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))))
-query("fct_sales_incremental")(lambda s, d: _store_build(s, d, 1))
-query("rerun_idempotence")(lambda s, d: _store_build(s, d, 2))
+
+def _high_water(s, d):
+    """The mark from the ledger of a fact table that holds the earlier rows."""
+    table = FactTable(s, scratch_dir(s, "fct_table"))
+    table.upsert(_initial(m.fct(s, d)))
+    return table.high_water_mark()
+
+
+def _restate(s, d):
+    whole, initial, delta = _fact_once(s, d)
+    return inc.restate_kpi_dates(marts.mart_sales_daily_kpi(initial, m.dim(s, d)), whole, delta, m.dim(s, d), inc.replaced_rows(initial, delta))
+
+
+query("incremental_filter")(lambda s, d: _fact_once(s, d)[2])
+query("scalar_subquery_highwater")(_high_water)
+query("upsert_fact")(_upsert)
+query("merge_join")(_merge_join)
+query("fct_sales_incremental")(lambda s, d: _fact_table(s, d, 1).read())
+query("rerun_idempotence")(lambda s, d: _fact_table(s, d, 2).read())
 query("late_arrivals")(lambda s, d: inc.late_arrivals(m.fct(s, d), 7))
-query("restate_kpi_dates")(lambda s, d: inc.restate_kpi_dates(
-    marts.mart_sales_daily_kpi(m.fct_initial(s, d), m.dim(s, d)),
-    m.fct(s, d),
-    m.fct_delta(s, d, m.fct_initial(s, d)),
-    m.dim(s, d),
-    inc.replaced_rows(m.fct_initial(s, d), m.fct_delta(s, d, m.fct_initial(s, d))),
-))
+query("restate_kpi_dates")(_restate)
 
 # --- file sources / sinks, integrity, streaming (own tests; rows-only in the driver) ----
 
@@ -232,65 +278,136 @@ def _land(s, d, kind: str = "daily"):
     return root, landed_schema(raw)
 
 
-def _listing(kind):
+def _landed_rows(kind):
+    """Rows that a landing holds, by source file (business date for a
+    backfill): its files counted by the file reader."""
+
     def run(s, d):
         root, _ = _land(s, d, kind)
-        return ig.list_landing_files(s, root)
+        counts = ig.file_row_counts(s, root)
+        folder = F.regexp_extract("path", r"/business_date=([^/]+)/", 1) if kind == "backfill" else fs.source_file(F.col("path"))
+        return counts.groupBy(folder.alias("business_date" if kind == "backfill" else "source_file_name")).agg(F.sum("row_count").alias("row_count"))
 
     return run
 
 
+def _listing(s, d):
+    """Every source file with bytes in the landing, and whether it is there."""
+    root, _ = _land(s, d)
+    files = ig.list_landing_files(s, root).select(fs.source_file(F.col("path")).alias("source_file_name"), "length")
+    return files.groupBy("source_file_name").agg((F.sum("length") > 0).alias("has_bytes"))
+
+
+def _messy_text(s, d):
+    """The fixture's raw rows as text, some of them malformed: words in
+    ``quantity``, amounts beyond the type, and (``extra``) a field too many."""
+    raw = m.raw(s, d)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in ld.RAW_CSV_COLUMNS if c in raw.columns], "source_file_name",
+                      (F.col("customer_id") % 101 == 3).alias("extra"))
+    return text.withColumns({
+        "quantity": F.when(F.col("product_id") % 97 == 5, F.lit("two")).otherwise(F.col("quantity")),
+        "unit_price": F.when(F.col("product_id") % 89 == 7, F.lit("9" * 20 + ".00")).otherwise(F.col("unit_price")),
+    })
+
+
+def _land_messy(s, d):
+    """A landing of ``_messy_text``: late files have their columns in reverse
+    order, and rows with a field too many lie in files of their own."""
+    rows = materialize(_messy_text(s, d), "messy")
+    root = scratch_dir(s, "landing_messy")
+    cols = [c for c in rows.columns if c not in ("source_file_name", "extra")]
+    late = F.col("source_file_name").ilike(sm.LATE_PATTERN)
+    for where, order, folder in ((~late & ~F.col("extra"), cols, "plain"), (late & ~F.col("extra"), cols[::-1], "reversed")):
+        (rows.where(where).select(*order, F.col("source_file_name").alias("file")).hint("rebalance", "file")
+         .write.options(**ld.CSV_OPTIONS).partitionBy("file").csv(f"{root}/{folder}"))
+    extra = rows.where("extra")
+    lines = extra.select(F.col("source_file_name").alias("file"), F.lit(1).alias("n"),
+                         F.concat(F.to_csv(F.struct(*cols), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}), F.lit(",extra")).alias("value"))
+    heads = extra.select(F.col("source_file_name").alias("file")).distinct().select("file", F.lit(0).alias("n"), F.lit(",".join(cols)).alias("value"))
+    (lines.union(heads).repartition("file").sortWithinPartitions("file", "n").select("value", "file")  # lines as they are
+     .write.options(**{**ld.CSV_OPTIONS, "header": False, "quote": "", "sep": "\x01"}).partitionBy("file").csv(f"{root}/extra"))
+    return root
+
+
+LANDED = [c for c in ld.RAW_CSV_COLUMNS if c not in ("sales_channel", "generated_at_utc")]
+
+
 def _scan_csv(s, d):
-    root, schema = _land(s, d)
-    return fs.scan_csv_batch(s, root, schema)
+    """A batch read of the messy landing: the rows that cast, typed."""
+    return fs.typed(fs.accepted(fs.scan_text(s, _land_messy(s, d)))).select(*LANDED)
 
 
-def _with_lineage(s, d):
-    root, schema = _land(s, d)
-    return fs.read_raw_with_lineage(s, root, schema).drop("load_ts")  # the clock
+def _ingested(s, d):
+    """The messy landing ingested as a stream; the second run adds nothing."""
+    root, raw, ckpt = _land_messy(s, d), scratch_dir(s, "raw_table"), scratch_dir(s, "ckpt_ingest")
+    for _ in range(2):
+        st.stream_ingest(s, root, raw, ckpt).awaitTermination()
+    return raw
+
 
+def _stream_ingest(s, d):
+    return fs.typed(st.read_raw(s, _ingested(s, d))).select(*LANDED, "source_file_name")
 
-def _stream_ingest(s, d, runs: int = 2):
+
+def _quarantine(s, d):
+    rows = st.read_rejected(s, _ingested(s, d))
+    return rows.select("order_id", "batch_id", "source_file_name", "quantity", "unit_price", F.array_join("failed_columns", ",").alias("failed"))
+
+
+def _ingest_incremental(s, d):
+    """Two landings, each followed by a run: the second run takes the new
+    files alone, in several small batches."""
+    raw_rows, root = m.raw(s, d), scratch_dir(s, "landing_parts")
+    raw, ckpt = scratch_dir(s, "raw_table"), scratch_dir(s, "ckpt_ingest")
+    late = F.col("source_file_name").ilike(sm.LATE_PATTERN)
+    for part, per in ((raw_rows.where(~late), st.MAX_FILES), (raw_rows.where(late), 50)):
+        ld.land_daily(part, root, grain="month")
+        st.stream_ingest(s, root, raw, ckpt, max_files_per_trigger=per).awaitTermination()
+    return fs.typed(st.read_raw(s, raw)).select(*LANDED, "source_file_name")
+
+
+def _with_lineage(s, d):
     root, schema = _land(s, d)
-    raw_path, ckpt = scratch_dir(s, "raw_table"), scratch_dir(s, "ckpt_ingest")
-    for _ in range(runs):  # the second run finds no new files and adds nothing
-        st.stream_ingest(s, root, raw_path, ckpt, schema).awaitTermination()
-    return s.read.parquet(raw_path).drop("load_ts")  # the clock
+    return fs.read_raw_with_lineage(s, root, schema).drop("load_ts")  # the clock
 
 
 def _stream_dedup(s, d):
-    raw_path = scratch_dir(s, "raw_for_dedup")
+    raw_path, path = scratch_dir(s, "raw_for_dedup"), scratch_dir(s, "dedup")
     m.raw(s, d).write.parquet(raw_path)
     raw_stream = s.readStream.schema(s.read.parquet(raw_path).schema).parquet(raw_path)
-    store = FactStore(s, scratch_dir(s, "dedup_store"), buckets=16)
     staged = st.staged_stream(raw_stream, ["l_suppkey"])
-    st.stream_dedup(staged, store, scratch_dir(s, "ckpt_dedup"), ad.FIXTURE_TIE_BREAKERS).awaitTermination()
-    return store.read().select(*sg.STG_COLUMNS)
+    st.stream_dedup(staged, path, scratch_dir(s, "ckpt_dedup"), ad.FIXTURE_TIE_BREAKERS).awaitTermination()
+    return st.read_latest(s, path).select(*sg.STG_COLUMNS)
+
+
+def _raw_stream(s, d):
+    """RAW, ingested from a landing, as a staged stream."""
+    root, _ = _land(s, d)
+    raw = scratch_dir(s, "raw_table")
+    st.stream_ingest(s, root, raw, scratch_dir(s, "ckpt_ingest")).awaitTermination()
+    return st.raw_stream(s, raw)
 
 
 def _stream_upsert(s, d):
-    root, schema = _land(s, d)
-    store = FactStore(s, scratch_dir(s, "stream_fct"), buckets=16)
-    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
-    st.stream_upsert_fact(staged, store, scratch_dir(s, "ckpt_upsert")).awaitTermination()
-    return store.read().drop("load_ts")  # the clock
+    table = FactTable(s, scratch_dir(s, "stream_fct"))
+    st.stream_upsert_fact(st.staged_stream(_raw_stream(s, d)), table, scratch_dir(s, "ckpt_upsert")).awaitTermination()
+    return table.read().drop("load_ts")  # the clock
 
 
 def _stream_kpi(s, d):
-    root, schema = _land(s, d)
-    store = FactStore(s, scratch_dir(s, "stream_fct_kpi"), buckets=16)
-    kpi = st.VersionedTable(s, scratch_dir(s, "stream_kpi"))
-    staged = st.staged_stream(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000))
-    st.stream_daily_kpi(staged, store, kpi, m.dim(s, d), scratch_dir(s, "ckpt_kpi")).awaitTermination()
-    return kpi.read().drop("latest_load_ts")  # the clock
+    table, kpi = FactTable(s, scratch_dir(s, "stream_fct_kpi")), scratch_dir(s, "stream_kpi")
+    st.stream_daily_kpi(st.staged_stream(_raw_stream(s, d)), table, kpi, m.dim(s, d), scratch_dir(s, "ckpt_kpi")).awaitTermination()
+    return st.read_kpi(s, kpi).drop("latest_load_ts")  # the clock
 
 
 def _stream_quality(s, d):
-    root, schema = _land(s, d)
+    """The scan metrics of all batches added up."""
     metrics = scratch_dir(s, "quality_metrics")
-    st.stream_quality_metrics(st.read_landing_stream(s, root, schema, max_files_per_trigger=1000),
-                              metrics, scratch_dir(s, "ckpt_quality")).awaitTermination()
-    return s.read.parquet(metrics)
+    rows = _raw_stream(s, d)
+    typed = fs.typed(rows)
+    st.stream_quality_metrics(typed, metrics, scratch_dir(s, "ckpt_quality")).awaitTermination()
+    per_batch = s.read.parquet(metrics)
+    return per_batch.agg(*[F.sum(c).alias(c) for c in per_batch.columns if c != "batch_id"])
 
 
 def _manifests(s, d):
@@ -300,27 +417,79 @@ def _manifests(s, d):
     return root, mroot
 
 
+def _by_source(rows, *aggs):
+    return rows.groupBy("source_file_name").agg(*aggs)
+
+
+def _manifest_records(s, d):
+    """Manifest records by source file: rows, and whether every record names
+    the algorithm and a digest of the right length."""
+    rows = fs.scan_checksum_manifests(s, _manifests(s, d)[1])
+    good = (F.col("checksum_algorithm") == "SHA-256") & F.col("checksum_sha256").rlike("^[0-9a-f]{64}$") & (F.col("file_size_bytes") > 0)
+    return _by_source(rows.withColumn("source_file_name", fs.source_file(F.col("data_s3_uri"))),
+                      F.sum("expected_row_count").alias("expected_row_count"), F.min(good).alias("is_complete"))
+
+
+def _written_manifests(s, d):
+    """The manifest files as the sink wrote them, read as plain JSON."""
+    rows = s.read.json(_manifests(s, d)[1])
+    return _by_source(rows.withColumn("source_file_name", fs.source_file(F.col("s3_uri"))), F.sum("row_count").alias("row_count"),
+                      (F.count("*") == F.count_distinct("s3_key")).alias("one_record_per_file"))
+
+
+def _ingestion_audit(s, d):
+    """Manifests appended to their own table by a stream, whose second run
+    finds nothing new: rows by source file, and records beyond one per file."""
+    _, mroot = _manifests(s, d)
+    audit, ckpt = scratch_dir(s, "ingestion_audit"), scratch_dir(s, "ckpt_audit")
+    for _ in range(2):
+        st.stream_manifests(s, mroot, audit, ckpt).awaitTermination()
+    rows = s.read.parquet(audit).withColumnRenamed("data_file", "source_file_name")
+    return _by_source(rows, F.sum("row_count").alias("row_count"), (F.count("*") - F.count_distinct("s3_uri")).alias("repeated_records"))
+
+
+def _fingerprints(s, d):
+    """Digests of the landed files, held against those of their lines as
+    Spark's text reader gives them: rows by source file."""
+    root, _ = _land(s, d)
+    one = s.read.option("recursiveFileLookup", True).text(root, wholetext=True)
+    lines = one.select(fs.unescaped(F.col("_metadata.file_path")).alias("p"), F.sha2("value", 256).alias("expected"))
+    files = ig.file_fingerprints(s, root)
+    both = files.join(lines, F.regexp_replace("path", "^file:/+", "/") == F.regexp_replace("p", "^file:/+", "/"), "left")
+    return _by_source(both.withColumn("source_file_name", fs.source_file(F.col("path"))), F.min(F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False))).alias("digests_agree"))
+
+
 def _verify(s, d):
     root, mroot = _manifests(s, d)
-    return ig.verify_checksums(ig.file_fingerprints(s, root), fs.scan_checksum_manifests(s, mroot))
+    rows = ig.verify_checksums(ig.file_fingerprints(s, root), fs.scan_checksum_manifests(s, mroot))
+    return _by_source(rows.withColumn("source_file_name", fs.source_file(F.col("path"))),
+                      F.min("checksum_status").alias("lowest_status"), F.max("checksum_status").alias("highest_status"))
 
 
 def _verify_rows(s, d):
     root, mroot = _manifests(s, d)
     landed = fs.scan_csv_batch(s, root, landed_schema(m.raw(s, d)))
     by_path = landed.select(F.col("_metadata.file_path").alias("source_file_name"))  # manifests name part files
-    return ig.verify_row_counts(fs.scan_checksum_manifests(s, mroot), by_path)
+    manifests = fs.scan_checksum_manifests(s, mroot)
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    by_path = by_path.withColumn("source_file_name", plain(fs.unescaped(F.col("source_file_name"))))
+    rows = ig.verify_row_counts(manifests.withColumn("data_s3_uri", plain(F.col("data_s3_uri"))), by_path)
+    return _by_source(rows.withColumn("source_file_name", fs.source_file(F.col("source_file_name"))), F.sum("expected_row_count").alias("expected_row_count"),
+                      F.sum("loaded_row_count").alias("loaded_row_count"), F.sum(F.abs("row_count_difference")).alias("row_count_difference"))
 
 
 def _header_drift(s, d):
-    root, _ = _land(s, d)
-    return ig.file_header_drift(s, root, ct.load_contract(), ld.RAW_CSV_COLUMNS)
+    """Drift of the messy landing's files, by source file."""
+    rows = ig.file_header_drift(s, _land_messy(s, d), ct.load_contract(), ld.RAW_CSV_COLUMNS)
+    return _by_source(rows.withColumn("source_file_name", fs.source_file(F.col("path"))), F.max("is_reordered").alias("is_reordered"),
+                      F.max(F.array_join("missing_required_columns", ",")).alias("missing"), F.max(F.array_join("additive_columns", ",")).alias("additive"))
 
 
 def _run_elt(s, d):
-    out = pl.run_elt(s, m.raw(s, d), scratch_dir(s, "elt"), as_of=m.last_order_date(s, d), gate=False,  # the fixture plants failing rows
-                    
-                     tie_breakers=list(ad.FIXTURE_TIE_BREAKERS), fact_buckets=16)
+    raw = m.raw(s, d)
+    newest = raw.agg(F.max(F.col("load_ts").cast("timestamp"))).first()[0]
+    out = pl.run_elt(s, raw, scratch_dir(s, "elt"), as_of=m.last_order_date(s, d), gate=False,  # the fixture plants failing rows
+                     tie_breakers=list(ad.FIXTURE_TIE_BREAKERS), loaded_by=newest and newest + timedelta(hours=1))
     return s.read.parquet(out["mart_sales_daily_kpi"])
 
 
@@ -330,6 +499,18 @@ def _run_layer(s, d):
     return s.read.parquet(out["stg_sales"])
 
 
+def _exclude_manifests(s, d):
+    """RAW of a landing in which every data file has a manifest beside it:
+    rows by source file, and how many of them stem from a manifest."""
+    root, _ = _land(s, d)
+    ld.write_checksum_manifest(s, root, f"{root}/manifests")
+    raw = scratch_dir(s, "raw_table")
+    st.stream_ingest(s, root, raw, scratch_dir(s, "ckpt_ingest")).awaitTermination()
+    rows = st.read_raw(s, raw)
+    bad = fs.manifest_rows(rows).select("source_file_name").distinct().withColumn("is_manifest", F.lit(True))
+    return _by_source(rows.join(bad, "source_file_name", "left"), F.count("*").alias("row_count"), F.count("is_manifest").alias("manifest_rows"))
+
+
 def _sync_columns(s, d):
     # the stored fact lacks the optional channel column; the new schema adds it
     target = m.fct(s, d)
@@ -337,36 +518,55 @@ def _sync_columns(s, d):
     return fa.sync_columns(target, like)
 
 
-def _add_optional(s, d):
-    return st.stg_sales(m.raw(s, d), tie_breakers=ad.FIXTURE_TIE_BREAKERS, include_optional=True)
+def _promote_optional(s, d):
+    return sg.stg_sales(m.raw(s, d), tie_breakers=ad.FIXTURE_TIE_BREAKERS, include_optional=True)
 
 
-query("land_daily")(_listing("daily"))
-query("land_late")(_listing("late"))
-query("land_backfill")(_listing("backfill"))
-query("list_landing_files")(_listing("daily"))
+def _add_optional(s, d):
+    """A stored RAW table gains a column: older segments lack the channel,
+    newer ones have it, and one merged schema reads both."""
+    raw, root = m.raw(s, d), scratch_dir(s, "raw_segments")
+    late = F.col("source_file_name").ilike(sm.LATE_PATTERN)
+    raw.where(~late).write.parquet(f"{root}/segment=1")
+    channel = F.concat(F.lit("channel "), F.col("product_id") % 4)
+    raw.where(late).withColumn("sales_channel", channel).write.parquet(f"{root}/segment=2")
+    stored = s.read.option("mergeSchema", True).parquet(root).drop("segment")
+    return sg.stg_sales(stored, tie_breakers=ad.FIXTURE_TIE_BREAKERS, include_optional=True)
+
+
+def _land_daily(s, d):
+    """Rows by arrival month, as the folders of the landing have them."""
+    counts = ig.file_row_counts(s, _land(s, d)[0])
+    folder = [F.regexp_extract("path", rf"/{c}=([^/]+)/", 1).alias(c) for c in ("year", "month")]
+    return counts.groupBy(*folder).agg(F.sum("row_count").alias("row_count"))
+
+
+query("land_daily")(_land_daily)
+query("land_late")(_landed_rows("late"))
+query("land_backfill")(_landed_rows("backfill"))
+query("list_landing_files")(_listing)
 query("scan_csv_batch")(_scan_csv)
 query("attach_lineage")(_with_lineage)
-query("ingest_files_incremental")(_stream_ingest)
+query("ingest_files_incremental")(_ingest_incremental)
 query("stream_ingest")(_stream_ingest)
 query("stream_dedup")(_stream_dedup)
 query("stream_upsert_fact")(_stream_upsert)
 query("stream_daily_kpi")(_stream_kpi)
 query("stream_quality_metrics")(_stream_quality)
-query("write_checksum_manifest")(lambda s, d: ld.checksum_manifest(s, _land(s, d)[0]))
-query("scan_checksum_manifests")(lambda s, d: fs.scan_checksum_manifests(s, _manifests(s, d)[1]))
-query("file_ingestion_audit")(lambda s, d: fs.scan_checksum_manifests(s, _manifests(s, d)[1]))
-query("file_fingerprints")(lambda s, d: ig.file_fingerprints(s, _land(s, d)[0]))
-query("file_row_counts")(lambda s, d: ig.file_row_counts(s, _land(s, d)[0]))
+query("write_checksum_manifest")(_written_manifests)
+query("scan_checksum_manifests")(_manifest_records)
+query("file_ingestion_audit")(_ingestion_audit)
+query("file_fingerprints")(_fingerprints)
+query("file_row_counts")(_landed_rows("daily"))
 query("verify_checksums")(_verify)
 query("verify_row_counts")(_verify_rows)
 query("file_header_drift")(_header_drift)
 query("run_elt")(_run_elt)
 query("run_layer")(_run_layer)
 query("sync_all_columns")(_sync_columns)
-query("promote_optional")(_add_optional)
+query("promote_optional")(_promote_optional)
 query("add_optional_column")(_add_optional)
-query("exclude_manifests")(lambda s, d: fs.manifest_rows(m.raw(s, d)))
+query("exclude_manifests")(_exclude_manifests)
 
 # --- schema contract, completeness, helpers -----------------------------------------
 
@@ -422,8 +622,14 @@ query("sales_event_key")(lambda s, d: m.raw(s, d).select(
 query("stage_cast")(lambda s, d: _staged(s, d).select(
     "order_id", "customer_id", "product_id", "order_timestamp", "order_date", "quantity",
     "unit_price", "gross_amount", "discount_amount", "net_amount", "load_ts"))
-query("stage_normalize")(lambda s, d: _staged(s, d).select("sales_event_key", "product_category",
-                                                           "payment_method", "order_status"))
+def _normalized(s, d):
+    """Normalised text of rows whose category words are joined by marks."""
+    raw = m.raw(s, d).withColumn("product_category", F.translate("product_category", "t", "-"))
+    raw = raw.withColumn("payment_method", F.replace("payment_method", F.lit("T S"), F.lit("T/s")))
+    return raw.select(*sg.stage_columns(raw)).select("sales_event_key", "product_category", "payment_method", "order_status")
+
+
+query("stage_normalize")(_normalized)
 query("stage_not_null_key")(lambda s, d: m.raw(s, d).filter(F.col("order_id").isNotNull()))
 query("enrich_order_month")(lambda s, d: m.stg(s, d).select(
     "sales_event_key", im.order_month(F.col("order_date")).alias("order_month")))
@@ -480,11 +686,11 @@ def _backfill_range(s, d, start=date(2024, 5, 1), end=date(2024, 5, 31)):
     root = scratch_dir(s, "backfill_window")
     ld.land_backfill(rows, root)
     ld.land_backfill(rows, root)  # replay: idempotent
-    return s.read.option("header", True).schema(landed_schema(rows).add("business_date", "string")).csv(root)
+    return s.read.option("header", True).schema(landed_schema(rows).add("business_date", "date")).csv(root)
 
 
 query("backfill_range")(_backfill_range)
-query("quarantine_rows")(lambda s, d: sg.quarantine_rows(m.raw(s, d)))
+query("quarantine_rows")(_quarantine)
 
 
 def _row_tests(s, d):

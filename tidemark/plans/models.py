@@ -27,6 +27,11 @@ def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stg_sales(raw(spark, sf_dir), tie_breakers=FIXTURE_TIE_BREAKERS)
 
 
+def fct_of(raw: DataFrame) -> DataFrame:
+    """The fact of a RAW frame of the fixture."""
+    return fct_sales(int_sales_enriched(stg_sales(raw, tie_breakers=FIXTURE_TIE_BREAKERS)))
+
+
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return int_sales_enriched(stg(spark, sf_dir))
 
@@ -49,15 +54,3 @@ def dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- incremental split used by the upsert / restatement queries ------------------------
 INCREMENTAL_CUTOFF = datetime(2027, 1, 1, 0, 0, 0)
-
-
-def fct_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact as an earlier run left it: rows loaded before the cutoff."""
-    return fct(spark, sf_dir).filter(F.col("load_ts") < F.lit(INCREMENTAL_CUTOFF).cast("timestamp"))
-
-
-def fct_delta(spark: SparkSession, sf_dir: str, target: DataFrame) -> DataFrame:
-    """Rows picked up by the next incremental run against ``target``."""
-    from tidemark.operators.fact import fct_projection, incremental_filter
-
-    return fct_projection(incremental_filter(enriched(spark, sf_dir), target))

@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 from tidemark.operators import marts, quality
 from tidemark.operators.contract import load_contract, validate_contract
 from tidemark.operators.dims import days_through, dim_date
-from tidemark.operators.fact import fct_projection, incremental_filter
+from tidemark.operators.fact import fct_projection
 from tidemark.operators.integrity import file_fingerprints, require_checksums_match, verify_checksums
 from tidemark.operators.intermediate import int_sales_enriched
 from tidemark.operators.staging import stg_sales
-from tidemark.sinks.fact_store import FactStore
+from tidemark.sinks.fact_table import FactTable
 from tidemark.sinks.landing import land_by_arrival, layer_path, materialize_full, read_layer, write_checksum_manifest, write_schema_manifest
 from tidemark.sources.files import scan_checksum_manifests
 
@@ -48,7 +48,7 @@ def run_ingest_batch(spark: SparkSession, batch: DataFrame, landing: str, manife
 
 def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | datetime | None = None,
             layers: tuple[str, ...] = LAYERS, tie_breakers=None, gate: bool = True,
-            fact_buckets: int = 64, loaded_by: datetime | None = None) -> dict[str, str]:
+            loaded_by: datetime | None = None) -> dict[str, str]:
     """Build the requested layers; returns table -> path.
 
     With ``loaded_by`` the run stops first if RAW's newest load is too old
@@ -68,14 +68,11 @@ def run_elt(spark: SparkSession, raw: DataFrame, root: str, as_of: date | dateti
         out["int_sales_enriched"] = materialize_full(int_sales_enriched(stg), root, "intermediate", "int_sales_enriched")
     if "marts" in layers:
         enriched = read_layer(spark, root, "intermediate", "int_sales_enriched")
-        store = FactStore(spark, layer_path(root, "marts", "fct_sales"), buckets=fact_buckets)
-        current = store.read()
-        if current is None:
-            store.overwrite(fct_projection(enriched))
-        else:
-            store.upsert(fct_projection(incremental_filter(enriched, current)))
-        out["fct_sales"] = store.root
-        fct = store.read()
+        table = FactTable(spark, layer_path(root, "marts", "fct_sales"))
+        new = fct_projection(table.new_rows(enriched) if table.exists() else enriched)
+        table.upsert(new)
+        out["fct_sales"] = table.data
+        fct = table.read(new.schema)
         last = fct.agg(F.max("order_date")).first()[0]
         dim = dim_date(spark, as_of or last, n_days=days_through(last))
         out["dim_date"] = materialize_full(dim, root, "marts", "dim_date")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.integrity import file_fingerprints, file_row_counts
-from tidemark.sinks.versioned import VersionedTable
+from tidemark.session import path_exists
 
 # Raw CSV column order as produced by the daily batch (contract order, then
 # the optional channel column).
@@ -144,16 +144,16 @@ def layer_path(root: str, layer: str | None, table: str, default_layer: str = "p
 
 
 def materialize_full(df: DataFrame, root: str, layer: str, table: str) -> str:
-    """Full-refresh table: write a new version of the layer's table and
-    commit it (``VersionedTable``); returns the folder of that version. A
-    crash or a concurrent reader never meets a half-written table."""
-    versions = VersionedTable(df.sparkSession, layer_path(root, layer, table))
-    return versions.folder(versions.write(df))
+    """Full-refresh table: the layer's table is replaced by ``df``, which
+    must not read it; returns its path."""
+    path = layer_path(root, layer, table)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return path
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """The committed version of a layer's table."""
-    df = VersionedTable(spark, layer_path(root, layer, table)).read()
-    if df is None:
+    """A layer's table."""
+    path = layer_path(root, layer, table)
+    if not path_exists(spark, path):
         raise ValueError(f"layer table {layer}.{table} has not been built under {root}")
-    return df
+    return spark.read.parquet(path)
