@@ -39,6 +39,29 @@ def test_word_encoder_equals_the_tokenizer():
     assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
 
 
+def test_encoder_of_another_tokenizer_file():
+    """A file without the settings for which words are proved to be enough
+    is used on whole texts; its ids are the tokenizer's own."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    tok, enc = Tokenizer.from_file(path), wavelet.WordEncoder(path)
+    assert not enc.by_word and wavelet.WordEncoder(tokenizer_path()).by_word
+    texts = ["Hello,  World!! don't", "", " \n\n x", "é́ ﬁn 漢字 🙂 <|endoftext|>"]
+    ids, lens = enc.encode([t.encode() for t in texts], END_ID)
+    want = [tok.encode(t, add_special_tokens=False).ids + [END_ID] for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
+
+
+def test_word_encoder_survives_a_full_cache(monkeypatch):
+    monkeypatch.setattr(wavelet, "CACHE_PIECES", 5)
+    tok, enc = Tokenizer.from_file(tokenizer_path()), wavelet.WordEncoder(tokenizer_path())
+    rng = random.Random(3)
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choice("aéZ.,'1ñ×Ωǅ") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 9))) for _ in range(4)]
+        ids, lens = enc.encode([t.encode() for t in texts], END_ID)
+        want = [tok.encode(t, add_special_tokens=False).ids + [END_ID] for t in texts]
+        assert ids.tolist() == [i for w in want for i in w] and lens.tolist() == [len(w) for w in want]
+
+
 def test_token_shards_equal_direct_encoding(docs, odd, spark):
     tok = Tokenizer.from_file(tokenizer_path())
     rng = random.Random(1)

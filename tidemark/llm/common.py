@@ -25,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows per Arrow batch sent to Python. Texts can be long, so a batch of the
 # default 10,000 rows could be far larger than a worker's memory share.
 ARROW_ROWS = 512
+ARROW_BYTES = 1 << 25
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +58,7 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 _RELEASED = [0.0]

@@ -26,13 +26,15 @@ separate documents, ordered by their text's hash. Null doc_ids sort first.
 from __future__ import annotations
 
 import itertools
+import json
+import re
 import string
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,11 +47,27 @@ SHARD_TOKENS = 1 << 18
 STEP = 512
 SHARD_SCHEMA = ("part int, seq int, n long, doc_id array<bigint>, ends array<bigint>, "
                 "zeros array<bigint>, planes array<binary>, ranks array<binary>")
-# Words kept by a worker's cache before it starts anew (a memory bound).
-CACHE_WORDS = 400_000
+# Word pieces kept by a worker's cache before it starts anew, and text bytes
+# encoded at once (memory bounds).
+CACHE_PIECES = 600_000
+BLOCK_BYTES = 1 << 22
 # Punctuation that a pre-tokenizer of letters, digits and other marks always
 # cuts from the letters before it. The apostrophe is not one: "'s" is a token.
 _TAIL = "".join(c for c in string.punctuation if c != "'")
+_MARKS = "(?P<m>[" + re.escape(_TAIL) + "]+)$"
+# Letters below U+0250 without one whose lower case has two characters: texts
+# of them are in normal form C.
+_LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}]+$"
+# The tokenizer file's settings (fixed values of its format) for which
+# encoding word by word is proved to give the ids of the whole text.
+_PROVED = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+    "post_processor": None,
+}
 
 
 def _byte_chars() -> dict[int, str]:
@@ -60,13 +78,21 @@ def _byte_chars() -> dict[int, str]:
     return {b: chr(b) for b in keep} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordEncoder:
-    """Encodes texts word by word with a cache, exactly as the tokenizer
-    encodes the whole text.
+def _strings(a: pa.Array) -> list[str]:
+    """``a.to_pylist()``, several times as fast."""
+    return a.to_numpy(zero_copy_only=False).tolist()
+
 
-    Valid for tokenizers that drop white space and never make a token across
-    it. Plain words (letters below U+0250, then punctuation) go straight to
-    the BPE model, others through the whole tokenizer.
+class WordEncoder:
+    """Encodes texts as the tokenizer encodes them whole.
+
+    Where the file has the settings of ``_PROVED`` (white space is dropped,
+    no token crosses it), texts are cut into words by Arrow, and only the
+    distinct words of a block are looked at. A plain word, letters below
+    U+0250 with punctuation behind them, is two pieces: the lower-cased
+    letters go straight to the BPE model, the marks to the tokenizer; any
+    other word is one piece for the whole tokenizer. A cache holds the ids of
+    the pieces. For other files every text goes whole to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -75,74 +101,101 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.chars = _byte_chars()
-        self.cores: dict[str, list[int]] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.by_word = all(spec.get(k) == v for k, v in _PROVED.items())
+        if self.by_word:
+            from tokenizers import pre_tokenizers
+
+            self.table = str.maketrans({chr(b): c for b, c in _byte_chars().items()})
+            self.model = Tokenizer(self.tok.model)  # the same merges, for words that are ready
+            self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            suffix, vocab = spec["model"]["end_of_word_suffix"], self.model.get_vocab()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[str, int] = {"": 0}  # piece -> its place; the empty piece has no ids
         self.used = 0  # ids in flat
-        self.starts = np.empty(1 << 16, np.int64)
-        self.lens = np.empty(1 << 16, np.int64)
+        self.starts = np.zeros(1 << 16, np.int64)
+        self.lens = np.zeros(1 << 16, np.int64)
         self.flat = np.empty(1 << 18, np.uint32)
 
-    def _add(self, words: list[bytes]) -> None:
-        """Put new words into the cache: their ids stand in ``flat``."""
-        got = [self.word(w) for w in words]
+    def _whole(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of words (behind a space) by the whole tokenizer."""
+        got = [self.tok.encode(k[1:], add_special_tokens=False).ids for k in keys]
         n = np.fromiter(map(len, got), np.int64, len(got))
-        at, ids = len(self.index), int(n.sum())
-        while at + len(got) > len(self.lens):
-            self.starts, self.lens = (np.concatenate([x, x]) for x in (self.starts, self.lens))
-        while self.used + ids > len(self.flat):
-            self.flat = np.concatenate([self.flat, self.flat])
-        self.lens[at : at + len(got)] = n
-        self.starts[at : at + len(got)] = self.used + np.cumsum(n) - n
-        self.flat[self.used : self.used + ids] = np.fromiter(itertools.chain.from_iterable(got), np.uint32, ids)
-        self.used += ids
-        self.index.update(zip(words, range(at, at + len(got))))
-
-    def _whole(self, s: str) -> list[int]:
-        return self.tok.encode(s, add_special_tokens=False).ids
-
-    def _core(self, s: str) -> list[int]:
-        got = self.cores.get(s)
-        if got is None:
-            if len(self.cores) >= CACHE_WORDS:
-                self.cores.clear()
-            mapped = s if s.isascii() else "".join(self.chars[b] for b in s.encode())
-            got = self.cores[s] = [t.id for t in self.tok.model.tokenize(mapped)]
-        return got
-
-    def word(self, w: bytes) -> list[int]:
-        s = w.decode()
-        core = s.rstrip(_TAIL)
-        if not core.isalpha() or not (s.isascii() or (max(s) < "ɐ" and "İ" not in s and unicodedata.is_normalized("NFC", s))):
-            return self._whole(s)
-        tail = s[len(core):]
-        ids = self._core(core.lower())
-        if tail:
-            key = " " + tail
-            if key not in self.cores:
-                self.cores[key] = self._whole(tail)
-            ids = ids + self.cores[key]
-        return ids
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n.sum())), n
+
+    def _letters(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts of lower-case words of letters by the BPE model,
+        many words a call: a word ends where a token has the suffix."""
+        ready = [k if k.isascii() else k.encode().decode("latin-1").translate(self.table) for k in keys]
+        calls = [" ".join(ready[i : i + 1000]) for i in range(0, len(ready), 1000)]
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in self.model.encode_batch_fast(calls, add_special_tokens=False)), np.uint32)
+        return ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+
+    def _places(self, keys: list[str], encode) -> np.ndarray:
+        """Places of pieces in the cache; ``encode`` gives new ones' ids."""
+        index = self.index
+        new = [k for k in keys if k not in index]
+        if new:
+            got, n = encode(new)
+            assert len(n) == len(new)
+            at, ids = len(index), len(got)
+            while at + len(new) > len(self.lens):
+                self.starts, self.lens = (np.concatenate([x, x]) for x in (self.starts, self.lens))
+            while self.used + ids > len(self.flat):
+                self.flat = np.concatenate([self.flat, self.flat])
+            self.lens[at : at + len(new)] = n
+            self.starts[at : at + len(new)] = self.used + np.cumsum(n) - n
+            self.flat[self.used : self.used + ids] = got
+            self.used += ids
+            index.update(zip(new, range(at, at + len(new))))
+        return np.fromiter(map(index.__getitem__, keys), np.int64, len(keys))
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the two pieces of each word."""
+        if len(self.index) >= CACHE_PIECES:
+            self._clear()
+        core = pc.ascii_rtrim(words, _TAIL)
+        plain = pc.or_(pc.match_substring_regex(core, _LETTERS), pc.equal(words, ""))
+        first, second = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        on = plain.to_numpy(zero_copy_only=False)
+        # odd words are kept apart from letters by a leading space
+        odd = _strings(words.filter(pc.invert(plain)))
+        first[~on] = self._places([" " + w for w in odd], self._whole)
+        some, core = words.filter(plain), core.filter(plain)
+        letters = pc.utf8_lower(core).dictionary_encode()
+        first[on] = self._places(_strings(letters.dictionary), self._letters)[letters.indices.to_numpy(zero_copy_only=False)] if len(some) else first[on]
+        length = pc.binary_length(core).to_numpy(zero_copy_only=False)
+        has = np.flatnonzero(pc.binary_length(some).to_numpy(zero_copy_only=False) > length)
+        if len(has):
+            marks = pc.extract_regex(some.take(pa.array(has)), _MARKS).field(0).dictionary_encode()
+            tails = np.zeros(len(some), np.int64)
+            tails[has] = self._places([" " + t for t in _strings(marks.dictionary)], self._whole)[marks.indices.to_numpy(zero_copy_only=False)]
+            second[on] = tails
+        return first, second
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, ``end`` after each, and each text's count."""
-        words = [t.split() for t in texts]
-        if len(self.index) >= CACHE_WORDS:
-            self._clear()
-        new = list(set(itertools.chain.from_iterable(words)).difference(self.index))
-        if new:
-            self._add(new)
-        index, lens, starts, flat = self.index, self.lens, self.starts, self.flat
-        n = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(n.sum()))
-        wl = lens[at]
-        out_end = np.cumsum(wl)
-        total = int(out_end[-1]) if len(wl) else 0
-        ids = flat[np.arange(total) + np.repeat(starts[at] - (out_end - wl), wl)] if total else np.empty(0, np.uint32)
-        word_end = np.r_[0, out_end][np.cumsum(n)]
+        if not self.by_word:
+            got = [e.ids + [end] for e in self.tok.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+            n = np.fromiter(map(len, got), np.int64, len(got))
+            return np.fromiter(itertools.chain.from_iterable(got), np.uint32, int(n.sum())), n
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.large_string()))
+        n = np.diff(lists.offsets.to_numpy())
+        words = lists.flatten().cast(pa.string()).dictionary_encode()
+        which = words.indices.to_numpy(zero_copy_only=False)
+        first, second = self._pieces(words.dictionary)
+        at = np.empty(2 * len(which), np.int64)
+        at[0::2], at[1::2] = first[which], second[which]
+        at_n = self.lens[at]
+        out_end = np.cumsum(at_n)
+        total = int(out_end[-1]) if len(at_n) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - (out_end - at_n), at_n)] if total else np.empty(0, np.uint32)
+        word_end = np.r_[0, out_end][2 * np.cumsum(n)]
         return np.insert(ids, word_end, end), np.diff(np.r_[0, word_end]) + 1
 
 
@@ -270,13 +323,19 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
                    "ends": np.cumsum(np.concatenate([x[1] for x in held])).tolist(), "zeros": zeros, "planes": planes, "ranks": ranks}
             return pa.RecordBatch.from_pylist([row], schema=_SHARD)
 
-        for block, texts in text_blocks(batches, "text", 1 << 18):
+        for block, texts in text_blocks(batches, "text", BLOCK_BYTES):
             ids, lens = enc.encode(texts, end_id)
-            held.append((ids, lens, block.column("doc_id").to_pylist()))
-            size += len(ids)
-            if size >= shard_tokens:
-                yield flush()
-                held, size, seq = [], 0, seq + 1
+            doc_ids, ends = block.column("doc_id").to_pylist(), np.cumsum(lens)
+            a = 0
+            while a < len(lens):  # documents up to the one that fills the shard
+                base = int(ends[a - 1]) if a else 0
+                b = min(len(lens), int(np.searchsorted(ends, base + shard_tokens - size)) + 1)
+                held.append((ids[base : ends[b - 1]], lens[a:b], doc_ids[a:b]))
+                size += int(ends[b - 1]) - base
+                a = b
+                if size >= shard_tokens:
+                    yield flush()
+                    held, size, seq = [], 0, seq + 1
         if held:
             yield flush()
 
