@@ -49,8 +49,8 @@ SHARD_SCHEMA = ("part int, seq int, n long, doc_id array<bigint>, ends array<big
                 "zeros array<bigint>, planes array<binary>, ranks array<binary>")
 # Word pieces kept by a worker's cache before it starts anew, and text bytes
 # encoded at once (memory bounds).
-CACHE_PIECES = 600_000
-BLOCK_BYTES = 1 << 22
+CACHE_PIECES = 350_000
+BLOCK_BYTES = 1 << 21
 # Punctuation that a pre-tokenizer of letters, digits and other marks always
 # cuts from the letters before it. The apostrophe is not one: "'s" is a token.
 _TAIL = "".join(c for c in string.punctuation if c != "'")
