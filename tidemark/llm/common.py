@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import os
 import tempfile
@@ -17,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir, materialize
+from tidemark.session import delete_path, ensure_checkpoint_dir, scratch_dir
 
 # A word is a maximal run of bytes other than space and \x09-\x0D. Python's
 # bytes.split() cuts at exactly these six bytes.
@@ -74,13 +75,40 @@ def release(spark: SparkSession) -> None:
         _RELEASED[0] = time.monotonic()
 
 
+_MADE: list[str] = []
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back."""
-    out = materialize(df, name)
-    release(df.sparkSession)
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    out = spark.read.parquet(path)
+    out._folder = path
+    _MADE.append(path)
+    release(spark)
     return out
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete the folders of stored tables whose last reader has been
+    written, so that a job's disk holds what it still needs."""
+    for df in stored:
+        path = df.__dict__.pop("_folder", None)
+        if path:
+            delete_path(df.sparkSession, path)
+
+
+@contextlib.contextmanager
+def folders():
+    """Gathers the folders that ``store`` makes inside the block."""
+    start, found = len(_MADE), []
+    try:
+        yield found
+    finally:
+        found += _MADE[start:]
+        del _MADE[start:]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -190,13 +218,15 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     roots = store(both.groupBy(F.col("a").alias("node"))
                   .agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")), f"{name}_roots")
     while True:
-        near = (both.join(roots.withColumnRenamed("node", "b"), "b")
+        near = (both.join(roots.select(F.col("node").alias("b"), "root"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        step = store(roots.join(near, "node").select("node", "root", F.least("root", "near").alias("to")), f"{name}_step")
+        step = store(roots.select("node", "root").join(near, "node").select("node", "root", F.least("root", "near").alias("to")), f"{name}_step")
         via = step.select(F.col("node").alias("to"), F.col("to").alias("via"))
         nxt = store(step.join(via, "to").select("node", F.least("to", "via").alias("root"),
                                                 (F.least("to", "via") != F.col("root")).alias("moved")), f"{name}_roots")
         moved = nxt.where("moved").limit(1).count()
-        roots = nxt.select("node", "root")
+        discard(step, roots)
+        roots = nxt
         if not moved:
+            discard(both)
             return roots

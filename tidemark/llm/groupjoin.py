@@ -23,7 +23,9 @@ the empty set, linked with nothing). Two documents link when
    each group's union of shingles. A node queries the groups of other
    components that share a prefix shingle; the overlap with the union bounds
    the overlap with every member, and only groups whose bound reaches the
-   threshold are opened and compared member by member.
+   threshold are opened and compared member by member, in one task for each
+   group (a copy of the members for every ``QUERIES`` queries), with one link
+   for each component that a query joins.
 6. Links of both steps give the components.
 
 Rows with a null or repeated doc_id stay rows of their own; a component is
@@ -40,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_list, components, gram_hashes, hash_words, shield, store, text_key
+from .common import binary_list, components, discard, gram_hashes, hash_words, partitions, shield, store, text_key
 from .sharedbits import count_bits, is_set
 
 SHINGLE = 5
@@ -140,14 +142,14 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     Sets travel only for nodes that share a prefix shingle with another, and
     after the pivots only for those that ask or are asked.
     """
-    spark = sets.sparkSession
     full = sets.where("shingles is not null")
     light = full.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"))
-    tokens = store(light.select("node", "n", F.explode("prefix").alias("token")), "join_prefix")
-    shared = (tokens.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("node", "n")).alias("low"),
+    prefix = store(light.select("node", "n", F.explode("prefix").alias("token")), "join_prefix")
+    shared = (prefix.groupBy("token").agg(F.count("*").alias("df"), F.min(F.struct("node", "n")).alias("low"),
                                           F.min(F.struct(F.xxhash64("node").alias("h"), "node", "n")).alias("hashed"))
               .where("df > 1").select("token", "low", F.struct("hashed.node", "hashed.n").alias("alt")))
-    tokens = store(tokens.join(shared, "token"), "join_tokens")  # (token, node, n, low, alt)
+    tokens = store(prefix.join(shared, "token"), "join_tokens")  # (token, node, n, low, alt)
+    discard(prefix)
     wanted = tokens.groupBy("node").agg(F.first("n").alias("n"))
     body = store(full.select("node", "shingles").join(wanted, "node").groupBy("node")
                  .agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "join_bodies")
@@ -168,11 +170,14 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = pivots.select("node").join(first.select(F.col("a").alias("node")), "node", "left_anti")
     second = stars(best("alt").join(rest, "node"), "join_stars")
     star = store(first.union(second), "join_star")
+    discard(first, second)
+    light_tokens = store(tokens.select("token", "node"), "join_tokens")
+    discard(tokens)
 
     # nodes under one pivot are joined; so is what their pivot is joined to
-    under = star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))
-    over = under.select(F.col("node").alias("up"), F.col("up").alias("top"))
-    under = store(under.join(over, "up", "left").select("node", F.coalesce("top", "up").alias("comp")), "join_under")
+    up = star.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up"))
+    over = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+    under = store(up.join(over, "up", "left").select("node", F.coalesce("top", "up").alias("comp")), "join_under")
 
     # groups: nodes of one component, or single nodes with one pivot, and of
     # one class of sizes; nodes that are some pivot themselves count as theirs
@@ -181,6 +186,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
              .join(pivots.select("node", F.col("pivot.node").alias("pivot")), "node", "left")
              .select("node", "cls", F.coalesce("comp", "node").alias("comp"), F.coalesce("pivot", "node").alias("pivot")))
     known = store(known, "join_known")
+    discard(under, pivots)
     sizes = store(known.groupBy("comp").agg(F.count("*").alias("size")), "join_sizes")
     sized = known.join(sizes, "comp").withColumn("single", F.col("size") == 1)
     sized = store(sized.select("node", "comp", "size", "single", "cls",
@@ -188,30 +194,77 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     many = store(sized.groupBy("base").agg(F.ceil(F.count("*") / F.lit(GROUP)).alias("parts")), "join_parts")
     member = store(sized.join(many, "base")
                    .select("node", "comp", "size", "single", "cls", F.xxhash64("base", F.pmod(F.xxhash64("node", F.lit(7)), "parts")).alias("grp")), "join_groups")
+    discard(known, sizes, sized, many)
 
     # tokens that still stand between components
-    tagged = store(tokens.select("token", "node").join(member, "node"), "join_tagged")
+    tagged = store(light_tokens.join(member, "node"), "join_tagged")
+    discard(light_tokens)
     open_tokens = store(tagged.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("token"), "join_open")
-    tagged = store(tagged.join(open_tokens, "token"), "join_between")
-    matrix = (tagged.select("token", "grp", F.col("cls").alias("g_cls"), F.col("single").alias("g_single"),
-                            F.when(~F.col("single"), F.col("comp")).alias("g_comp"), F.when(F.col("single"), F.lit(1)).otherwise(F.col("size")).alias("g_size")).distinct())
-    asks = (tagged.select(F.col("token").alias("t"), "node", "cls", "comp", "size").join(store(matrix, "join_matrix"), F.expr(
+    between = store(tagged.join(open_tokens, "token"), "join_between")
+    discard(tagged, open_tokens)
+    matrix = store(between.select("token", "grp", F.col("cls").alias("g_cls"), F.col("single").alias("g_single"),
+                                  F.when(~F.col("single"), F.col("comp")).alias("g_comp"), F.when(F.col("single"), F.lit(1)).otherwise(F.col("size")).alias("g_size"))
+                   .distinct(), "join_matrix")
+    asks = (between.select(F.col("token").alias("t"), "node", "cls", "comp", "size").join(matrix, F.expr(
         "t = token and abs(cls - g_cls) <= 1 and "
         "((g_single and size = 1) or (not g_single and (size < g_size or (size = g_size and comp < g_comp))))"))
             .select("node", "grp").distinct())
     asks = store(asks, "join_asks")
+    discard(between, matrix)
 
     asked = store(member.join(asks.select("grp").distinct(), "grp"), "join_asked")
     needed = asked.select("node").union(asks.select("node")).distinct()
     few = store(body.select("node", "shingles").join(needed, "node"), "join_few")
+    discard(body)
     unions = store(_unions(asked.select("grp", "node").join(few, "node")), "join_unions")
     opened = store(_bounded(asks.join(few, "node").join(unions, "grp"), percent), "join_opened")
-    inside = (opened.withColumnRenamed("node", "a").join(asked.select("grp", F.col("node").alias("b"), F.col("comp").alias("cb")), "grp")
-              .join(member.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").where("ca <> cb").select("a", "b"))
-    found = _check_pairs(
-        inside.join(few.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
-        .join(few.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"), percent)
-    return store(star.union(found), "join_links")
+    discard(asks, unions)
+    found = _inside(opened, asked, member, few, percent)
+    out = store(star.union(found), "join_links")
+    discard(star, opened, asked, member, few)
+    return out
+
+
+#: Queries that meet a copy of a group's members.
+QUERIES = 512
+
+
+def _inside(opened: DataFrame, asked: DataFrame, member: DataFrame, few: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of the queries (node, grp) into members of other
+    components, one for each component that a query joins.
+
+    A group's members and its queries meet in one task, which holds the
+    members (about ``GROUP``) and streams the queries; a group with many
+    queries is dealt out, a copy of its members for every ``QUERIES``.
+    """
+    spark = opened.sparkSession
+    dealt = opened.groupBy("grp").agg(F.ceil(F.count("*") / F.lit(QUERIES)).alias("copies"))
+    salt = F.pmod(F.xxhash64("node"), F.col("copies"))
+    rows = (asked.select("grp", "node", "comp").join(dealt, "grp")
+            .select("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("salt"), F.lit(0).alias("asks"), "node", "comp")
+            .union(opened.join(dealt, "grp").join(member.select("node", "comp"), "node").select("grp", salt.alias("salt"), F.lit(1).alias("asks"), "node", "comp")))
+    rows = rows.join(few, "node").repartition(partitions(spark), "grp", "salt").sortWithinPartitions("grp", "salt", "asks")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members = None, []
+        for batch in batches:
+            a, b = [], []
+            for grp, salt, asks, node, comp, s in zip(*[batch.column(c).to_pylist() for c in ("grp", "salt", "asks", "node", "comp", "shingles")]):
+                if (grp, salt) != now:
+                    now, members = (grp, salt), []
+                own = np.frombuffer(s, np.uint64)
+                if not asks:
+                    members.append((node, comp, own))
+                    continue
+                joined = {comp}
+                for other, its, theirs in members:
+                    if its not in joined and _linked(own, theirs, percent):
+                        joined.add(its)
+                        a.append(node)
+                        b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    return rows.select("grp", "salt", "asks", "node", "comp", "shingles").mapInArrow(check, "a binary, b binary")
 
 
 def _unions(members: DataFrame) -> DataFrame:
@@ -251,12 +304,17 @@ def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     sets = shingle_sets(docs, percent)
     edges = links(sets, percent)
+    rows = store(sets.select("doc_id", "row_key", "n_shingles", "node"), "join_nodes")
+    discard(sets)
     roots = components(spark, edges, "join_final")
-    lows = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    named = store(lows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join_named")
+    discard(edges)
+    lows = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
+    named = store(lows.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node")), "join_named")
+    discard(roots)
     best = store(named.groupBy("root").agg(F.min("low").alias("component_id")), "join_best")
     of = store(named.join(best, "root").select("node", "root", "component_id"), "join_component")
-    return (sets.select("doc_id", "row_key", "n_shingles", "node").join(of, "node", "left")
+    discard(named, best)
+    return (rows.join(of, "node", "left")
             .select("doc_id", "row_key", "n_shingles", "root",
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
 
@@ -270,9 +328,12 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .select(F.col("k.doc_id").alias("k_id"), F.col("k.row_key").alias("k_key"), F.lit(True).alias("leads")))
     bare = rows.where("root is null").select(F.col("doc_id").alias("k_id"), F.col("row_key").alias("k_key"), F.lit(False).alias("leads")).distinct()
     keys = store(least.union(bare), "join_keep")
+    discard(rows)
     own, name, restore = shield(docs)
     keyed = own.withColumn("row_key", text_key(F.col(name["text"])))
     joined = keyed.join(keys, F.col(name["doc_id"]).eqNullSafe(F.col("k_id")) & (F.col("row_key") == F.col("k_key")))
-    # equal rows of a group share the key: one of them stays
-    copies = Window.partitionBy("k_id", "k_key", "leads").orderBy("k_key")
-    return restore(joined.withColumn("copy", F.row_number().over(copies)).where("copy = 1 or not leads"))
+    # equal rows of a group share the key: one of them stays. The rank filter
+    # alone lets each task drop its copies before the shuffle
+    copies = Window.partitionBy("k_id", "k_key").orderBy("k_key")
+    one = joined.where("leads").withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
+    return restore(one.union(joined.where("not leads")))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 
-from .common import partitions, release, store
+from .common import discard, partitions, release, store
 
 #: log2 of the bitmap's bits: 2**27 bits are 16 MiB in each Python worker.
 BITS = 27
@@ -96,9 +96,11 @@ def count_bits(
     size = (1 << width) // 8
     maps = [np.zeros((1 << bits) // 8, np.uint8) for _ in thresholds]
     # written first, so that the counting tasks run side by side
-    for row in store(slices, "count_bits").toLocalIterator():
+    counted = store(slices, "count_bits")
+    for row in counted.toLocalIterator():
         for m, part in zip(maps, row["maps"]):
             m[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(part), np.uint8)
+    discard(counted)
     del blobs, slices
     release(spark)
     return [spark.sparkContext.broadcast(m) for m in maps]
@@ -155,8 +157,10 @@ def varied_bits(
     slices = docs.mapInArrow(emit, "lead int, keys binary, tags binary").groupBy("lead").applyInPandas(count, "lead int, map binary")
     size = (1 << width) // 8
     whole = np.zeros((1 << bits) // 8, np.uint8)
-    for row in store(slices, "varied_bits").toLocalIterator():
+    counted = store(slices, "varied_bits")
+    for row in counted.toLocalIterator():
         whole[row["lead"] * size : (row["lead"] + 1) * size] = np.frombuffer(bytes(row["map"]), np.uint8)
+    discard(counted)
     del slices
     release(spark)
     return spark.sparkContext.broadcast(whole)
