@@ -9,39 +9,63 @@ kept; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, groupjoin, mixing, rules, wavelet
-from tidemark.llm.common import prepare, shield, store, table
+from tidemark.llm.common import discard, folders, prepare, shield, store, table
 from tidemark.llm.queries import END_ID, quality_model, tokenizer_path
+from tidemark.session import delete_path
 
 #: SQL cannot express the classifier, the similarity join and the tokenizer;
 #: tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
+#: Working folders of the last stage. Its output has been written when the
+#: next stage begins, so nothing reads them any more.
+_LEFT: list[str] = []
+
+
+def _stage(fn):
+    """A stage that starts by deleting the last one's working folders."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        while _LEFT:
+            delete_path(spark, _LEFT.pop())
+        with folders() as made:
+            out = fn(spark, docs, sf_dir)
+        _LEFT.extend(made)
+        return out
+
+    return run
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the rule classifier rejects."""
-    prepare(spark)
     return rules.keep_good(docs, quality_model(spark, sf_dir))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    prepare(spark)
     return groupjoin.keep_one(docs)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark passage."""
-    prepare(spark)
     return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    prepare(spark)
     own, name, restore = shield(docs)
     parts = {"doc_id": name["doc_id"], "source": name["source"], "text": name["text"]}
     named = own.select("*", *[F.col(n).alias(c) for c, n in parts.items()])
@@ -49,9 +73,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return restore(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
+@_stage
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token shards and returns each document's digest from them."""
-    prepare(spark)
     return wavelet.document_digests(spark, wavelet.write_shards(docs, tokenizer_path(), END_ID))
 
 
@@ -68,5 +92,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        last, docs = docs, store(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        discard(last)
     return docs
