@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import bilinear, langid, nndescent, rules
@@ -63,11 +64,18 @@ def test_language_id(docs):
     rows = [(i, lang_text(lang, rng), lang) for i in range(240) for lang in [rng.choice(list(ALPHABETS))]]
     model = langid.train(docs(rows).where("doc_id < 200"))
     assert model.langs == sorted(ALPHABETS)
-    test = docs(rows[200:] + [(1000, None), (1001, "123 !!"), (1002, "")]).withColumn("held_out", F.lit(True))
+    test = docs(rows[200:] + [(1000, None), (1001, "123 !!"), (1002, ""), (1003, "½ ² 3 ① Ⅷ ٣ _")]).withColumn("held_out", F.lit(True))
     got = {r.doc_id: r for r in langid.predict(test, model).collect()}
     assert all(got[i].lang_pred == lang for i, _, lang in rows[200:])
     assert all(0 <= r.score <= 1 for r in got.values())
-    assert [(got[i].lang_pred, got[i].score, got[i].accepted) for i in (1000, 1001, 1002)] == [("und", 0.0, False)] * 3
+    assert [(got[i].lang_pred, got[i].score, got[i].accepted) for i in (1000, 1001, 1002, 1003)] == [("und", 0.0, False)] * 4
+    assert langid.words("x²y Ⅷé 漢字".encode()) == ["x", "y", "é", "漢字"]
+    # against the mean embedding and the softmax, text by text
+    for i, text, _ in rows[200:]:
+        grams = [g for w in langid.words(text.encode()) for g in langid.subwords(w)]
+        z = (model.logits[grams].astype(float).mean(0) + model.bias) * model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[i].score == pytest.approx(p.max(), rel=1e-9) and got[i].lang_pred == model.langs[int(p.argmax())]
 
 
 def test_language_id_odd_rows(odd):

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -135,6 +136,65 @@ def test_longest_overlap_against_all_stretches():
         assert decontam.overlap(doc, item, 0)[1] == (n if whole else max(sizes, default=0))
 
 
+def brute_contaminated(rows, items):
+    """Every alignment of every document and item at which some mask's
+    tokens are equal, verified on the tokens themselves."""
+    out = set()
+    for d, text in rows:
+        t = [x.lower() for x in re.findall(r"[0-9A-Za-z]+", text or "")]
+        for i, item in items:
+            s = [x.lower() for x in re.findall(r"[0-9A-Za-z]+", item or "")]
+            if len(s) < decontam.MIN_ITEM:
+                continue
+            if len(s) < decontam.EXACT_BELOW:
+                masks = ["1" * len(s)]
+            else:
+                masks = decontam.MASKS + (decontam.SHORT_MASKS if len(s) <= decontam.SHORT_ITEM else ())
+            for shift in range(-len(s) + 1, len(t)):
+                same = [0 <= shift + k < len(t) and t[shift + k] == s[k] for k in range(len(s))]
+                if not any(all(same[p + j] for j, b in enumerate(m) if b == "1") for m in masks for p in range(len(s) - len(m) + 1)):
+                    continue
+                whole = sum(same) >= 0.8 * len(s) and 0 <= shift <= len(t) - len(s)
+                if whole or any(same[a] and same[b] and b - a + 1 >= min(13, len(s)) and sum(same[a : b + 1]) >= 0.8 * (b - a + 1)
+                                for a in range(len(s)) for b in range(a, len(s))):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_decontamination_equals_brute_force(docs, spark):
+    """Copies of items whole or in part, with substituted words, short items
+    word for word, and words that repeat."""
+    rng = random.Random(21)
+    few = [f"t{i}" for i in range(12)]
+    items = [(i, " ".join(rng.choice(few if i % 3 == 0 else VOCAB) for _ in range(n))) for i, n in enumerate([3, 4, 5, 6, 7, 7, 8, 9, 12, 13, 16, 20, 21, 30, 45, 40])]
+    items += [(90, "same " * 20), (91, "a b " * 15), (92, "one two"), (93, "x")]
+    rows = []
+    for d in range(60):
+        text = words(rng.randint(0, 25), rng)
+        for _ in range(rng.randint(0, 2)):
+            copy = rng.choice(items)[1].split()
+            a = rng.randint(0, max(0, len(copy) - 14)) if rng.random() < 0.4 else 0
+            copy = copy[a : len(copy) - (rng.randint(0, 5) if rng.random() < 0.3 else 0)]
+            for _ in range(rng.randint(0, max(1, len(copy) // 5))):
+                if copy and rng.random() < 0.7:
+                    copy[rng.randrange(len(copy))] = "zzz"
+            text += copy + words(rng.randint(0, 9), rng)
+        rows.append((d, " ".join(text)))
+    rows += [(100, "same " * 300), (101, "b a " * 200), (102, "one two x")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(rows), bench).collect()}
+    want = brute_contaminated(rows, items)
+    assert got == want and len(want) > 25 and any(0 < i < 4 for _, i in want)
+    assert decontam.left_out(bench) == 3
+
+
+def test_repeated_tokens_meet_as_runs():
+    t = decontam.tokens(b"w " * 4000)
+    places, n, h = decontam.runs(*decontam.seeds(t))
+    assert len(h) == len(decontam.MASKS + decontam.SHORT_MASKS) and n.sum() == sum(4001 - len(m) for m in decontam.MASKS + decontam.SHORT_MASKS)
+
+
 def test_decontamination_odd_rows(odd, spark):
     bench = spark.createDataFrame([(1, "a b c d e f g h"), (1, "a b c d e f g h"), (None, "é ü " * 10), (2, "")], "item_id long, text string")
     found = {(r.doc_id, r.item_id) for r in decontam.contaminated(odd, bench).collect()}

@@ -18,9 +18,17 @@ The benchmark's seeds are put in two bounded bitmaps (``sharedbits``) that
 drop nearly all document seeds before the join; the join itself is an
 ordinary Spark join, so a benchmark of any size works.
 
-Null texts are empty. Items of fewer than ``MIN_ITEM`` tokens take no part:
-such strings occur in clean documents by chance. Repeated items or documents
-are matched row by row; equal rows give one result.
+Items of fewer than ``EXACT_BELOW`` tokens are met whole and word for word,
+by one seed of their length. Items of fewer than ``MIN_ITEM`` (a parameter)
+take no part, since one or two words occur in clean documents by chance;
+``left_out`` counts them.
+
+Consecutive places with one seed (repeated words) travel as one run; two
+runs meet in an interval of alignments, so a text of one word repeated n
+times and an item of m give n + m alignments, not n times m.
+
+Null texts are empty. Repeated items or documents are matched row by row;
+equal rows give one result.
 """
 
 from __future__ import annotations
@@ -41,7 +49,8 @@ SHORT_MASKS = ("110111", "11100011", "1011011")
 SHORT_ITEM = 20
 MIN_TOKENS = 13
 MIN_EQUAL = 0.8
-MIN_ITEM = 8
+EXACT_BELOW = 8
+MIN_ITEM = 4
 
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -52,10 +61,11 @@ def tokens(text: bytes) -> np.ndarray:
     return hash_words(_TOKEN.findall(text.decode().lower().encode()))
 
 
-def seeds(t: np.ndarray, masks=MASKS + SHORT_MASKS) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of every mask at every place it fits."""
+def seeds(t: np.ndarray, masks=MASKS + SHORT_MASKS, exact=()) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of every mask at every place it fits, then of every
+    run of ``exact`` lengths."""
     places, out = [], []
-    for number, mask in enumerate(masks):
+    for number, mask in [*enumerate(masks), *((1000 + n, "1" * n) for n in exact)]:
         n = len(t) - len(mask) + 1
         if n > 0:
             h = np.full(n, number + 1, np.uint64)
@@ -69,6 +79,24 @@ def seeds(t: np.ndarray, masks=MASKS + SHORT_MASKS) -> tuple[np.ndarray, np.ndar
     return np.concatenate(places), np.concatenate(out)
 
 
+def runs(places: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first places, lengths, hashes) of runs of one seed at consecutive places."""
+    if not len(h):
+        return places, places, h
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (places[1:] != places[:-1] + 1)])
+    return places[first], np.diff(np.r_[first, len(h)]), h[first]
+
+
+def left_out(benchmark: DataFrame, min_item: int = MIN_ITEM) -> int:
+    """Items, not empty, that are too short to take part."""
+
+    def short(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([0 < len(tokens(x)) < min_item for x in binary_list(batch.column("text"))], pa.bool_()).cast(pa.int64())})
+
+    return benchmark.select("text").mapInArrow(short, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def _second(h: np.ndarray) -> np.ndarray:
     return mix(h ^ np.uint64(0xD6E8FEB86659FD93))
 
@@ -99,20 +127,32 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, min_equal: float = MI
     return lo + start, end - start, int(equal[start:end].sum())
 
 
-def _item_seeds(batches):
+def _item_seeds(min_item: int):
+    def run(batches):
+        for batch in batches:
+            out = [[], [], [], [], []]
+            for key, item_id, text in zip(batch.column("item").to_pylist(), batch.column("item_id").to_pylist(), binary_list(batch.column("text"))):
+                t = tokens(text)
+                if len(t) < min_item:
+                    continue
+                if len(t) < EXACT_BELOW:
+                    places, n, h = runs(*seeds(t, (), (len(t),)))
+                else:
+                    places, n, h = runs(*seeds(t, MASKS + SHORT_MASKS if len(t) <= SHORT_ITEM else MASKS))
+                out[0].extend([key] * len(h))
+                out[1].extend([item_id] * len(h))
+                out[2].extend(places.tolist())
+                out[3].extend(n.tolist())
+                out[4].extend(h.view(np.int64).tolist())
+            yield pa.RecordBatch.from_pydict({"item": pa.array(out[0], pa.int64()), "item_id": pa.array(out[1], pa.int64()), "item_place": pa.array(out[2], pa.int32()),
+                                              "item_n": pa.array(out[3], pa.int32()), "h": pa.array(out[4], pa.int64())})
+
+    return run
+
+
+def _token_counts(batches):
     for batch in batches:
-        out = [[], [], [], []]
-        for key, item_id, text in zip(batch.column("item").to_pylist(), batch.column("item_id").to_pylist(), binary_list(batch.column("text"))):
-            t = tokens(text)
-            if len(t) < MIN_ITEM:
-                continue
-            places, h = seeds(t, MASKS + SHORT_MASKS if len(t) <= SHORT_ITEM else MASKS)
-            out[0].extend([key] * len(h))
-            out[1].extend([item_id] * len(h))
-            out[2].extend(places.tolist())
-            out[3].extend(h.view(np.int64).tolist())
-        yield pa.RecordBatch.from_pydict({"item": pa.array(out[0], pa.int64()), "item_id": pa.array(out[1], pa.int64()),
-                                          "item_place": pa.array(out[2], pa.int32()), "h": pa.array(out[3], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(tokens(x)) for x in binary_list(batch.column("text"))], pa.int32())})
 
 
 def _token_rows(batches):
@@ -129,17 +169,21 @@ def _column_hashes(f):
     return read
 
 
-_HITS = "doc_id long, row_key long, tokens binary, hits array<struct<h:bigint,place:int>>"
+_HITS = "doc_id long, row_key long, tokens binary, hits array<struct<h:bigint,place:int,n:int>>"
 _HITS_ARROW = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("tokens", pa.binary()),
-                         ("hits", pa.list_(pa.struct([("h", pa.int64()), ("place", pa.int32())])))])
+                         ("hits", pa.list_(pa.struct([("h", pa.int64()), ("place", pa.int32()), ("n", pa.int32())])))])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_equal: float = MIN_EQUAL) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TOKENS, min_equal: float = MIN_EQUAL,
+                 min_item: int = MIN_ITEM) -> DataFrame:
     """Verified overlaps, one row per document row and benchmark item:
     doc_id, row_key (``common.text_key`` of the text), item_id, first_token,
     overlap_tokens, equal_tokens (of the longest overlap)."""
     items = store(benchmark.select("item_id", "text", F.xxhash64("item_id", "text").alias("item")).distinct(), "bench_items")
-    bench = store(items.select("item", "item_id", "text").mapInArrow(_item_seeds, "item long, item_id long, item_place int, h long"), "bench_seeds")
+    bench = store(items.select("item", "item_id", "text").mapInArrow(_item_seeds(min_item), "item long, item_id long, item_place int, item_n int, h long"), "bench_seeds")
+    # lengths of the items that are met whole, a few numbers
+    short = items.select("text").mapInArrow(_token_counts, "n int").where((F.col("n") >= min_item) & (F.col("n") < EXACT_BELOW)).distinct()
+    exact = sorted(r["n"] for r in short.collect())
     hashes = bench.select("h")
     one = count_bits(hashes, _column_hashes(lambda h: h), (1,))[0]
     two = count_bits(hashes, _column_hashes(_second), (1,))[0]
@@ -150,14 +194,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
             rows = []
             for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("row_key").to_pylist(), binary_list(batch.column("text"))):
                 t = tokens(text)
-                places, h = seeds(t)
+                places, h = seeds(t, exact=exact)
                 on = is_set(first, h)
                 places, h = places[on], h[on]
                 if len(h):
                     on = is_set(second, _second(h))
                     places, h = places[on], h[on]
                 if len(h):
-                    hits = [{"h": a, "place": b} for a, b in zip(h.view(np.int64).tolist(), places.tolist())]
+                    places, n, h = runs(places, h)
+                    hits = [{"h": a, "place": b, "n": c} for a, b, c in zip(h.view(np.int64).tolist(), places.tolist(), n.tolist())]
                     rows.append({"doc_id": doc_id, "row_key": key, "tokens": t.tobytes(), "hits": hits})
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_HITS_ARROW)
@@ -165,8 +210,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     hit = store(docs.select("doc_id", text_key(F.col("text")).alias("row_key"), "text").mapInArrow(find, _HITS), "bench_hits")
     pairs = (hit.select("doc_id", "row_key", F.explode("hits").alias("hit"))
              .join(bench, F.col("hit.h") == F.col("h"))
-             .groupBy("doc_id", "row_key", "item", "item_id")
-             .agg(F.collect_set(F.col("hit.place") - F.col("item_place")).alias("shifts")))
+             .select("doc_id", "row_key", "item", "item_id",
+                     F.explode(F.sequence(F.col("hit.place") - F.col("item_place") - F.col("item_n") + 1,
+                                          F.col("hit.place") + F.col("hit.n") - 1 - F.col("item_place"))).alias("shift"))
+             .groupBy("doc_id", "row_key", "item", "item_id").agg(F.collect_set("shift").alias("shifts")))
     item_tokens = store(items.select("item", "text").mapInArrow(_token_rows, "item long, item_tokens binary"), "bench_tokens")
     # equal rows share doc_id and key: one of them stands for all
     bodies = hit.select(F.col("doc_id").alias("d"), F.col("row_key").alias("k"), "tokens").dropDuplicates(["d", "k"])

@@ -40,6 +40,7 @@ PRECISION = 0.99
 UNKNOWN = "und"
 #: Words whose logits a task keeps before it starts anew (a memory bound).
 _CACHE = 300_000
+#: Runs of letters and of numerals such as \u00bd that are no decimal digits.
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -53,7 +54,11 @@ def subwords(word: str) -> list[int]:
 
 
 def words(text: bytes) -> list[str]:
-    return _WORD.findall(text.decode().lower())
+    """The lower-cased runs of letters."""
+    runs = _WORD.findall(text.decode().lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for run in runs for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 @dataclass
