@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import bilinear, langid, nndescent, rules
@@ -110,6 +111,39 @@ def test_language_model_counts_and_normalisation(docs):
             assert math.isclose(sum(math.exp(scorer.logp(np.array([a]), np.array([b]), np.array([t]))[0]) for t in range(3)), 1, rel_tol=1e-5)
 
 
+def test_language_model_scores_equal_a_direct_sum(docs, monkeypatch):
+    """Every token's probability from the parameters by a plain softmax over
+    all rows; few model words, so that most words are known by their class."""
+    rng = random.Random(8)
+    monkeypatch.setattr(bilinear, "WORDS", 6)
+    rows = [(i, " ".join(rng.choice(["aa", "bb", "cc", "dd"]) + rng.choice(["ing", "ed", "es", ""]) + rng.choice(["", "", str(rng.randint(0, 40))]) for _ in range(30))) for i in range(40)]
+    df = docs(rows).withColumn("held_out", F.col("doc_id") % 4 == 0)
+    kept = {}
+    monkeypatch.setattr(bilinear, "train", lambda blocks, top, totals, f=bilinear.train: kept.setdefault("x", (f(blocks, top, totals), top, totals))[0])
+    count = bilinear.count_words
+    monkeypatch.setattr(bilinear, "count_words", lambda blocks: count(blocks, 6))
+    got = {r.doc_id: r.score for r in bilinear.score_documents(df).collect()}
+    p, top, totals = kept["x"]
+    counts = Counter(w for i, t in rows if i % 4 for w in t.encode().split())
+    place = {h: i for i, (h, _) in enumerate(top)}
+    sub = lambda w: xxhash.xxh32_intdigest(w[-3:]) % bilinear.CLASSES
+    row = lambda w: place.get(int(bilinear.hash_words([w]).view(np.int64)[0]), len(top) + sub(w))
+    inside = [w for w in counts if row(w) >= len(top)]
+    end = len(top) + bilinear.CLASSES
+    assert totals.class_tokens.sum() == sum(counts[w] for w in inside) and totals.class_distinct.sum() == len(inside)
+    for i, t in rows:
+        last, before, want = end + 1, end + 1, 0.0
+        for w in [*t.encode().split(), None]:
+            k = end if w is None else row(w)
+            z = ((p.inp[last] * p.place[0] + p.inp[before] * p.place[1]).astype(float) @ p.out.T.astype(float)) + p.bias
+            want += (z[k] - z.max() - np.log(np.exp(z - z.max()).sum())) / math.log(10)
+            if w is not None and k >= len(top):
+                mine = [x for x in inside if row(x) == k]
+                want += math.log10((counts[w] + 1) / (sum(counts[x] for x in mine) + len(mine) + 1))
+            last, before = k, last
+        assert got[i] == pytest.approx(want, rel=1e-4)
+
+
 def test_language_model_odd_rows(odd, docs):
     got = bilinear.score_documents(odd.withColumn("held_out", F.lit(False))).collect()
     assert len(got) == odd.count() and all(math.isfinite(r.score) for r in got)
