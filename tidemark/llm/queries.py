@@ -30,7 +30,7 @@ def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return wavelet.document_digests(spark, wavelet.write_shards(docs, tokenizer_path(), END_ID))
+    return wavelet.document_digests(spark, wavelet.write_shards(docs, tokenizer_path, END_ID))
 
 
 def op3_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:

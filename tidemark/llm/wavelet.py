@@ -30,7 +30,7 @@ import json
 import re
 import string
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -296,11 +296,13 @@ class Shard:
         return np.array(out, np.int64)
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str | None = None, shard_tokens: int = SHARD_TOKENS) -> str:
+def write_shards(docs: DataFrame, tokenizer: str | Callable[[], str], end_id: int, path: str | None = None, shard_tokens: int = SHARD_TOKENS) -> str:
     """Encode ``docs`` (doc_id, text) and write the shards; returns the path.
 
     One range shuffle by doc_id puts documents in order; the number of
     ranges is the session's shuffle partitions. Extra columns are ignored.
+    ``tokenizer`` is the file's place, or a function that gives it on each
+    worker.
     """
     spark = docs.sparkSession
     path = path or scratch_dir(spark, "token_shards")
@@ -309,9 +311,10 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int, path: str | None
             .select("doc_id", "text"))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _ENCODERS.get(tokenizer)
+        file = tokenizer() if callable(tokenizer) else tokenizer
+        enc = _ENCODERS.get(file)
         if enc is None:
-            enc = _ENCODERS[tokenizer] = WordEncoder(tokenizer)
+            enc = _ENCODERS[file] = WordEncoder(file)
         part, seq = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, list]] = []
         size = 0
