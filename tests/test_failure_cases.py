@@ -110,6 +110,20 @@ def test_additive_column_allowed_or_not(spark):
         ct.validate_contract(df.drop("source_file_name", "load_ts"), strict)
 
 
+def test_types_are_told_by_all_values(spark):
+    rows = [("1", "1.5", "2024-03-01 10:00:00", "true", "x", None, "7"), ("-20", "3", "2024-03-02", "FALSE", "1", None, "7 a"), (None, None, None, None, None, None, None)]
+    text = spark.createDataFrame(rows, "i string, n string, t string, b string, s string, none string, ` M ` string")
+    got = {r.column_name: r.contract_type for r in ct.observed_columns(text).collect()}
+    assert got == {"i": "integer", "n": "number", "t": "datetime", "b": "boolean", "s": "string", "none": "string", "m": "string"}
+    assert ct.observed_columns(text.limit(0)).count() == 7
+    expected = spark.createDataFrame([(1, "i", "integer", True), (2, "n", "integer", False), (3, "gone", "string", True), (4, "later", "string", False)],
+                                     "ordinal_position int, column_name string, expected_type string, is_required boolean")
+    for allow in (True, False):
+        status = {r.column_name: (r.validation_status, r.breaks_contract) for r in ct.contract_status(expected, ct.observed_columns(text.select("i", "n", "s")), allow).collect()}
+        assert status == {"i": ("PASSED", False), "n": ("TYPE_MISMATCH", True), "gone": ("MISSING_COLUMN", True), "later": ("MISSING_COLUMN", False),
+                          "s": ("ADDITIVE_COLUMN_DETECTED", not allow)}
+
+
 def test_optional_column_absent_is_typed_null(spark):
     stg = stg_sales(raw_df(spark, [row()]), include_optional=True)
     assert dict(stg.dtypes)["sales_channel"] == "string"

@@ -4,9 +4,9 @@ Two families, as in the reference:
 
 * row checks (``check_*``) return the failing rows (empty = pass);
 * metric checks (``Check``) compute one number per check and compare it to
-  a threshold. ``quality_report`` evaluates a whole suite with one pass per
-  table (scalar metrics folded into the duplicate-count group-by, see
-  ``metric_report``) and returns one row per check.
+  a threshold. ``quality_report`` evaluates a whole suite, per table one
+  global aggregate for the scalar metrics and a group-by for each duplicate
+  check (see ``metric_report``), and returns one row per check.
 """
 
 from __future__ import annotations
