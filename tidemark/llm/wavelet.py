@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 import re
 import string
 import zlib
@@ -49,8 +50,8 @@ SHARD_SCHEMA = ("part int, seq int, n long, doc_id array<bigint>, ends array<big
                 "zeros array<bigint>, planes array<binary>, ranks array<binary>")
 # Word pieces kept by a worker's cache before it starts anew, and text bytes
 # encoded at once (memory bounds).
-CACHE_PIECES = 350_000
-BLOCK_BYTES = 1 << 21
+CACHE_PIECES = 250_000
+BLOCK_BYTES = 3 << 19
 # Punctuation that a pre-tokenizer of letters, digits and other marks always
 # cuts from the letters before it. The apostrophe is not one: "'s" is a token.
 _TAIL = "".join(c for c in string.punctuation if c != "'")
@@ -96,6 +97,8 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        # one thread a task: others' memory would count against the executor
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -189,7 +192,7 @@ class WordEncoder:
         words = lists.flatten().cast(pa.string()).dictionary_encode()
         which = words.indices.to_numpy(zero_copy_only=False)
         first, second = self._pieces(words.dictionary)
-        at = np.empty(2 * len(which), np.int64)
+        at = np.empty(2 * len(which), np.int32)
         at[0::2], at[1::2] = first[which], second[which]
         at_n = self.lens[at]
         out_end = np.cumsum(at_n)
