@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -65,12 +66,22 @@ def prepare(spark: SparkSession) -> None:
 _RELEASED = [0.0]
 
 
+def give_back() -> None:
+    """Hand freed memory of this process back to the system: a model's
+    training data would else stay with the driver for the rest of the job."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished steps: it
     does so once the driver's garbage collector has met them, which on a
     quiet driver can take longer than the whole job."""
     if time.monotonic() - _RELEASED[0] > 2:
         gc.collect()
+        give_back()
         spark.sparkContext._jvm.System.gc()
         _RELEASED[0] = time.monotonic()
 
