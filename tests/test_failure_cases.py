@@ -15,6 +15,7 @@ from tidemark.operators import marts, quality
 from tidemark.operators.fact import fct_sales, incremental_filter, merge_keyed
 from tidemark.operators.intermediate import int_sales_enriched
 from tidemark.operators.staging import quarantine_rows, stg_sales
+from tidemark.session import materialize
 from tidemark.sinks import landing as ld
 from tidemark.sinks.fact_table import FactTable
 from tidemark.sources import files as fs
@@ -437,3 +438,21 @@ def test_file_completeness_reports_missing_and_unexpected(spark):
     assert (r.expected_files, r.loaded_files, r.missing_files, r.unexpected_files, r.all_loaded) == (3, 3, 1, 1, False)
     ok = sm.all_files_loaded(expected.limit(2), loaded.filter("source_file_name != 'zzz.csv'")).first()
     assert ok.all_loaded
+
+
+def test_first_upsert_writes_its_rows_once(spark, monkeypatch, tmp_path):
+    """Stored rows are written before a merge; the first rows go straight to the table, which tells the ledger."""
+    from tidemark.sinks import fact_table as ft
+
+    written = []
+    monkeypatch.setattr(ft, "materialize", lambda df, name: (written.append(name), materialize(df, name))[1])
+    table = ft.FactTable(spark, str(tmp_path / "t"))
+    rows = "sales_event_key string, source_file_name string, load_ts timestamp, v int"
+    t1, t2 = datetime(2024, 3, 1), datetime(2024, 3, 2)
+    table.upsert(spark.createDataFrame([("a", "f", t1, 1), ("b", None, t2, 2)], rows))
+    assert written == [] and table.entries().select("rows", "newest").collect() == [(2, t2)]
+    table.upsert(spark.createDataFrame([("a", "f", t2, 3)], rows))
+    assert written == ["fact_delta"] and sorted(r.v for r in table.read().collect()) == [2, 3]
+    empty = ft.FactTable(spark, str(tmp_path / "e"))
+    empty.upsert(spark.createDataFrame([], rows), 0)
+    assert empty.applied(0)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.fact import EMPTY_TARGET_FLOOR, FACT_KEY, merge_keyed
-from tidemark.session import delete_path, materialize, path_exists
+from tidemark.session import CODEC, delete_path, materialize, path_exists
 
 PART = "file_part"
 
@@ -35,7 +35,7 @@ def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame
     Rows of a partition are gathered, an oversized one over several tasks."""
     spark = rows.sparkSession
     rows = materialize(rows, "partitions")  # read twice, and may stem from ``path``
-    (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
      .partitionBy(part).parquet(path))
     if touched is not None:
         for r in touched.join(rows.select(part).distinct(), part, "left_anti").distinct().collect():
@@ -73,13 +73,17 @@ class FactTable:
         batch id that has been applied before is skipped."""
         if batch_id is not None and self.applied(batch_id):
             return
-        delta = materialize(delta.withColumn(PART, self._part()), "fact_delta")
+        delta = delta.withColumn(PART, self._part())
+        first = not self.exists()
         rows = delta
-        if self.exists():
+        if not first:
+            delta = materialize(delta, "fact_delta")  # read several times
             touched = self._stored(delta.schema).join(delta.select(PART).distinct(), PART, "left_semi")
             rows = merge_keyed(touched, delta, [self.key, PART])
-        (rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
          .partitionBy(PART).parquet(self.data))
+        if first and self.exists():  # the table is the delta
+            delta = self._stored(delta.schema)
         entry = f"batch-{batch_id}" if batch_id is not None else uuid.uuid4().hex
         newest = F.max(F.col(self.loaded).cast("timestamp")) if self.loaded in delta.columns else F.lit(None).cast("timestamp")
         delta.agg(F.count("*").alias("rows"), newest.alias("newest")).write.mode("overwrite").parquet(f"{self.ledger}/entry={entry}")
