@@ -291,6 +291,22 @@ def test_suffix_sort_orders_and_survives_collisions():
     assert s.equal_runs(order) is None
 
 
+def test_suffix_sort_merges_one_suffix_a_tied_window(monkeypatch):
+    """First bytes that differ need no merge; equal windows are merged once."""
+    merged = []
+    real = suffixes.Suffixes.merged
+    monkeypatch.setattr(suffixes.Suffixes, "merged", lambda self, x: merged.append(len(x)) or real(self, x))
+    unlike = bytes(range(40))
+    for data, n in ((unlike, None), (unlike * 30, None), ((b"a" * 12 + b"b" + b"a" * 12 + b"c") * 30, 26)):
+        merged.clear()
+        s = suffixes.Suffixes(data, 20)
+        at = np.arange(len(data) - 20)
+        windows = [data[i : i + 20] for i in at[s.sort(at)]]
+        assert windows == sorted(windows)
+        assert (not merged) if n is None else merged[0] <= n
+    assert len(s.sort(np.arange(0))) == 0
+
+
 def test_segments_cover_each_window_once():
     rng = np.random.default_rng(2)
     lens = np.array([0, 5, 20, 19, 200, 0, 21, 64])
