@@ -196,3 +196,11 @@ def test_subwords_hold_all_grams_up_to_four():
     w = "<haus>"
     for n in (1, 2, 3, 4):
         assert {xxhash.xxh32_intdigest(w[i : i + n]) % langid.BUCKETS for i in range(len(w) - n + 1)} <= grams
+
+
+def test_row_sums_are_those_of_one_count_a_column():
+    rng = np.random.default_rng(5)
+    index, rows = rng.integers(0, 40, 5000), rng.normal(size=(5000, 24)).astype(np.float32)
+    single = np.stack([np.bincount(index, rows[:, j], 50) for j in range(24)], 1).astype(np.float32)
+    assert np.array_equal(bilinear._sum_rows(index, rows, 50), single)
+    assert not bilinear._sum_rows(index[:0], rows[:0], 50).any()

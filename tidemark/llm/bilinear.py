@@ -165,7 +165,13 @@ class Params:
 
 
 def _sum_rows(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    return np.stack([np.bincount(index, rows[:, j], size) for j in range(rows.shape[1])], 1).astype(np.float32)
+    """Rows summed by ``index`` in double precision, in the order they come."""
+    at = np.argsort(index, kind="stable")
+    index = index[at]
+    first = np.flatnonzero(np.r_[True, index[1:] != index[:-1]][: len(index)])
+    out = np.zeros((size, rows.shape[1]), np.float32)
+    out[index[first]] = np.add.reduceat(rows[at], first, axis=0, dtype=np.float64)
+    return out
 
 
 def train_block(p: Params, one: np.ndarray, two: np.ndarray, target: np.ndarray, unigram: np.ndarray, seed: int, rate: float = 0.05) -> Params:
