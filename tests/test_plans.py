@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions.columns import to_whole_number
 from tidemark.plans.catalog import QUERIES
+from tidemark.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +54,19 @@ def test_daily_mart_aggregates_before_joining_the_dimension(spark):
     join_line = next(i for i, ln in enumerate(plan.splitlines()) if "Join [order_date], [date_day]" in ln)
     agg_line = next(i for i, ln in enumerate(plan.splitlines()) if "HashAggregate(keys=[order_date]" in ln)
     assert agg_line > join_line  # the aggregate feeds the join
+
+
+def test_whole_numbers_take_no_decimal_where_text_is_plain(spark):
+    kept = to_whole_number(F.col("v"), T.StringType(), lenient=True)
+    assert "coalesce" in spark.createDataFrame([], "v string").select(kept)._jdf.queryExecution().analyzed().toString()
+    rows = spark.createDataFrame([(v,) for v in ("12", " +7 ", "9.6", "-9.5", "1e3", "two", "", None, "9" * 19, "9223372036854775807")], "v string")
+    assert [r[0] for r in rows.select(kept).collect()] == [12, 7, 10, -10, 1000, None, None, None, None, 2**63 - 1]
+
+
+def test_tests_of_landed_rows_are_compiled(spark, tmp_root):
+    """A lambda (array_compact) would interpret every cast under it."""
+    spark.createDataFrame([("1", "two")], "order_id string, quantity string").write.option("header", True).csv(tmp_root)
+    rows = files.scan_text(spark, tmp_root)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "TRY_CAST" in plan.upper()
+    assert [c for c in rows.first().failed_columns if c in ("order_id", "quantity")] == ["quantity"]
