@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import to_whole_number
+from tidemark.operators.staging import stg_sales
 from tidemark.plans.catalog import QUERIES
 from tidemark.sources import files
 
@@ -56,6 +57,16 @@ def test_daily_mart_aggregates_before_joining_the_dimension(spark):
     assert agg_line > join_line  # the aggregate feeds the join
 
 
+def test_dedup_orders_by_columns_as_they_are(spark):
+    """No copy of a raw column lies beside it in the dedup's sort."""
+    plan = _plan(spark, "stg_sales")
+    sort = next(ln for ln in plan.splitlines() if "Sort [_key" in ln)
+    assert "product_id ASC" in sort and "discount_amount ASC" in sort and "_order_1" not in plan
+    raw = spark.createDataFrame([(1, "b", "f", " b ", "2"), (1, "b", "f", "A", "10")], "order_id long, batch_id string, source_file_name string, order_status string, quantity string")
+    assert [r.quantity for r in stg_sales(raw, ["quantity"]).collect()] == [2]  # text is ordered by its number
+    assert [r.order_status for r in stg_sales(raw, ["order_status"]).collect()] == ["A"]  # and normalised text as it is staged
+
+
 def test_whole_numbers_take_no_decimal_where_text_is_plain(spark):
     kept = to_whole_number(F.col("v"), T.StringType(), lenient=True)
     assert "coalesce" in spark.createDataFrame([], "v string").select(kept)._jdf.queryExecution().analyzed().toString()
