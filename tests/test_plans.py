@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import to_whole_number
+from tidemark.operators import quality
 from tidemark.operators.staging import stg_sales
-from tidemark.plans.catalog import QUERIES
+from tidemark.plans.catalog import QUERIES, _check_tables
 from tidemark.sources import files
 
 SF = "/root/testdata/sf0.001"
@@ -67,6 +68,15 @@ def test_dedup_orders_by_columns_as_they_are(spark):
     assert [r.order_status for r in stg_sales(raw, ["order_status"]).collect()] == ["A"]  # and normalised text as it is staged
 
 
+def test_row_counts_write_of_the_fact_what_the_marts_read(spark):
+    fct = _check_tables(spark, SF, [c for c in quality.ALL_CHECKS if c.kind == "row_count"])["fct_sales"]
+    assert {"order_date", "customer_id", "source_file_name"} <= set(fct.columns) and "sales_event_key" not in fct.columns
+    assert "sales_event_key" in _check_tables(spark, SF, quality.ALL_CHECKS)["fct_sales"].columns
+    named = quality.checked_columns([quality.Check("t", "failed_rows", predicate="Upper(a) <> b_2"), quality.Check("t", "min", "c"), quality.Check("u", "min", "d")],
+                                    "t", ["a", "b", "b_2", "c", "d"])
+    assert named == ["a", "b_2", "c"]
+
+
 def test_whole_numbers_take_no_decimal_where_text_is_plain(spark):
     kept = to_whole_number(F.col("v"), T.StringType(), lenient=True)
     assert "coalesce" in spark.createDataFrame([], "v string").select(kept)._jdf.queryExecution().analyzed().toString()

@@ -23,6 +23,16 @@ DATE_ATTRS = [
 ]
 
 
+#: What each mart reads of the fact.
+FACT_INPUT = {
+    "mart_sales_daily_kpi": ["order_date", "customer_id", "order_status", "is_completed_order", "gross_amount", "discount_amount", "net_amount", "load_ts"],
+    "mart_customer_sales_kpi": ["customer_id", "order_date", "is_completed_order", "is_failed_or_reversed_order", "net_amount"],
+    "mart_product_category_sales_kpi": ["product_category", "product_id", "customer_id", "is_completed_order", "is_failed_or_reversed_order",
+                                        "gross_amount", "discount_amount", "net_amount", "load_ts"],
+    "mart_load_audit": ["source_file_name", "load_ts"],
+}
+
+
 def _stamp(cols: list, stamp: bool, as_of: datetime | None) -> list:
     return cols + [audit_stamp(as_of)] if stamp else cols
 
