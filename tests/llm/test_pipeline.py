@@ -39,3 +39,22 @@ def test_entry_registers_pipeline_and_queries():
     for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
+
+
+def test_workers_give_memory_back_after_the_last_row(monkeypatch):
+    from tidemark.llm import common
+
+    told = []
+    monkeypatch.setattr(common, "give_back", lambda: told.append("back"))
+
+    @common.lean
+    def double(batches):
+        for x in batches:
+            told.append(x)
+            yield 2 * x
+
+    assert list(double(iter([1, 2]))) == [2, 4] and told == [1, 2, "back"]
+    left = double(iter([3, 4]))
+    assert next(left) == 6
+    left.close()  # a task that is ended early gives back too
+    assert told[-2:] == [3, "back"]

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_list, hash_words, mix, shield, store, text_key
+from .common import binary_list, hash_words, lean, mix, shield, store, text_key
 from .sharedbits import count_bits, is_set
 
 #: 1: token counts, 0: token is ignored.
@@ -188,6 +188,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     one = count_bits(hashes, _column_hashes(lambda h: h), (1,))[0]
     two = count_bits(hashes, _column_hashes(_second), (1,))[0]
 
+    @lean
     def find(batches):
         first, second = one.value, two.value
         for batch in batches:
@@ -220,6 +221,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_tokens: int = MIN_TO
     full = (store(pairs, "bench_pairs").join(bodies, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row_key") == F.col("k")))
             .join(item_tokens, "item").select("doc_id", "row_key", "item_id", "shifts", "tokens", "item_tokens"))
 
+    @lean
     def verify(batches):
         for batch in batches:
             rows = []

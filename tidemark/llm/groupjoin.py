@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import binary_list, components, discard, gram_hashes, hash_words, partitions, shield, store, text_key
+from .common import binary_list, components, discard, gram_hashes, hash_words, lean, partitions, shield, store, text_key
 from .sharedbits import count_bits, is_set
 
 SHINGLE = 5
@@ -85,6 +85,7 @@ def shingle_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     (once for each task and set)."""
     repeated, often = count_bits(docs.select("text"), _counted, (2, OFTEN))
 
+    @lean
     def build(batches):
         seen: set[bytes] = set()
         bits = (repeated.value, often.value)
@@ -126,6 +127,7 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def _check_pairs(pairs: DataFrame, percent: int) -> DataFrame:
     """Linked (a, b) among rows (a, b, sa, sb) of nodes with their sets."""
 
+    @lean
     def check(batches):
         for batch in batches:
             sa, sb = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
@@ -245,6 +247,7 @@ def _inside(opened: DataFrame, asked: DataFrame, member: DataFrame, few: DataFra
             .union(opened.join(dealt, "grp").join(member.select("node", "comp"), "node").select("grp", salt.alias("salt"), F.lit(1).alias("asks"), "node", "comp")))
     rows = rows.join(few, "node").repartition(partitions(spark), "grp", "salt").sortWithinPartitions("grp", "salt", "asks")
 
+    @lean
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, members = None, []
         for batch in batches:
@@ -282,6 +285,7 @@ def _unions(members: DataFrame) -> DataFrame:
 def _bounded(asks: DataFrame, percent: int) -> DataFrame:
     """(node, grp) whose overlap with the group's union can reach a link."""
 
+    @lean
     def bound(batches):
         for batch in batches:
             keep = []

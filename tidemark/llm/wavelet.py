@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import scratch_dir
 
-from .common import partitions, text_blocks
+from .common import give_back, lean, partitions, text_blocks
 
 SHARD_TOKENS = 1 << 18
 STEP = 512
@@ -313,11 +313,13 @@ def write_shards(docs: DataFrame, tokenizer: str | Callable[[], str], end_id: in
     rows = (rows.repartitionByRange(partitions(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
             .select("doc_id", "text"))
 
+    @lean
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = tokenizer() if callable(tokenizer) else tokenizer
         enc = _ENCODERS.get(file)
         if enc is None:
             enc = _ENCODERS[file] = WordEncoder(file)
+            give_back()  # what reading the file took
         part, seq = TaskContext.get().partitionId(), 0
         held: list[tuple[np.ndarray, np.ndarray, list]] = []
         size = 0
@@ -374,6 +376,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files."""
 
+    @lean
     def digest(batches):
         for batch in batches:
             for r in batch.to_pylist():
