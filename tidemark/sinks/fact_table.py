@@ -6,7 +6,9 @@ key meet in one partition and an upsert recomputes only the partitions that
 the incoming rows touch: stored rows of those partitions without the incoming
 keys, union the incoming rows, written with dynamic partition overwrite. A
 delta of new files only adds partitions. Untouched files are neither read
-(dynamic partition pruning) nor written.
+(dynamic partition pruning) nor written. The files that table and delta
+share are written first, as a few rows: known to be small, they prune the
+scan, and only rows of these files meet the incoming keys.
 
 Beside the data stands a ledger of the upserts: rows, newest load time, and
 the batch id of a stream's batch, written after the data. It gives the
@@ -18,28 +20,39 @@ which changes nothing.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.columns import pack_digests, unpack_digests
 from tidemark.operators.fact import EMPTY_TARGET_FLOOR, FACT_KEY, merge_keyed
-from tidemark.session import CODEC, delete_path, materialize, path_exists
+from tidemark.session import CODEC, delete_path, kept_for, materialize, materialized, path_exists, shuffles_dropped
 
 PART = "file_part"
 
 
+def gathered(rows: DataFrame, part: str, key: str | None = None) -> DataFrame:
+    """``rows`` gathered by ``part``, an oversized part over several tasks;
+    digests of the column ``key`` travel as bytes."""
+    if key is None or dict(rows.dtypes).get(key) != "string":
+        return rows.hint("rebalance", part)
+    return unpack_digests(pack_digests(rows, key).hint("rebalance", part), key, rows.columns)
+
+
 def replace_partitions(rows: DataFrame, path: str, part: str, touched: DataFrame | None = None) -> None:
     """Write ``rows`` over the partitions of ``path`` that they fall in; a
     partition of ``touched`` (one column ``part``) without rows disappears.
     Rows of a partition are gathered, an oversized one over several tasks."""
     spark = rows.sparkSession
-    rows = materialize(rows, "partitions")  # read twice, and may stem from ``path``
-    (rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
-     .partitionBy(part).parquet(path))
-    if touched is not None:
-        for r in touched.join(rows.select(part).distinct(), part, "left_anti").distinct().collect():
-            delete_path(spark, f"{path}/{part}={r[0]}")
+    with materialized(rows, "partitions") as rows:  # read twice, and may stem from ``path``
+        with shuffles_dropped(spark):
+            (gathered(rows, part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+             .partitionBy(part).parquet(path))
+        if touched is not None:
+            for r in touched.join(rows.select(part).distinct(), part, "left_anti").distinct().collect():
+                delete_path(spark, f"{path}/{part}={r[0]}")
 
 
 class FactTable:
@@ -68,26 +81,47 @@ class FactTable:
     def applied(self, batch_id: int) -> bool:
         return path_exists(self.spark, f"{self.ledger}/entry=batch-{batch_id}/_SUCCESS")
 
-    def upsert(self, delta: DataFrame, batch_id: int | None = None) -> None:
+    def upsert(self, delta: DataFrame, batch_id: int | None = None, stored: bool = False,
+               derive: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> None:
         """Keyed merge of ``delta`` (unique per key; incoming rows win). A
-        batch id that has been applied before is skipped."""
+        batch id that has been applied before is skipped. ``stored`` tells
+        that ``delta`` does no more than read stored rows: it is read several
+        times as it is, where another one is written first. ``derive`` gives
+        the table's rows for those of ``delta``, one by one: columns that it
+        adds to rows of new files do not travel with them."""
         if batch_id is not None and self.applied(batch_id):
             return
-        delta = delta.withColumn(PART, self._part())
-        first = not self.exists()
-        rows = delta
-        if not first:
-            delta = materialize(delta, "fact_delta")  # read several times
-            touched = self._stored(delta.schema).join(delta.select(PART).distinct(), PART, "left_semi")
-            rows = merge_keyed(touched, delta, [self.key, PART])
-        (rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
-         .partitionBy(PART).parquet(self.data))
-        if first and self.exists():  # the table is the delta
-            delta = self._stored(delta.schema)
+        if stored or not self.exists():
+            self._merge(delta, batch_id, derive)
+        else:
+            with kept_for(materialize(delta, "fact_delta")) as written:
+                self._merge(written, batch_id, derive)
+
+    def _merge(self, delta: DataFrame, batch_id: int | None, derive: Callable[[DataFrame], DataFrame]) -> None:
+        parted = lambda rows: rows.withColumn(PART, self._part())
+        schema = derive(delta).schema
+        if not self.exists():
+            self._write(parted(derive(gathered(delta, self.file, self.key))))
+            if self.exists():  # the table is the delta
+                delta = self._stored(schema)
+        else:
+            here = F.col(PART) >= ""  # each is; only a side with a filter prunes the other's scan
+            known = self.spark.read.schema(T.StructType([T.StructField(PART, T.StringType())])).parquet(self.data)
+            with (materialized(parted(delta).select(PART).distinct(), "fact_parts") as parts,
+                  materialized(known.join(parts.where(here), PART, "left_semi").distinct(), "fact_parts") as shared):
+                shared = shared.where(here)
+                merged = merge_keyed(self._stored(schema).join(shared, PART, "left_semi"), parted(derive(delta)).join(shared, PART, "left_semi"), [self.key, PART])
+                new = parted(delta).join(shared, PART, "left_anti").drop(PART)
+                self._write(gathered(merged, PART, self.key).unionByName(parted(derive(gathered(new, self.file, self.key)))))
         entry = f"batch-{batch_id}" if batch_id is not None else uuid.uuid4().hex
         newest = F.max(F.col(self.loaded).cast("timestamp")) if self.loaded in delta.columns else F.lit(None).cast("timestamp")
         delta.agg(F.count("*").alias("rows"), newest.alias("newest")).write.mode("overwrite").parquet(f"{self.ledger}/entry={entry}")
 
+    def _write(self, rows: DataFrame) -> None:
+        with shuffles_dropped(self.spark):
+            (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+             .partitionBy(PART).parquet(self.data))
+
     def entries(self) -> DataFrame:
         return self.spark.read.schema("rows long, newest timestamp, entry string").parquet(self.ledger)
 
