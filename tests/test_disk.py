@@ -84,3 +84,13 @@ def test_packed_digests_come_back_as_they_were(spark):
     packed = pack_digests(df, "k")
     assert {r.i for r in packed.where("_digest is not null").collect()} == {0, 3, 5, 6}
     assert [r.k for r in unpack_digests(packed, "k", df.columns).orderBy("i").collect()] == keys
+
+
+def test_merge_within_a_column_equals_the_plain_merge(spark):
+    rows = "sales_event_key string, source_file_name string, v int"
+    target = materialize(spark.createDataFrame([("a", "f1", 1), ("b", "f1", 2), ("c", "f2", 3), ("d", None, 4), ("e", None, 5), (None, "f1", 6)], rows))
+    updates = materialize(spark.createDataFrame([("b", "f1", 20), ("d", None, 40), ("z", "f9", 90)], rows))
+    want = sorted(map(str, merge_keyed(target, updates).collect()))
+    scoped = merge_keyed(target, updates, within="source_file_name")
+    assert sorted(map(str, scoped.collect())) == want and len(want) == 7
+    assert sorted(map(str, merge_keyed(target, updates.limit(0), within="source_file_name").collect())) == sorted(map(str, target.collect()))
