@@ -94,3 +94,10 @@ def test_merge_within_a_column_equals_the_plain_merge(spark):
     scoped = merge_keyed(target, updates, within="source_file_name")
     assert sorted(map(str, scoped.collect())) == want and len(want) == 7
     assert sorted(map(str, merge_keyed(target, updates.limit(0), within="source_file_name").collect())) == sorted(map(str, target.collect()))
+
+
+def test_row_tests_read_the_joined_tables_once(spark, monkeypatch):
+    read, raw = [], catalog.m.raw
+    monkeypatch.setattr(catalog.m, "raw", lambda s, d: (read.append(d), raw(s, d))[1])
+    report = catalog.QUERIES["row_test_report"](spark, SF)
+    assert read == [SF] and "lineitem" not in report._jdf.queryExecution().optimizedPlan().toString()
