@@ -101,3 +101,23 @@ def test_row_tests_read_the_joined_tables_once(spark, monkeypatch):
     monkeypatch.setattr(catalog.m, "raw", lambda s, d: (read.append(d), raw(s, d))[1])
     report = catalog.QUERIES["row_test_report"](spark, SF)
     assert read == [SF] and "lineitem" not in report._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_gzipped_landing_reads_like_a_plain_one(spark, tmp_root):
+    cols = "order_id long, customer_id long, product_category string, order_status string, load_ts timestamp, source_file_name string"
+    rows = spark.createDataFrame([(i, i, ' a,"b" ', "x\ny" if i == 3 else None, datetime(2024, 3, 1), f"s{i % 2}.csv") for i in range(9)], cols)
+    got = []
+    for kind in (None, "gzip"):
+        root, raw = f"{tmp_root}/{kind}", f"{tmp_root}/raw_{kind}"
+        landing.land_daily(rows, root, grain="month", compression=kind)
+        stream.stream_ingest(spark, root, raw, f"{tmp_root}/ckpt_{kind}").awaitTermination()
+        read = [stream.read_raw(spark, raw), stream.read_rejected(spark, raw)]
+        got.append([sorted(map(str, r.drop("load_ts").collect())) for r in read])
+    files = glob.glob(f"{tmp_root.removeprefix('file://')}/gzip/**/*.csv.gz", recursive=True)
+    assert files and got[0] == got[1] and sum(map(len, got[0])) >= 9
+
+
+def test_streams_leave_no_landing_and_no_second_copy(spark):
+    before = _scratch(spark)
+    assert catalog.QUERIES["stream_upsert_fact"](spark, SF).count() > 0
+    assert _left(spark, before, "landing", "latest", "fact_delta") == []
