@@ -8,6 +8,7 @@ import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import pack_digests, unpack_digests
@@ -136,3 +137,16 @@ def test_stream_dedup_holds_a_row_once(spark, tmp_root):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
     assert got.columns == source.columns and got.dtypes == source.dtypes
     assert {tuple(r) for r in got.collect()} == {rows[1], rows[3], rows[4], rows[5]}
+
+
+def test_batches_are_not_sorted_by_folder(spark, tmp_root, monkeypatch):
+    """Accepted and rejected rows are written in one pass, without a sort of all rows that spills."""
+    cols = "order_id string, quantity string, load_ts timestamp, source_file_name string"
+    landing.land_daily(spark.createDataFrame([(str(i), "two" if i % 3 else "2", datetime(2024, 3, 1), "s.csv") for i in range(9)], cols), f"{tmp_root}/in", grain="month")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(f"{tmp_root}/in").select("path", "length")
+    key, during = "spark.sql.maxConcurrentOutputFileWriters", []
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, f=DataFrameWriter.parquet, **k: (during.append(int(spark.conf.get(key))), f(w, path, *a, **k))[1])
+    stream.ingest_batch(files, 7, f"{tmp_root}/in", f"{tmp_root}/raw")
+    assert during == [4] and spark.conf.get(key) == "0"  # Spark sorts by folder at 0
+    assert {r.outcome for r in spark.read.parquet(f"{tmp_root}/raw").collect()} == {"rejected"}
+    assert spark.read.parquet(f"{tmp_root}/raw").count() == 9
